@@ -388,7 +388,8 @@ def brand_headline(star: Star) -> DataFrame:
         # Largest revenue; on a tie the first name.
         F.min_by("brand", F.struct((-F.col("line_revenue")).alias("a"), F.col("brand").alias("b"))).alias("top_brand"),
         F.max("line_revenue").alias("top_brand_revenue"),
-        ratio(F.sum("line_margin_pct"), F.count("line_margin_pct")).alias("avg_brand_margin_pct"),
+        # Ten digits: a sum of doubles depends on row order beyond that.
+        F.round(ratio(F.sum("line_margin_pct"), F.count("line_margin_pct")), 10).alias("avg_brand_margin_pct"),
         F.min("line_margin_pct").alias("min_brand_margin_pct"),
         F.max("line_margin_pct").alias("max_brand_margin_pct"),
         F.coalesce(ratio(F.sum("line_profit"), F.sum("line_revenue")), F.lit(0.0)).alias("margin_baseline"),

@@ -63,9 +63,8 @@ def write_months(raw: DataFrame, folder: str, replace_all: bool = False) -> None
     """
     mode = "static" if replace_all else "dynamic"
     (
-        raw.write.mode("overwrite").option("header", True).option("emptyValue", "")
-        .option("nullValue", "\\N").option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
+        raw.write.mode("overwrite").option("header", True).option("nullValue", "\\N")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("partitionOverwriteMode", mode).partitionBy("source_month").csv(folder)
     )
 
