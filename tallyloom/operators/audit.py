@@ -1,7 +1,8 @@
 """Data-quality audits of the raw and the cleaned layer, and hard assertions.
 
-Each source is scanned once for all its counters. Orphans and duplicates are
-counted from per-key counts, so no check brings rows of one key together.
+All counters of a source come from one scan; orphans and duplicates take one
+more each, over their key columns only, and are counted from per-key counts, so
+no check brings the rows of one key together.
 """
 
 from __future__ import annotations
@@ -110,11 +111,16 @@ def _as_rows(one_row: DataFrame, checks: dict[int, tuple[str, str]]) -> DataFram
 
 
 def _orphan_rows(keys: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
-    """Rows whose non-NULL key is not in the lookup, from per-key row counts."""
+    """Rows whose non-NULL key is not in the lookup, from per-key row counts.
+
+    An outer join, because an anti join would be pushed below the counts and
+    meet every row of a hot key.
+    """
     counted = keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    known = lookup.select(F.col(lookup_key).alias("_known"))
-    return counted.join(known, F.col(key) == F.col("_known"), "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")
+    known = lookup.select(F.col(lookup_key).alias("_known")).filter("_known IS NOT NULL").distinct()
+    missing = F.when(F.col("_known").isNull(), F.col("n"))
+    return counted.join(known, F.col(key) == F.col("_known"), "left").agg(
+        F.coalesce(F.sum(missing), F.lit(0)).alias("orphans")
     )
 
 

@@ -17,22 +17,24 @@ def line_cost() -> Column:
     return F.col("quantity").cast("decimal(20,0)") * F.col("unit_cost")
 
 
-def _first_of_key(products: DataFrame) -> DataFrame:
-    """Marks one row per product key, so a repeated key is not counted twice."""
+def catalogue(products: DataFrame) -> DataFrame:
+    """Product attributes, with copies of a repeated product key numbered."""
     order = Window.partitionBy("product_id").orderBy("product_name", "brand", "unit_cost")
-    return products.withColumn("_copy", F.row_number().over(order))
+    return products.filter("product_id IS NOT NULL").select(
+        F.col("product_id").alias("_product"), "product_category", "brand", "unit_cost",
+        F.row_number().over(order).alias("_copy"),
+    )
 
 
-def order_totals(items: DataFrame, products: DataFrame) -> DataFrame:
+def order_totals(items: DataFrame, numbered: DataFrame) -> DataFrame:
     """Per order: all validated lines, and the lines with a known product.
 
     One shuffle on order_id serves the exploration tables (all lines) and the
-    curated fact (known products only).
+    curated fact (known products only). ``numbered`` is the catalogue; pass it
+    as a stage table, so that the join reads it by a plain shuffle and a product
+    holding very many lines can be split.
     """
-    catalogue = _first_of_key(products).select(
-        F.col("product_id").alias("_product"), "product_category", "brand", "unit_cost", "_copy"
-    )
-    lines = items.join(catalogue, F.col("product_id") == F.col("_product"), "left")
+    lines = items.join(numbered, F.col("product_id") == F.col("_product"), "left")
     known = F.col("_product").isNotNull()
     once = ~known | (F.col("_copy") == 1)
     net = F.col("line_net_amount")

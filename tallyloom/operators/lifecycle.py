@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import month_start, months_between_starts
@@ -18,15 +18,15 @@ def first_purchase(curated: DataFrame) -> DataFrame:
 def customer_months(curated: DataFrame) -> DataFrame:
     """One row per customer and month with orders, with revenue and cohort month.
 
-    Aggregated before it meets the cohorts, so a customer with very many orders
-    is at most one row per month in the join and later distinct counts are
-    plain counts.
+    Aggregated before the cohort month is added, so a customer with very many
+    orders is at most one row per month in the window and later distinct counts
+    are plain counts.
     """
     monthly = curated.groupBy("customer_id", month_start(F.col("order_date")).alias("month")).agg(
         F.sum("order_value").alias("revenue")
     )
-    cohorts = monthly.groupBy("customer_id").agg(F.min("month").alias("cohort_month"))
-    return monthly.join(cohorts, "customer_id")
+    first = F.min("month").over(Window.partitionBy("customer_id"))
+    return monthly.withColumn("cohort_month", first)
 
 
 def cohort_retention(curated: DataFrame) -> DataFrame:

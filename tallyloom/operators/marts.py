@@ -12,6 +12,7 @@ from tallyloom.functions.dates import month_label, month_start
 from tallyloom.functions.numeric import MONEY, money, rounded, rounded_mean, rounded_ratio
 from tallyloom.operators.facts import line_cost
 from tallyloom.operators.ordering import ranks
+from tallyloom.sources.staging import written
 
 
 def last_complete_month(curated: DataFrame) -> DataFrame:
@@ -80,9 +81,12 @@ def product_performance(items: DataFrame, products: DataFrame) -> DataFrame:
         rounded_ratio(revenue, F.col("orders_containing"), 2).alias("avg_line_revenue"),
         rounded_ratio(revenue, F.col("units_sold"), 2).alias("revenue_per_unit"),
     )
-    ranked = ranks(base, "total_revenue", "revenue_rank")
-    ranked = ranks(ranked, "units_sold", "units_rank")
-    return ranks(ranked, "total_revenue", "rank_within_category", within="product_category")
+    # Read once per rank and once for the rows, so written first: one row per product.
+    return ranks(written(base, "product_totals"), {
+        "revenue_rank": ("total_revenue", None),
+        "units_rank": ("units_sold", None),
+        "rank_within_category": ("total_revenue", "product_category"),
+    })
 
 
 def top_products(performance: DataFrame, rows: int = 15) -> DataFrame:

@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -176,31 +177,44 @@ def rank_bands(df: DataFrame, value: Column, bands: int) -> Column:
     return band
 
 
-def ranks(df: DataFrame, value: str, name: str, within: str | None = None) -> DataFrame:
-    """``rank() OVER ([PARTITION BY within] ORDER BY value DESC)``, as column ``name``.
+def ranks(df: DataFrame, wanted: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """``rank() OVER ([PARTITION BY group] ORDER BY value DESC)`` for several columns.
 
-    Ranks are computed per distinct value, so rows sharing a value never gather
-    in one task, and blocks of one group are ranked in parallel. The join back
-    to the rows is on the value, where adaptive execution can split a hot one.
+    ``wanted`` maps an output column to (numeric value column, group column or
+    None). Ranks are computed per distinct value, so rows sharing a value never
+    gather in one task, and the blocks of one group are ranked in parallel. The
+    join back is on the value, where adaptive execution can split a hot one.
     """
-    group = F.col(within) if within else F.lit(None).cast("string")
-    counts = df.groupBy(group.alias("_g"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    blocks = _blocks(counts, [F.col("_g"), F.col("_v").desc()])
-    # One row per block and group: bounded by the number of shuffle partitions.
-    earlier = Window.partitionBy("_g").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.groupBy("_g", "_block").agg(F.sum("_n").alias("_m")).select(
-        F.col("_g").alias("_sg"), F.col("_block").alias("_sb"),
-        F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_start"),
+    per_value = [
+        df.groupBy(
+            F.lit(name).alias("_rank"),
+            (F.col(group) if group else F.lit(None)).cast("string").alias("_g"),
+            F.col(value).cast("decimal(38,9)").alias("_v"),
+        ).agg(F.count("*").alias("_n"))
+        for name, (value, group) in wanted.items()
+    ]
+    blocks = _blocks(
+        reduce(DataFrame.unionByName, per_value), [F.col("_rank"), F.col("_g"), F.col("_v").desc()]
     )
-    inside = Window.partitionBy("_g", "_block").orderBy(F.col("_v").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
+    above = Window.unboundedPreceding
+    earlier = Window.partitionBy("_rank", "_g").orderBy("_block").rowsBetween(above, -1)
+    starts = blocks.groupBy("_rank", "_g", "_block").agg(F.sum("_n").alias("_m")).select(
+        F.col("_rank").alias("_sr"), F.col("_g").alias("_sg"), F.col("_block").alias("_sb"),
+        F.coalesce(F.sum("_m").over(earlier), F.lit(0)).alias("_start"),
     )
-    ranked = (
-        blocks.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(F.broadcast(starts), F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_block") == F.col("_sb")))
-        .select(F.col("_g").alias("_rg"), F.col("_v").alias("_rv"), (F.col("_start") + F.col("_before") + 1).alias(name))
+    inside = Window.partitionBy("_rank", "_g", "_block").orderBy(F.col("_v").desc()).rowsBetween(above, -1)
+    same_block = (
+        (F.col("_rank") == F.col("_sr")) & F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_block") == F.col("_sb"))
     )
-    same = F.col(value).eqNullSafe(F.col("_rv"))
-    if within:
-        same = same & F.col(within).eqNullSafe(F.col("_rg"))
-    return df.join(ranked, same, "left").drop("_rg", "_rv")
+    ranked = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, same_block)
+    out = df
+    for name, (value, group) in wanted.items():
+        side = ranked.filter(F.col("_rank") == name).select(
+            F.col("_g").alias("_rg"), F.col("_v").alias("_rv"),
+            (F.col("_start") + F.col("_before") + 1).alias(name),
+        )
+        same = F.col(value).cast("decimal(38,9)").eqNullSafe(F.col("_rv"))
+        if group:
+            same = same & F.col(group).cast("string").eqNullSafe(F.col("_rg"))
+        out = out.join(side, same, "left").drop("_rg", "_rv")
+    return out

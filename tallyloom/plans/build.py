@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.config import FEED_CONFIG, RetailConfig
-from tallyloom.operators import cleaning, dimensions, facts, lifecycle, measures, rfm
+from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm
 from tallyloom.sources import feed
 from tallyloom.sources.staging import stage
 
@@ -57,6 +57,12 @@ class Shop:
     def raw_items(self) -> DataFrame:
         return self._stage("raw_items", lambda: self.raw.items)
 
+    @cached_property
+    def inventory(self) -> DataFrame:
+        """Tables and columns of the raw shards: metadata, a row per month and column."""
+        return self._stage("inventory", lambda: audit.shard_inventory(self.raw_orders, "orders").unionByName(
+            audit.shard_inventory(self.raw_items, "items")))
+
     @cached_property
     def orders_intake(self) -> DataFrame:
         return cleaning.orders_intake(self.raw_orders, self.cfg)
@@ -89,9 +95,13 @@ class Shop:
     def products(self) -> DataFrame:
         return self._stage("products", lambda: dimensions.standardize_products(self.raw.products))
 
+    @cached_property
+    def catalogue(self) -> DataFrame:
+        return self._stage("catalogue", lambda: facts.catalogue(self.products))
+
     @cached_property
     def order_totals(self) -> DataFrame:
-        return self._stage("order_totals", lambda: facts.order_totals(self.items, self.products))
+        return self._stage("order_totals", lambda: facts.order_totals(self.items, self.catalogue))
 
     @cached_property
     def baskets(self) -> DataFrame:

@@ -62,8 +62,9 @@ def write_months(raw: DataFrame, folder: str, replace_all: bool = False) -> None
     the whole folder, so that no stale month survives.
     """
     mode = "static" if replace_all else "dynamic"
+    # Rebalancing gathers a month's rows into few files and splits a very large month.
     (
-        raw.write.mode("overwrite").option("header", True).option("nullValue", "\\N")
+        raw.hint("rebalance", F.col("source_month")).write.mode("overwrite").option("header", True).option("nullValue", "\\N")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("partitionOverwriteMode", mode).partitionBy("source_month").csv(folder)
     )
