@@ -19,9 +19,9 @@ from tallyloom.plans.build import rebuild  # noqa: E402
 from tallyloom.plans.queries import all_queries  # noqa: E402
 
 STAGES = (
-    "raw_orders", "raw_items", "inventory", "orders_cleaned", "items_cleaned", "orders", "items", "customers",
+    "raw_orders", "raw_items", "raw_customers", "raw_products", "inventory", "orders_cleaned", "items_cleaned", "orders", "items", "customers",
     "products", "catalogue", "order_totals", "baskets", "curated", "lines", "customer_rfm", "segments",
-    "dim_customers", "retention", "new_returning",
+    "dim_customers", "customer_months", "retention", "new_returning", "economics",
 )
 HEADLINE = (
     "d2_raw_audit", "d12_clean_audit", "d10_cleaning_log", "e1_order_value_distribution",

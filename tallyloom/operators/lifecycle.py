@@ -9,32 +9,26 @@ from tallyloom.functions.dates import month_start, months_between_starts
 from tallyloom.functions.numeric import ratio
 
 
-def first_purchase(curated: DataFrame) -> DataFrame:
-    return curated.groupBy("customer_id").agg(
-        month_start(F.min("order_date")).alias("cohort_month")
-    )
-
-
 def customer_months(curated: DataFrame) -> DataFrame:
-    """One row per customer and month with orders, with revenue and cohort month.
+    """One row per customer and month with orders, with orders, revenue and cohort month.
 
     Aggregated before the cohort month is added, so a customer with very many
     orders is at most one row per month in the window and later distinct counts
     are plain counts.
     """
     monthly = curated.groupBy("customer_id", month_start(F.col("order_date")).alias("month")).agg(
-        F.sum("order_value").alias("revenue")
+        F.count("*").alias("orders"), F.sum("order_value").cast("decimal(28,2)").alias("revenue")
     )
     first = F.min("month").over(Window.partitionBy("customer_id"))
     return monthly.withColumn("cohort_month", first)
 
 
-def cohort_retention(curated: DataFrame) -> DataFrame:
+def cohort_retention(months: DataFrame) -> DataFrame:
     """Share of a cohort that orders n months after its first month.
 
-    Month 0 holds the whole cohort, so its count is the cohort size.
+    Month 0 holds the whole cohort, so its count is the cohort size. ``months``
+    is customer_months, here and below.
     """
-    months = customer_months(curated)
     active = months.groupBy(
         "cohort_month",
         months_between_starts(F.col("month"), F.col("cohort_month")).alias("months_since_acquisition"),
@@ -48,11 +42,10 @@ def cohort_retention(curated: DataFrame) -> DataFrame:
     )
 
 
-def revenue_new_returning(curated: DataFrame) -> DataFrame:
+def revenue_new_returning(months: DataFrame) -> DataFrame:
     is_first = F.col("month") == F.col("cohort_month")
     return (
-        customer_months(curated)
-        .groupBy(
+        months.groupBy(
             F.col("month").alias("revenue_month"),
             F.when(is_first, "New").otherwise("Returning").alias("customer_type"),
         )
@@ -86,35 +79,31 @@ def cohort_rebound(retention: DataFrame) -> DataFrame:
     )
 
 
-def dilution_correlation(curated: DataFrame, retention: DataFrame) -> DataFrame:
+def dilution_correlation(months: DataFrame, retention: DataFrame) -> DataFrame:
     """Correlation of month-1 retention with repeat orders per acquired customer.
 
     The ratio for a cohort is taken in its second month: repeat orders placed
     that month over customers acquired up to the month before.
     """
-    month_one = retention.filter("months_since_acquisition = 1").select(
-        "cohort_month", "retention_rate", F.add_months("cohort_month", 1).alias("month")
-    )
-    cohorts = first_purchase(curated)
+    number = lambda d: (F.year(d) * 12 + F.month(d)).cast("int")
     repeats = (
-        curated.join(cohorts, "customer_id")
-        .filter(month_start(F.col("order_date")) > F.col("cohort_month"))
-        .groupBy(month_start(F.col("order_date")).alias("month"))
-        .agg(F.count("*").alias("repeat_orders"))
+        months.filter("month > cohort_month").groupBy(number("month").alias("_m"))
+        .agg(F.sum("orders").alias("repeat_orders"))
     )
-    # Cohort months are as few as the months in the data.
+    # From here on one row per calendar month, so the ordered window is small.
     sizes = retention.filter("months_since_acquisition = 0").select(
-        F.col("cohort_month").alias("acquired"), "cohort_customers"
+        number("cohort_month").alias("k"), F.col("cohort_customers").alias("acquired"),
+        F.lit(None).cast("double").alias("rate"),
     )
-    base = (
-        month_one.join(F.broadcast(sizes), F.col("acquired") < F.col("month"))
-        .groupBy("cohort_month", "month", "retention_rate")
-        .agg(F.sum("cohort_customers").alias("base"))
+    points = retention.filter("months_since_acquisition = 1").select(
+        (number("cohort_month") + 1).alias("k"), F.lit(0).cast("bigint").alias("acquired"),
+        F.col("retention_rate").alias("rate"),
     )
-    pairs = base.join(repeats, "month").select(
-        "retention_rate", ratio(F.col("repeat_orders"), F.col("base")).alias("budget_to_base")
+    before = Window.orderBy("k").rangeBetween(Window.unboundedPreceding, -1)
+    base = sizes.unionByName(points).withColumn("base", F.sum("acquired").over(before)).filter("rate IS NOT NULL")
+    pairs = base.join(repeats, F.col("k") == F.col("_m")).select(
+        "rate", ratio(F.col("repeat_orders"), F.col("base")).alias("budget_to_base")
     )
     return pairs.agg(
-        F.count("*").alias("cohorts"),
-        F.round(F.corr("retention_rate", "budget_to_base"), 6).alias("pearson_r"),
+        F.count("*").alias("cohorts"), F.round(F.corr("rate", "budget_to_base"), 6).alias("pearson_r")
     )

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.config import DEFAULT_REACTIVATION_RATE, WIN_BACK_SEGMENTS
-from tallyloom.functions.numeric import money, ratio, rounded_mean
+from tallyloom.functions.numeric import money, ratio
 from tallyloom.operators.measures import segment_table
+from tallyloom.sources.staging import written
 
 
 def playbook(spark: SparkSession) -> DataFrame:
@@ -45,10 +46,11 @@ def segment_shares(segments: DataFrame) -> DataFrame:
     }).drop("_c", "_r")
 
 
-def _order_economics(curated: DataFrame, segments: DataFrame) -> DataFrame:
-    """Order sums per customer with the customer's segment.
+def segment_economics(curated: DataFrame, segments: DataFrame) -> DataFrame:
+    """Order sums per segment: at most seven rows, which all figures below share.
 
-    Summed per customer first, so the join is one row per customer on both sides.
+    Orders are summed per customer first, so the join is one row per customer on
+    both sides. Orders of unscored customers stay, under a NULL segment.
     """
     pct = F.col("order_discount_pct")
     per_customer = curated.groupBy("customer_id").agg(
@@ -56,30 +58,38 @@ def _order_economics(curated: DataFrame, segments: DataFrame) -> DataFrame:
         F.sum("order_cost").alias("cost"), F.sum("order_profit").alias("profit"),
         F.sum(pct).alias("pct_sum"), F.count(pct).alias("pct_n"), F.max(pct).alias("pct_max"),
     )
-    return per_customer.join(
-        segments.select("customer_id", F.col("rfm_segment").alias("segment")), "customer_id"
-    )
-
-
-def focus_margin(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> DataFrame:
-    """Margin and contribution of the two win-back segments at the playbook's rates."""
-    sums = (
-        _order_economics(curated, segments).filter(F.col("segment").isin(*WIN_BACK_SEGMENTS))
-        .groupBy("segment").agg(
+    names = segments.select(F.col("customer_id").alias("_c"), F.col("rfm_segment").alias("segment"))
+    return (
+        per_customer.join(names, F.col("customer_id") == F.col("_c"), "left").groupBy("segment").agg(
             F.count("*").alias("customers"),
             F.sum("orders").alias("orders"),
             money(F.sum("revenue")).alias("revenue"),
             money(F.sum("cost")).alias("cost"),
             money(F.sum("profit")).alias("profit"),
-            F.round(ratio(F.sum("pct_sum"), F.sum("pct_n")).cast("decimal(38,8)"), 4)
-            .cast("decimal(18,4)").alias("mean_order_discount_pct"),
+            F.sum("pct_sum").cast("decimal(28,9)").alias("pct_sum"),
+            F.sum("pct_n").alias("pct_n"),
+            F.max("pct_max").alias("pct_max"),
         )
     )
-    rates = playbook(spark).select("segment", F.col("discount_rate").alias("discount"))
-    return sums.join(F.broadcast(rates), "segment").withColumns({
-        "aov": ratio(F.col("revenue"), F.col("orders")),
+
+
+def _with_margin(economics: DataFrame) -> DataFrame:
+    return economics.filter("segment IS NOT NULL").withColumns({
         "gross_margin": ratio(F.col("profit"), F.col("revenue")),
-    }).withColumn("contribution", F.col("gross_margin") - F.col("discount"))
+        "mean_order_discount_pct": ratio(F.col("pct_sum"), F.col("pct_n")),
+    })
+
+
+def focus_margin(economics: DataFrame) -> DataFrame:
+    """Margin and contribution of the two win-back segments at the playbook's rates."""
+    rates = playbook(economics.sparkSession).select("segment", F.col("discount_rate").alias("discount"))
+    mean = F.round(F.col("mean_order_discount_pct").cast("decimal(38,8)"), 4).cast("decimal(18,4)")
+    return _with_margin(economics).join(F.broadcast(rates), "segment").select(
+        "segment", "customers", "orders", "revenue", "cost", "profit",
+        mean.alias("mean_order_discount_pct"), "discount",
+        ratio(F.col("revenue"), F.col("orders")).alias("aov"), "gross_margin",
+        (F.col("gross_margin") - F.col("discount")).alias("contribution"),
+    )
 
 
 def kept_per_euro(margin: Column, rate: Column) -> Column:
@@ -87,28 +97,20 @@ def kept_per_euro(margin: Column, rate: Column) -> Column:
     return (margin - rate) / rate
 
 
-def _margins(curated: DataFrame, segments: DataFrame) -> DataFrame:
-    return _order_economics(curated, segments).groupBy("segment").agg(
-        F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
-        ratio(F.sum("pct_sum"), F.sum("pct_n")).alias("mean_order_discount_pct"),
-        ratio(F.sum("profit"), F.sum("revenue")).alias("gross_margin"),
-    )
-
-
-def contribution_per_euro(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> DataFrame:
-    rates = playbook(spark).select("segment", "discount_rate")
+def contribution_per_euro(economics: DataFrame) -> DataFrame:
+    rates = playbook(economics.sparkSession).select("segment", "discount_rate")
     kept = kept_per_euro(F.col("gross_margin"), F.col("discount_rate"))
-    return _margins(curated, segments).join(F.broadcast(rates), "segment").select(
+    return _with_margin(economics).join(F.broadcast(rates), "segment").select(
         "segment", "discount_rate", "gross_margin",
         kept.alias("contribution_per_eur"), (kept * 1000).alias("contribution_per_1000"),
     )
 
 
-def rate_grid(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> DataFrame:
+def rate_grid(economics: DataFrame) -> DataFrame:
     """Both segments at both playbook rates, with the ratio of the two at each rate."""
-    rates = playbook(spark).select("discount_rate")
+    rates = playbook(economics.sparkSession).select("discount_rate")
     grid = (
-        _margins(curated, segments).filter(F.col("segment").isin(*WIN_BACK_SEGMENTS))
+        _with_margin(economics).filter(F.col("segment").isin(*WIN_BACK_SEGMENTS))
         .select("segment", "gross_margin").crossJoin(F.broadcast(rates))  # 2 x 2 rows
         .withColumn("contribution_per_eur", kept_per_euro(F.col("gross_margin"), F.col("discount_rate")))
     )
@@ -120,15 +122,17 @@ def rate_grid(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> D
     return grid.join(F.broadcast(common), F.col("discount_rate") == F.col("_rate")).drop("_rate")
 
 
-def segment_margin_all(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> DataFrame:
+def segment_margin_all(economics: DataFrame) -> DataFrame:
     """Margins of all six segments, the overall totals, and whether each step down
-    the segments lowers the margin. Six rows."""
-    order = segment_table(spark).select("segment", "sort_order")
-    rows = _margins(curated, segments).join(F.broadcast(order), "segment")
+    the segments lowers the margin."""
+    order = segment_table(economics.sparkSession).select("segment", "sort_order")
+    rows = _with_margin(economics).join(F.broadcast(order), "segment").select(
+        "segment", "revenue", "profit", "mean_order_discount_pct", "gross_margin", "sort_order"
+    )
     above = rows.select((F.col("sort_order") + 1).alias("_next"), F.col("gross_margin").alias("_above"))
-    totals = curated.agg(
-        F.count("*").alias("all_orders"), F.sum("order_value").alias("all_revenue"),
-        F.sum("order_profit").alias("all_profit"), F.max("order_discount_pct").alias("max_order_discount_pct"),
+    totals = economics.agg(
+        F.sum("orders").alias("all_orders"), F.sum("revenue").alias("all_revenue"),
+        F.sum("profit").alias("all_profit"), F.max("pct_max").alias("max_order_discount_pct"),
     )
     return (
         rows.join(F.broadcast(above), F.col("sort_order") == F.col("_next"), "left")
@@ -178,13 +182,17 @@ def _long(df: DataFrame, group: str, key: str | None, figures: dict[str, tuple[s
     ).select(F.concat("_p", "_name").alias("name"), "value", "unit", "class", "formula")
 
 
-def figures(curated: DataFrame, segments: DataFrame, spark: SparkSession) -> DataFrame:
-    """Every figure of the win-back analysis as a long table."""
-    shares = segment_shares(segments)
-    margins = segment_margin_all(curated, segments, spark)
-    focus = focus_margin(curated, segments, spark)
-    kept = contribution_per_euro(curated, segments, spark)
-    grid = rate_grid(curated, segments, spark)
+def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
+    """Every figure of the win-back analysis as a long table.
+
+    ``economics`` is read many times, so pass a stage table.
+    """
+    spark = economics.sparkSession
+    shares = written(segment_shares(segments), "segment_shares")  # six rows
+    margins = segment_margin_all(economics)
+    focus = focus_margin(economics)
+    kept = contribution_per_euro(economics)
+    grid = rate_grid(economics)
     extra = compound_discount(focus)
     totals = margins.limit(1)
     pool = shares.filter(F.col("segment").isin(*WIN_BACK_SEGMENTS)).agg(

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.config import FEED_CONFIG, RetailConfig
-from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm
+from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm, winback
 from tallyloom.sources import feed
 from tallyloom.sources.staging import stage
 
@@ -57,6 +57,14 @@ class Shop:
     def raw_items(self) -> DataFrame:
         return self._stage("raw_items", lambda: self.raw.items)
 
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return self._stage("raw_customers", lambda: self.raw.customers)
+
+    @cached_property
+    def raw_products(self) -> DataFrame:
+        return self._stage("raw_products", lambda: self.raw.products)
+
     @cached_property
     def inventory(self) -> DataFrame:
         """Tables and columns of the raw shards: metadata, a row per month and column."""
@@ -89,11 +97,11 @@ class Shop:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._stage("customers", lambda: dimensions.standardize_customers(self.raw.customers))
+        return self._stage("customers", lambda: dimensions.standardize_customers(self.raw_customers))
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._stage("products", lambda: dimensions.standardize_products(self.raw.products))
+        return self._stage("products", lambda: dimensions.standardize_products(self.raw_products))
 
     @cached_property
     def catalogue(self) -> DataFrame:
@@ -141,16 +149,24 @@ class Shop:
         )
 
     @cached_property
-    def first_purchase(self) -> DataFrame:
-        return lifecycle.first_purchase(self.curated)
+    def customer_months(self) -> DataFrame:
+        return self._stage("customer_months", lambda: lifecycle.customer_months(self.curated))
 
     @cached_property
     def retention(self) -> DataFrame:
-        return self._stage("cohort_retention", lambda: lifecycle.cohort_retention(self.curated))
+        return self._stage("cohort_retention", lambda: lifecycle.cohort_retention(self.customer_months))
 
     @cached_property
     def new_returning(self) -> DataFrame:
-        return self._stage("revenue_new_returning", lambda: lifecycle.revenue_new_returning(self.curated))
+        return self._stage(
+            "revenue_new_returning", lambda: lifecycle.revenue_new_returning(self.customer_months)
+        )
+
+    @cached_property
+    def economics(self) -> DataFrame:
+        return self._stage(
+            "segment_economics", lambda: winback.segment_economics(self.curated, self.segments)
+        )
 
     @cached_property
     def star(self) -> measures.Star:

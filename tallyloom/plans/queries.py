@@ -42,7 +42,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def _raw_source(s: Shop) -> audit.RawSource:
-    return audit.RawSource(s.raw_orders, s.raw_items, s.raw.customers, s.raw.products, s.inventory)
+    return audit.RawSource(s.raw_orders, s.raw_items, s.raw_customers, s.raw_products, s.inventory)
 
 
 def _schema_contract(s: Shop) -> DataFrame:
@@ -243,13 +243,13 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
         "product_id", "brand", "total_revenue", "revenue_rank"),
     # Win-back economics
     "v1_segment_shares": lambda s: winback.segment_shares(s.segments),
-    "v2_focus_margin": lambda s: winback.focus_margin(s.curated, s.segments, s.spark),
-    "v3_contribution_per_euro": lambda s: winback.contribution_per_euro(s.curated, s.segments, s.spark),
-    "v4_rate_grid": lambda s: winback.rate_grid(s.curated, s.segments, s.spark),
-    "v5_segment_margin_all": lambda s: winback.segment_margin_all(s.curated, s.segments, s.spark),
-    "v6_compound_discount": lambda s: winback.compound_discount(winback.focus_margin(s.curated, s.segments, s.spark)),
+    "v2_focus_margin": lambda s: winback.focus_margin(s.economics),
+    "v3_contribution_per_euro": lambda s: winback.contribution_per_euro(s.economics),
+    "v4_rate_grid": lambda s: winback.rate_grid(s.economics),
+    "v5_segment_margin_all": lambda s: winback.segment_margin_all(s.economics),
+    "v6_compound_discount": lambda s: winback.compound_discount(winback.focus_margin(s.economics)),
     "v7_playbook": lambda s: winback.playbook_budgets(s.spark, s.segments),
-    "v8_figures": lambda s: winback.figures(s.curated, s.segments, s.spark),
+    "v8_figures": lambda s: winback.figures(s.economics, s.segments),
     # KPI regression
     "h1_kpi_primitives": lambda s: kpi.kpi_primitives(s.curated, s.lines),
     "h2_kpi_derived": lambda s: kpi.kpi_derived(kpi.kpi_primitives(s.curated, s.lines)),
@@ -258,7 +258,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "x1_order_reconciliation": lambda s: winback.reconciliation(s.baskets, s.items),
     "x2_shared_order_counts": lambda s: winback.shared_order_counts(s.segments),
     "x3_cohort_rebound": lambda s: lifecycle.cohort_rebound(s.retention),
-    "x3_dilution_correlation": lambda s: lifecycle.dilution_correlation(s.curated, s.retention),
+    "x3_dilution_correlation": lambda s: lifecycle.dilution_correlation(s.customer_months, s.retention),
 }
 
 

@@ -104,11 +104,12 @@ def test_last_complete_month(spark, last, want):
 
 def test_cohorts_start_whole_and_revenue_adds_up(spark):
     curated, _ = curated_of(spark)
-    retention = lifecycle.cohort_retention(curated).collect()
+    months = lifecycle.customer_months(curated)
+    retention = lifecycle.cohort_retention(months).collect()
     assert all(r.retention_rate == 1.0 for r in retention if r.months_since_acquisition == 0)
     assert {(r.cohort_month, r.months_since_acquisition) for r in retention} == {
         (date(2024, 1, 1), 0), (date(2024, 1, 1), 2), (date(2024, 2, 1), 0)}
-    split = lifecycle.revenue_new_returning(curated)
+    split = lifecycle.revenue_new_returning(months)
     assert split.agg(F.sum("revenue")).first()[0] == curated.agg(F.sum("order_value")).first()[0]
     assert {(r.customer_type, r.revenue) for r in split.collect()} == {("New", D("10.00")), ("New", D("100.00")), ("Returning", D("10.50"))}
 
