@@ -46,8 +46,8 @@ class Shop:
     raw: RawTables
     cfg: RetailConfig = field(default=FEED_CONFIG)
 
-    def _stage(self, label, build) -> DataFrame:
-        return stage(self.spark, self.source, label, build)
+    def _stage(self, label, build, cluster=()) -> DataFrame:
+        return stage(self.spark, self.source, label, build, cluster)
 
     @cached_property
     def raw_orders(self) -> DataFrame:
@@ -89,11 +89,15 @@ class Shop:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._stage("orders_validated", lambda: cleaning.orders_validated(self.orders_cleaned))
+        return self._stage(
+            "orders_validated", lambda: cleaning.orders_validated(self.orders_cleaned), ["customer_id", "order_id"]
+        )
 
     @cached_property
     def items(self) -> DataFrame:
-        return self._stage("items_validated", lambda: cleaning.items_validated(self.items_cleaned))
+        return self._stage(
+            "items_validated", lambda: cleaning.items_validated(self.items_cleaned), ["order_id", "product_id"]
+        )
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -118,7 +122,8 @@ class Shop:
     @cached_property
     def curated(self) -> DataFrame:
         return self._stage(
-            "sales_curated", lambda: facts.sales_curated(self.orders, self.order_totals, self.customers)
+            "sales_curated", lambda: facts.sales_curated(self.orders, self.order_totals, self.customers),
+            ["customer_id", "order_id"],
         )
 
     @cached_property
@@ -134,7 +139,8 @@ class Shop:
     @cached_property
     def segments(self) -> DataFrame:
         return self._stage(
-            "rfm_customer_segments", lambda: rfm.rfm_customer_segments(self.customer_rfm, self.cfg)
+            "rfm_customer_segments", lambda: rfm.rfm_customer_segments(self.customer_rfm, self.cfg),
+            ["rfm_segment", "customer_id"],
         )
 
     @cached_property

@@ -739,6 +739,23 @@ add("x1_order_reconciliation", f"SELECT count(*) AS orders, count(*) FILTER ({_G
     "orders:i within_tolerance:i outside_tolerance:i")
 add("x2_shared_order_counts", "SELECT count(*) AS scored_customers, count(*) FILTER (EXISTS (SELECT 1 FROM k_segments b WHERE b.frequency_orders = a.frequency_orders AND b.f_score <> a.f_score)) AS customers_split_across_quintiles FROM k_segments a",
     "scored_customers:i customers_split_across_quintiles:i")
+_HASH = "CAST(('0x' || left(md5('42|' || customer_id), 8)) AS BIGINT) / 4294967296.0::DOUBLE"
+STEPS["k_pilot"] = f"""
+SELECT customer_id, segment, CASE WHEN segment = 'At Risk' THEN CASE WHEN h < 0.5 THEN 'offer_15' ELSE 'holdout' END
+    WHEN h < 1.0::DOUBLE / 3 THEN 'offer_20' WHEN h < 2.0::DOUBLE / 3 THEN 'offer_15' ELSE 'holdout' END AS grp
+FROM (SELECT customer_id, rfm_segment AS segment, {_HASH} AS h FROM k_segments WHERE rfm_segment IN ('At Risk', 'Hibernating'))"""
+STEPS["k_pilot_sums"] = """
+SELECT segment, grp, count(*) AS n, sum(coalesce(p, 0)) - sum(rate * coalesce(v, 0)) AS x, sum(rate * coalesce(v, 0)) AS d
+FROM (SELECT *, CASE grp WHEN 'offer_15' THEN 0.15 WHEN 'offer_20' THEN 0.20 ELSE 0 END AS rate FROM k_pilot) g
+LEFT JOIN (SELECT customer_id, sum(order_value) AS v, sum(order_profit) AS p FROM k_curated WHERE order_date BETWEEN DATE '2000-08-01' AND DATE '2001-07-31' GROUP BY 1) USING (customer_id)
+GROUP BY 1, 2"""
+add("x4_pilot_readout", f"""SELECT o.segment, o.grp AS "group", o.n, round({div('o.x', 'o.n')}, 4) AS offer_mean, round({div('h.x', 'h.n')}, 4) AS holdout_mean,
+  round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 4) AS per_customer, round(CAST(o.d AS DOUBLE), 4) AS discount_spend, round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / CAST(o.d AS DOUBLE), 8) AS per_euro
+  FROM k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'""",
+    "segment:s group:s n:i offer_mean:d holdout_mean:d per_customer:d discount_spend:d per_euro:d")
+add("p10_items_display", """SELECT order_id AS "Order ID", product_id AS "Product ID", customer_id AS "Customer ID", order_date AS "Order Date", quantity AS "Quantity", line_net_amount AS "Line Net Amount",
+  line_profit AS "Line Profit", line_margin_pct AS "Line Margin %" FROM k_lines""",
+    "Order_ID:s Product_ID:s Customer_ID:s Order_Date:s Quantity:i Line_Net_Amount:d Line_Profit:d Line_Margin_%:d")
 add("x3_cohort_rebound", "SELECT y AS cohort_year, o AS october_rate, n AS november_rate, (n - o) * 100 AS rebound_points FROM (SELECT year(cohort_month) AS y, max(retention_rate) FILTER (month(cohort_month) = 10) AS o, max(retention_rate) FILTER (month(cohort_month) = 11) AS n FROM k_retention WHERE months_since_acquisition = 1 AND month(cohort_month) IN (10, 11) GROUP BY 1)",
     "cohort_year:i october_rate:d november_rate:d rebound_points:d")
 add("x3_dilution_correlation", f"""SELECT count(*) AS cohorts, round(corr(retention_rate, b), 6) AS pearson_r FROM (SELECT r.retention_rate, {div('rep', 'base')} AS b FROM k_retention r,
@@ -760,8 +777,11 @@ def sql_of(name: str) -> str:
     body, columns = ORACLES[name]
     steps: list[str] = []
     _needed(body, steps)
+    spaced = name == "p10_items_display"  # its names contain spaces
+    pairs = [x.split(":") for x in columns.split()]
     out = ", ".join(
-        f'CAST("{c}" AS {_TYPES[t]}) AS "{c}"' for c, t in (x.split(":") for x in columns.split())
+        f'CAST("{c}" AS {_TYPES[t]}) AS "{c}"'
+        for c, t in ((c.replace("_", " ") if spaced else c, t) for c, t in pairs)
     )
     head = "WITH " + ", ".join(f"{s} AS MATERIALIZED ({STEPS[s]})" for s in steps) if steps else ""
     return f"{head}\nSELECT {out} FROM ({body}) AS answer"

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType
 
 from tallyloom.config import FEED_CONFIG, WIN_BACK_SEGMENTS
-from tallyloom.operators import audit, cleaning, explore, facts, kpi, lifecycle, marts, measures as m
+from tallyloom.operators import (
+    audit, cleaning, display, explore, facts, kpi, lifecycle, marts, measures as m, pilot,
+)
 from tallyloom.operators import reports as q, rfm, winback
 from tallyloom.plans.build import Shop, shop_of
 from tallyloom.sources import shards
@@ -22,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CORE_COUNTRIES = ("EUROPE", "ASIA")
 ONE_COUNTRY = {"customer.country": ["EUROPE"]}
 ONE_STATE = {"customer.country": ["EUROPE"], "customer.state": ["NATION_3", "NATION_8", "NATION_13"]}
+PILOT_WINDOW = (date(2000, 8, 1), date(2001, 7, 31))
 AUDIT_DAY = date(2001, 6, 30)
 
 
@@ -93,6 +96,12 @@ def _kpi_drift(s: Shop) -> DataFrame:
     )
 
 
+def _pilot(s: Shop) -> DataFrame:
+    """Pilot groups read out on the last year of orders."""
+    groups = pilot.assigned(s.segments)
+    return pilot.outcomes(groups, s.curated, PILOT_WINDOW[0], PILOT_WINDOW[1])
+
+
 def _marts(s: Shop) -> dict[str, DataFrame]:
     return {
         "v_monthly_revenue": marts.monthly_revenue(s.curated),
@@ -155,6 +164,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "f7_items_for_bi": lambda s: s.lines,
     "f8_line_fact_totals": lambda s: facts.line_fact_totals(s.lines),
     "f9_dim_customers_for_bi": lambda s: s.dim_customers,
+    "p10_items_display": lambda s: display.with_display_names(s.lines),
     # Marts and lifecycle
     "m1_last_complete_month": lambda s: marts.last_complete_month(s.curated),
     "m2_monthly_revenue": lambda s: marts.monthly_revenue(s.curated),
@@ -257,6 +267,8 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     # Documented computations
     "x1_order_reconciliation": lambda s: winback.reconciliation(s.baskets, s.items),
     "x2_shared_order_counts": lambda s: winback.shared_order_counts(s.segments),
+    "x4_pilot_readout": lambda s: pilot.readout(_pilot(s)),
+    "x4_pilot_intervals": lambda s: pilot.pilot_intervals(_pilot(s)),
     "x3_cohort_rebound": lambda s: lifecycle.cohort_rebound(s.retention),
     "x3_dilution_correlation": lambda s: lifecycle.dilution_correlation(s.customer_months, s.retention),
 }
