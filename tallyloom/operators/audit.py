@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.config import RetailConfig
-from tallyloom.functions.numeric import rounded, rounded_ratio
-from tallyloom.functions.text import trimmed
+from tallyloom.functions.numeric import rounded_ratio
+from tallyloom.functions.text import iso_date, trimmed
 from tallyloom.operators.checks import (
     CLEAN_CHECKS, COVERAGE_FAULTS, COVERAGE_MESSAGES, FOREIGN_COUNTRY, RAW_CHECKS,
 )
@@ -31,6 +31,10 @@ _COUNTS = "check_order int, issue_count bigint, table_rows bigint"
 _INVENTORY = "table_name string, column_name string, data_type string, ordinal_position int"
 
 
+def _text(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
 # --- schema contract --------------------------------------------------------
 
 def column_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -97,10 +101,6 @@ class RawSource:
     inventory: DataFrame
 
 
-def _text(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
 def _as_rows(one_row: DataFrame, checks: dict[int, tuple[str, str]]) -> DataFrame:
     """Counters of a one-row frame as (check_order, issue_count, table_rows)."""
     parts = ", ".join(
@@ -111,15 +111,17 @@ def _as_rows(one_row: DataFrame, checks: dict[int, tuple[str, str]]) -> DataFram
 
 
 def _orphan_rows(keys: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
-    """Rows whose non-NULL key is not in the lookup, from per-key row counts.
+    """Rows whose non-blank key is not in the lookup, from per-key row counts.
 
-    An outer join, because an anti join would be pushed below the counts and
-    meet every row of a hot key.
+    Rows are counted per key as written, and only the distinct keys are trimmed.
+    The join is an outer one, because an anti join would be pushed below the
+    counts and meet every row of a hot key.
     """
-    counted = keys.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    known = lookup.select(F.col(lookup_key).alias("_known")).filter("_known IS NOT NULL").distinct()
-    missing = F.when(F.col("_known").isNull(), F.col("n"))
-    return counted.join(known, F.col(key) == F.col("_known"), "left").agg(
+    clean = lambda c: F.nullif(trimmed(_text(c)), F.lit(""))
+    counted = keys.groupBy(F.col(key).alias("_raw")).agg(F.count("*").alias("n"))
+    known = lookup.select(clean(lookup_key).alias("_known")).filter("_known IS NOT NULL").distinct()
+    missing = F.when(F.col("_key").isNotNull() & F.col("_known").isNull(), F.col("n"))
+    return counted.withColumn("_key", clean("_raw")).join(known, F.col("_key") == F.col("_known"), "left").agg(
         F.coalesce(F.sum(missing), F.lit(0)).alias("orphans")
     )
 
@@ -139,7 +141,7 @@ def _lookup_checks(raw: DataFrame, column: str, present: bool, first: int, count
     })
 
 
-def _header_checks(spark: SparkSession, raw: DataFrame, expected: tuple[str, ...], first: int) -> list[tuple]:
+def _header_checks(raw: DataFrame, expected: tuple[str, ...], first: int) -> list[tuple]:
     have = set(raw.columns)
     missing = len([c for c in expected if c not in have])
     extra = len([c for c in have if c not in expected])
@@ -160,8 +162,8 @@ def raw_audit(src: RawSource, cfg: RetailConfig) -> DataFrame:
     customers_ok = "CustomerID" in src.customers.columns
     products_ok = "ProductID" in src.products.columns
 
-    schema_rows = _header_checks(spark, src.customers, CUSTOMER_COLUMNS, 1)
-    schema_rows += _header_checks(spark, src.products, PRODUCT_COLUMNS, 3)
+    schema_rows = _header_checks(src.customers, CUSTOMER_COLUMNS, 1)
+    schema_rows += _header_checks(src.products, PRODUCT_COLUMNS, 3)
     for first, prefix, expected in ((5, "orders", ORDER_HEADERS), (7, "items", ITEM_HEADERS)):
         found = contracts[prefix]
         schema_rows.append((first, found["shards_missing_columns"], found["shards"]))
@@ -183,7 +185,7 @@ def raw_audit(src: RawSource, cfg: RetailConfig) -> DataFrame:
     counts = reduce(DataFrame.unionByName, parts)
     handling = F.when(F.col("issue_count").isNull(), F.col("_skipped")).otherwise(F.col("_done"))
     pct = F.when(F.col("table_rows") > 0, rounded_ratio(F.col("issue_count") * 100, F.col("table_rows"), 3))
-    return _audit_table(counts, literals.withColumn("_h", F.lit(1)), handling, pct)
+    return _audit_table(counts, literals, handling, pct)
 
 
 def _audit_table(counts: DataFrame, literals: DataFrame, handling: Column, pct: Column) -> DataFrame:
@@ -196,8 +198,6 @@ def _audit_table(counts: DataFrame, literals: DataFrame, handling: Column, pct:
 
 
 def _raw_order_checks(src: RawSource, cfg: RetailConfig, customers_ok: bool) -> DataFrame:
-    from tallyloom.functions.text import iso_date
-
     rows = in_window(src.orders, cfg).select(
         _text("OrderID").alias("o"), _text("CustomerID").alias("c"), _text("OrderDate").alias("d"),
     ).select(
@@ -214,8 +214,7 @@ def _raw_order_checks(src: RawSource, cfg: RetailConfig, customers_ok: bool) ->
         F.count_if((F.col("o") != F.col("to")) | (F.col("c") != F.col("tc"))).alias("padded"),
     )
     if customers_ok:
-        known = src.customers.select(F.nullif(trimmed(_text("CustomerID")), F.lit("")).alias("id")).filter("id IS NOT NULL")
-        one = one.crossJoin(_orphan_rows(rows.select(F.nullif("tc", F.lit("")).alias("key")), "key", known, "id"))
+        one = one.crossJoin(_orphan_rows(rows, "c", src.customers, "CustomerID"))
     else:
         one = one.withColumn("orphans", F.lit(None).cast("bigint"))
     return _as_rows(one, {
@@ -252,8 +251,7 @@ def _raw_item_checks(src: RawSource, cfg: RetailConfig, products_ok: bool) -> Da
     keys = rows.select(key.alias("k")).filter("k IS NOT NULL").distinct().agg(F.count("*").alias("keys"))
     one = one.crossJoin(keys)
     if products_ok:
-        known = src.products.select(F.nullif(trimmed(_text("ProductID")), F.lit("")).alias("id")).filter("id IS NOT NULL")
-        one = one.crossJoin(_orphan_rows(rows.select(F.nullif("tp", F.lit("")).alias("key")), "key", known, "id"))
+        one = one.crossJoin(_orphan_rows(rows, "p", src.products, "ProductID"))
     else:
         one = one.withColumn("orphans", F.lit(None).cast("bigint"))
     return _as_rows(one, {
@@ -282,7 +280,7 @@ def clean_audit(
         F.count_if(F.col("order_date") > now).alias("future"),
         F.count_if((pct < 0) | (pct > 1)).alias("bad_pct"),
         (F.count("*") - F.countDistinct("order_id")).alias("repeats"),
-    ).crossJoin(_orphan_rows(orders.select("customer_id"), "customer_id", customers.select("customer_id"), "customer_id"))
+    ).crossJoin(_orphan_rows(orders, "customer_id", customers, "customer_id"))
 
     # Orders against items at order grain: one row per order on both sides.
     met = orders.select("order_id", "basket_item_count").join(
@@ -305,9 +303,7 @@ def clean_audit(
     )
     pair = F.concat("order_id", F.lit("|"), "product_id")
     pairs = items.select(pair.alias("k")).filter("k IS NOT NULL").distinct().agg(F.count("*").alias("pairs"))
-    orphans = _orphan_rows(
-        items.select("product_id"), "product_id", products.select("product_id"), "product_id"
-    ).withColumnRenamed("orphans", "p_orphans")
+    orphans = _orphan_rows(items, "product_id", products, "product_id").withColumnRenamed("orphans", "p_orphans")
     facts = order_part.crossJoin(met).crossJoin(item_part).crossJoin(pairs).crossJoin(orphans)
 
     def key_part(df: DataFrame, key: str, p: str) -> DataFrame:

@@ -750,7 +750,7 @@ FROM (SELECT *, CASE grp WHEN 'offer_15' THEN 0.15 WHEN 'offer_20' THEN 0.20 ELS
 LEFT JOIN (SELECT customer_id, sum(order_value) AS v, sum(order_profit) AS p FROM k_curated WHERE order_date BETWEEN DATE '2000-08-01' AND DATE '2001-07-31' GROUP BY 1) USING (customer_id)
 GROUP BY 1, 2"""
 add("x4_pilot_readout", f"""SELECT o.segment, o.grp AS "group", o.n, round({div('o.x', 'o.n')}, 4) AS offer_mean, round({div('h.x', 'h.n')}, 4) AS holdout_mean,
-  round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 4) AS per_customer, round(CAST(o.d AS DOUBLE), 4) AS discount_spend, round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / CAST(o.d AS DOUBLE), 8) AS per_euro
+  round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 4) AS per_customer, round(CAST(o.d AS DOUBLE), 4) AS discount_spend, round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0), 8) AS per_euro
   FROM k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'""",
     "segment:s group:s n:i offer_mean:d holdout_mean:d per_customer:d discount_spend:d per_euro:d")
 add("p10_items_display", """SELECT order_id AS "Order ID", product_id AS "Product ID", customer_id AS "Customer ID", order_date AS "Order Date", quantity AS "Quantity", line_net_amount AS "Line Net Amount",
