@@ -20,7 +20,7 @@ from tallyloom.plans.queries import all_queries  # noqa: E402
 
 STAGES = (
     "raw_orders", "raw_items", "raw_customers", "raw_products", "inventory", "orders_cleaned", "items_cleaned", "orders", "items", "customers",
-    "products", "catalogue", "order_totals", "baskets", "curated", "lines", "customer_rfm", "segments",
+    "products", "catalogue", "priced", "order_totals", "baskets", "curated", "lines", "customer_rfm", "segments",
     "dim_customers", "customer_months", "retention", "new_returning", "economics",
 )
 HEADLINE = (

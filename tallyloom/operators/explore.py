@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.config import RECENCY_BUCKETS, REVENUE_TILES
 from tallyloom.functions.dates import month_label, month_start
-from tallyloom.functions.numeric import MONEY, money, rounded, rounded_mean, rounded_ratio, share_pct
+from tallyloom.functions.numeric import MONEY, money, rounded_mean, rounded_ratio, share_pct
 from tallyloom.operators.ordering import ntiles, percentiles
 from tallyloom.sources.staging import written
 
@@ -81,7 +81,7 @@ def country_breakdown(baskets: DataFrame, customers: DataFrame) -> DataFrame:
             money(F.sum("value")).alias("total_revenue"),
         )
     )
-    whole = by_country.agg(F.sum("total_revenue").alias("_all"))
+    whole = with_lines(baskets).agg(F.sum("order_value").alias("_all"))
     return (
         by_country.crossJoin(F.broadcast(whole))
         .withColumn("revenue_share_pct", share_pct(F.col("total_revenue"), F.col("_all")))
@@ -110,7 +110,10 @@ def monthly_temporal_pattern(baskets: DataFrame) -> DataFrame:
 
 def customer_frequency_distribution(baskets: DataFrame) -> DataFrame:
     per_customer = baskets.groupBy("customer_id").agg(F.count("*").alias("order_count"))
-    by_count = per_customer.groupBy("order_count").agg(F.count("*").alias("customers_with_this_count"))
+    # Written, so that the total does not count the orders again.
+    by_count = written(
+        per_customer.groupBy("order_count").agg(F.count("*").alias("customers_with_this_count")), "frequency"
+    )
     whole = by_count.agg(F.sum("customers_with_this_count").alias("_all"))
     return (
         by_count.crossJoin(F.broadcast(whole))
@@ -152,7 +155,7 @@ def pareto_concentration(baskets: DataFrame) -> DataFrame:
     by_decile = tiled.groupBy("revenue_decile").agg(
         F.count("*").alias("customers_in_decile"), money(F.sum("total_spend")).alias("decile_revenue")
     )
-    whole = by_decile.agg(F.sum("decile_revenue").alias("_all"))
+    whole = spend.agg(F.sum("total_spend").alias("_all"))
     return (
         by_decile.crossJoin(F.broadcast(whole))
         .withColumn("pct_of_total_revenue", share_pct(F.col("decile_revenue"), F.col("_all")))

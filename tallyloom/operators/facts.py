@@ -17,41 +17,56 @@ def line_cost() -> Column:
     return F.col("quantity").cast("decimal(20,0)") * F.col("unit_cost")
 
 
+def priced_items(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Validated lines with their product's attributes, NULL when it is unknown.
+
+    ``copy`` numbers the rows of a repeated product key. The one join of lines
+    to products; pass ``products`` as catalogue(products) in a stage table, so
+    that the join reads it by a plain shuffle and a product holding very many
+    lines can be split.
+    """
+    return items.drop("source_month", "cleaning_flags").join(
+        products, F.col("product_id") == F.col("_product"), "left"
+    ).withColumnRenamed("_product", "known_product")
+
+
 def catalogue(products: DataFrame) -> DataFrame:
-    """Product attributes, with copies of a repeated product key numbered."""
+    """Product attributes, with the copies of a repeated product key numbered."""
     order = Window.partitionBy("product_id").orderBy("product_name", "brand", "unit_cost")
     return products.filter("product_id IS NOT NULL").select(
-        F.col("product_id").alias("_product"), "product_category", "brand", "unit_cost",
-        F.row_number().over(order).alias("_copy"),
+        F.col("product_id").alias("_product"), "product_name", "product_category", "brand", "unit_cost",
+        F.col("margin_pct").alias("product_margin_pct"),
+        F.row_number().over(order).alias("copy"),
     )
 
 
-def order_totals(items: DataFrame, numbered: DataFrame) -> DataFrame:
+def order_totals(priced: DataFrame) -> DataFrame:
     """Per order: all validated lines, and the lines with a known product.
 
     One shuffle on order_id serves the exploration tables (all lines) and the
-    curated fact (known products only). ``numbered`` is the catalogue; pass it
-    as a stage table, so that the join reads it by a plain shuffle and a product
-    holding very many lines can be split.
+    curated fact (known products only).
     """
-    lines = items.join(numbered, F.col("product_id") == F.col("_product"), "left")
-    known = F.col("_product").isNotNull()
-    once = ~known | (F.col("_copy") == 1)
+    known = F.col("known_product").isNotNull()
+    once = ~known | (F.col("copy") == 1)
     net = F.col("line_net_amount")
     # The largest line decides; on a tie, the smallest product id.
     leading = F.struct((-net).alias("a"), F.col("product_id").alias("b"))
-    return lines.groupBy("order_id").agg(
+    return priced.groupBy("order_id").agg(
         F.count_if(once).alias("line_count"),
         F.sum(F.when(once, net)).cast(MONEY).alias("line_value"),
         F.count_if(known).alias("known_lines"),
         F.sum(F.when(known, net)).cast(MONEY).alias("order_value"),
         F.sum(F.when(known, line_cost())).alias("cost"),
         F.sum(F.when(known, F.col("quantity"))).alias("total_units"),
-        F.count_if(F.col("_copy") == 1).alias("distinct_products"),
+        F.count_if(F.col("copy") == 1).alias("distinct_products"),
         F.min_by(F.struct("product_category", "brand"), F.when(known, leading)).alias("lead"),
     )
 
 
+def known_lines(priced: DataFrame) -> DataFrame:
+    return priced.filter("known_product IS NOT NULL")
+
+
 def sales_curated(orders: DataFrame, totals: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per order that has at least one line with a known product."""
     places = customers.select(F.col("customer_id").alias("_customer"), "country", "state", "city")
@@ -81,12 +96,11 @@ def order_baskets(orders: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def items_for_bi(items: DataFrame, curated: DataFrame, products: DataFrame) -> DataFrame:
+def items_for_bi(priced: DataFrame, curated: DataFrame) -> DataFrame:
     net = F.col("line_net_amount")
     profit = net - line_cost()
     return (
-        items.join(products.select("product_id", "unit_cost"), "product_id")
-        .join(curated.select("order_id", "customer_id", "order_date"), "order_id")
+        known_lines(priced).join(curated.select("order_id", "customer_id", "order_date"), "order_id")
         .select(
             "order_id", "product_id", "customer_id", "order_date", "quantity", "line_net_amount",
             money(profit).alias("line_profit"),
@@ -95,25 +109,17 @@ def items_for_bi(items: DataFrame, curated: DataFrame, products: DataFrame) -> D
     )
 
 
-def product_analytics(items: DataFrame, curated: DataFrame, products: DataFrame) -> DataFrame:
-    catalogue = products.select(
-        "product_id", "product_name", "product_category", "brand", "unit_cost",
-        F.col("margin_pct").alias("product_margin_pct"),
-    )
+def product_analytics(priced: DataFrame, curated: DataFrame) -> DataFrame:
     orders = curated.select(
         "order_id", "customer_id", "order_date", "country", "state", "city", "order_discount_pct",
         "order_value", "order_cost", "order_profit", "order_margin_pct",
     )
-    lines = items.select("order_id", "product_id", "quantity", "unit_price", "line_net_amount")
-    return (
-        lines.join(catalogue, "product_id").join(orders, "order_id")
-        .select(
-            *orders.columns, "product_id", "product_name", "product_category", "brand",
-            "product_margin_pct", "quantity", "unit_price",
-            F.col("line_net_amount").alias("line_revenue"),
-            money(line_cost()).alias("line_cost"),
-            money(F.col("line_net_amount") - line_cost()).alias("line_profit"),
-        )
+    return known_lines(priced).join(orders, "order_id").select(
+        *orders.columns, "product_id", "product_name", "product_category", "brand",
+        "product_margin_pct", "quantity", "unit_price",
+        F.col("line_net_amount").alias("line_revenue"),
+        money(line_cost()).alias("line_cost"),
+        money(F.col("line_net_amount") - line_cost()).alias("line_profit"),
     )
 
 

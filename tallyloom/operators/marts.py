@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import last_complete_month as last_complete
 from tallyloom.functions.dates import month_label, month_start
-from tallyloom.functions.numeric import MONEY, money, rounded, rounded_mean, rounded_ratio
-from tallyloom.operators.facts import line_cost
+from tallyloom.functions.numeric import money, rounded_ratio
+from tallyloom.operators.facts import known_lines, line_cost
 from tallyloom.operators.ordering import ranks
 from tallyloom.sources.staging import written
 
@@ -51,13 +51,6 @@ def monthly_revenue(curated: DataFrame) -> DataFrame:
     )
 
 
-def _known_lines(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Validated lines with product attributes, with or without a validated order."""
-    return items.select("order_id", "product_id", "quantity", "line_net_amount").join(
-        products.select("product_id", "product_category", "brand", "unit_cost"), "product_id"
-    )
-
-
 def product_performance(items: DataFrame, products: DataFrame) -> DataFrame:
     """Every validated line counts, also lines whose order was not validated.
 
@@ -95,8 +88,9 @@ def top_products(performance: DataFrame, rows: int = 15) -> DataFrame:
     return performance.crossJoin(F.broadcast(last)).filter("total_revenue >= _cut").drop("_cut")
 
 
-def brand_profitability(items: DataFrame, products: DataFrame) -> DataFrame:
-    lines = _known_lines(items, products)
+def brand_profitability(priced: DataFrame) -> DataFrame:
+    """Every validated line of a known product counts, with or without its order."""
+    lines = known_lines(priced)
     revenue, cost = F.sum("value"), F.sum("cost")
     # Per brand and order first: the orders of a brand are then a plain count.
     per_order = lines.groupBy("brand", "order_id").agg(
@@ -113,16 +107,12 @@ def brand_profitability(items: DataFrame, products: DataFrame) -> DataFrame:
         rounded_ratio(revenue - cost, revenue, 4).alias("brand_margin_pct"),
         rounded_ratio(revenue, F.sum("units"), 2).alias("revenue_per_unit"),
     )
-    sold = items.select("product_id").distinct()
-    variety = (
-        sold.join(products.select("product_id", "brand").distinct(), "product_id")
-        .groupBy("brand").agg(F.count("*").alias("product_count"))
-    )
-    whole = by_brand.agg(F.sum("total_revenue").alias("_all"))
+    variety = lines.groupBy("brand", "product_id").agg(F.lit(1).alias("_sold")).groupBy(
+        F.col("brand").alias("_brand")
+    ).agg(F.count("*").alias("product_count"))
+    whole = lines.agg(F.sum("line_net_amount").alias("_all"))
     return (
-        by_brand.join(
-            variety.withColumnRenamed("brand", "_brand"), F.col("brand").eqNullSafe(F.col("_brand"))
-        )
+        by_brand.join(variety, F.col("brand").eqNullSafe(F.col("_brand")))
         .crossJoin(F.broadcast(whole))
         .withColumn("revenue_share", rounded_ratio(F.col("total_revenue"), F.col("_all"), 4))
         .drop("_all", "_brand")
@@ -130,7 +120,8 @@ def brand_profitability(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def _by_place(curated: DataFrame, place: list[str], names: dict[str, str]) -> DataFrame:
-    per_customer = curated.filter("country IS NOT NULL").groupBy(*place, "customer_id").agg(
+    placed = curated.filter("country IS NOT NULL")
+    per_customer = placed.groupBy(*place, "customer_id").agg(
         F.count("*").alias("orders"), F.sum("order_value").alias("value"),
         F.sum("order_profit").alias("profit"),
     )
@@ -144,7 +135,7 @@ def _by_place(curated: DataFrame, place: list[str], names: dict[str, str]) -> Da
         rounded_ratio(value, F.count("*"), 2).alias("arpu"),
         rounded_ratio(value, F.sum("orders"), 2).alias("avg_order_value"),
     )
-    whole = by_place.agg(F.sum(names["revenue"]).alias("_all"))
+    whole = placed.agg(F.sum("order_value").alias("_all"))
     return (
         by_place.crossJoin(F.broadcast(whole))
         .withColumn("revenue_share", rounded_ratio(F.col(names["revenue"]), F.col("_all"), 4))
@@ -166,9 +157,9 @@ def country_summary(curated: DataFrame) -> DataFrame:
     )
 
 
-def category_monthly_trend(items: DataFrame, products: DataFrame, curated: DataFrame) -> DataFrame:
+def category_monthly_trend(priced: DataFrame, curated: DataFrame) -> DataFrame:
     # One row per order, category and brand before the join to the order dates.
-    per_order = _known_lines(items, products).groupBy("order_id", "product_category", "brand").agg(
+    per_order = known_lines(priced).groupBy("order_id", "product_category", "brand").agg(
         F.sum("quantity").alias("units"), F.sum("line_net_amount").alias("value"),
         F.sum(line_cost()).alias("cost"),
     )

@@ -229,6 +229,8 @@ def _joined(star: Star, fact: str, names: Sequence[str], base: DataFrame | None
         side = table.select(
             F.col(key).alias("_key"), *[F.col(c).alias(f"_{dimension}_{c}") for c in columns]
         )
+        if dimension == "date":
+            side = F.broadcast(side)  # one row per calendar day
         base = base.join(side, F.col(fact_key) == F.col("_key"), "left").drop("_key")
     return base
 

@@ -206,12 +206,16 @@ def ranks(df: DataFrame, wanted: dict[str, tuple[str, str | None]]) -> DataFrame
     same_block = (
         (F.col("_rank") == F.col("_sr")) & F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_block") == F.col("_sb"))
     )
-    ranked = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, same_block)
+    ranked = written(
+        blocks.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, same_block)
+        .select("_rank", "_g", "_v", (F.col("_start") + F.col("_before") + 1).alias("_place")),
+        "ranks",
+    )
     out = df
     for name, (value, group) in wanted.items():
         side = ranked.filter(F.col("_rank") == name).select(
             F.col("_g").alias("_rg"), F.col("_v").alias("_rv"),
-            (F.col("_start") + F.col("_before") + 1).alias(name),
+            F.col("_place").alias(name),
         )
         same = F.col(value).cast("decimal(38,9)").eqNullSafe(F.col("_rv"))
         if group:

@@ -71,7 +71,7 @@ def revenue_by_decile(star: Star) -> DataFrame:
     deciles = m.with_decile(star.customers).groupBy("customer_decile").agg(
         F.count("*").alias("customers"), F.sum("total_spend").alias("spend")
     )
-    whole = deciles.agg(F.sum("spend").alias("_all"))
+    whole = star.customers.agg(F.sum("total_spend").alias("_all"))
     running = Window.orderBy("customer_decile").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return deciles.crossJoin(F.broadcast(whole)).select(
         "customer_decile", "customers", "spend",

@@ -96,7 +96,7 @@ def segment_summary(segments: DataFrame) -> DataFrame:
         F.min("rfm_total_score").alias("min_score"),
         F.max("rfm_total_score").alias("max_score"),
     )
-    whole = per_segment.agg(F.sum("customer_count").alias("_all"))  # six rows in, one out
+    whole = segments.agg(F.count("*").alias("_all"))
     return (
         per_segment.crossJoin(F.broadcast(whole))
         .withColumn("pct_of_total", rounded_ratio(F.col("customer_count") * 100, F.col("_all"), 1))

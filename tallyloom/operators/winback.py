@@ -39,7 +39,7 @@ def segment_shares(segments: DataFrame) -> DataFrame:
         money(F.sum("monetary_value")).alias("revenue"),
         money(F.sum("total_profit")).alias("profit"),
     )
-    whole = per_segment.agg(F.sum("customers").alias("_c"), F.sum("revenue").alias("_r"))
+    whole = segments.agg(F.count("*").alias("_c"), F.sum("monetary_value").alias("_r"))
     return per_segment.crossJoin(F.broadcast(whole)).withColumns({
         "customer_share_pct": ratio(F.col("customers"), F.col("_c")) * 100,
         "revenue_share_pct": ratio(F.col("revenue"), F.col("_r")) * 100,

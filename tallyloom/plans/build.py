@@ -111,9 +111,13 @@ class Shop:
     def catalogue(self) -> DataFrame:
         return self._stage("catalogue", lambda: facts.catalogue(self.products))
 
+    @cached_property
+    def priced(self) -> DataFrame:
+        return self._stage("priced_items", lambda: facts.priced_items(self.items, self.catalogue))
+
     @cached_property
     def order_totals(self) -> DataFrame:
-        return self._stage("order_totals", lambda: facts.order_totals(self.items, self.catalogue))
+        return self._stage("order_totals", lambda: facts.order_totals(self.priced))
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -129,7 +133,7 @@ class Shop:
     @cached_property
     def lines(self) -> DataFrame:
         return self._stage(
-            "items_for_bi", lambda: facts.items_for_bi(self.items, self.curated, self.products)
+            "items_for_bi", lambda: facts.items_for_bi(self.priced, self.curated)
         )
 
     @cached_property

@@ -106,9 +106,9 @@ def _marts(s: Shop) -> dict[str, DataFrame]:
     return {
         "v_monthly_revenue": marts.monthly_revenue(s.curated),
         "v_product_performance": marts.product_performance(s.items, s.products),
-        "v_brand_profitability": marts.brand_profitability(s.items, s.products),
+        "v_brand_profitability": marts.brand_profitability(s.priced),
         "v_regional_performance": marts.regional_performance(s.curated),
-        "v_category_monthly_trend": marts.category_monthly_trend(s.items, s.products, s.curated),
+        "v_category_monthly_trend": marts.category_monthly_trend(s.priced, s.curated),
         "v_country_summary": marts.country_summary(s.curated),
     }
 
@@ -159,7 +159,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "f2_customer_rfm": lambda s: s.customer_rfm,
     "f3_rfm_customer_segments": lambda s: s.segments,
     "f4_rfm_for_bi": lambda s: s.rfm_for_bi,
-    "f5_product_analytics": lambda s: facts.product_analytics(s.items, s.curated, s.products),
+    "f5_product_analytics": lambda s: facts.product_analytics(s.priced, s.curated),
     "f6_segment_summary": lambda s: rfm.segment_summary(s.segments),
     "f7_items_for_bi": lambda s: s.lines,
     "f8_line_fact_totals": lambda s: facts.line_fact_totals(s.lines),
@@ -169,13 +169,13 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "m1_last_complete_month": lambda s: marts.last_complete_month(s.curated),
     "m2_monthly_revenue": lambda s: marts.monthly_revenue(s.curated),
     "m3_product_performance": lambda s: marts.product_performance(s.items, s.products),
-    "m4_brand_profitability": lambda s: marts.brand_profitability(s.items, s.products),
+    "m4_brand_profitability": lambda s: marts.brand_profitability(s.priced),
     "m5_regional_performance": lambda s: marts.regional_performance(s.curated),
-    "m6_category_monthly_trend": lambda s: marts.category_monthly_trend(s.items, s.products, s.curated),
+    "m6_category_monthly_trend": lambda s: marts.category_monthly_trend(s.priced, s.curated),
     "m7_country_summary": lambda s: marts.country_summary(s.curated),
     "m8_mart_row_counts": lambda s: marts.mart_row_counts(_marts(s)),
     "m8_last_month_check": lambda s: marts.last_month_check(
-        marts.monthly_revenue(s.curated), marts.category_monthly_trend(s.items, s.products, s.curated)),
+        marts.monthly_revenue(s.curated), marts.category_monthly_trend(s.priced, s.curated)),
     "m9_cohort_retention": lambda s: s.retention,
     "m10_revenue_new_returning": lambda s: s.new_returning,
     # Measures

@@ -37,7 +37,7 @@ def small_shop(spark):
 
 def curated_of(spark):
     orders, items, products, customers = small_shop(spark)
-    totals = facts.order_totals(items, facts.catalogue(products))
+    totals = facts.order_totals(facts.priced_items(items, facts.catalogue(products)))
     return facts.sales_curated(orders, totals, customers), facts.order_baskets(orders, totals)
 
 
@@ -58,7 +58,7 @@ def test_curated_orders(spark):
 def test_repeated_product_key_counts_one_product(spark):
     orders, items, products, customers = small_shop(spark)
     doubled = products.unionByName(products.filter("product_id = 'P1'"))
-    totals = facts.order_totals(items, facts.catalogue(doubled))
+    totals = facts.order_totals(facts.priced_items(items, facts.catalogue(doubled)))
     o1 = facts.sales_curated(orders, totals, customers).filter("order_id = 'O1'").first()
     assert (o1.distinct_products, o1.order_value) == (2, D("15.00"))  # the sum fans out, the count does not
     assert facts.order_baskets(orders, totals).filter("order_id = 'O1'").first().line_count == 2
@@ -67,7 +67,7 @@ def test_repeated_product_key_counts_one_product(spark):
 def test_both_grains_agree(spark):
     orders, items, products, customers = small_shop(spark)
     curated, _ = curated_of(spark)
-    lines = facts.items_for_bi(items, curated, products)
+    lines = facts.items_for_bi(facts.priced_items(items, facts.catalogue(products)), curated)
     assert {r.order_id for r in lines.collect()} == {"O1", "O2", "O4"}
     assert facts.line_fact_totals(lines).first().total_revenue == curated.agg(F.sum("order_value")).first()[0]
 
