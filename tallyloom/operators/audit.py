@@ -7,7 +7,7 @@ no check brings the rows of one key together.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -68,23 +68,22 @@ def _shards(inventory: DataFrame, prefix: str, cfg: RetailConfig) -> DataFrame:
     return inventory.filter((month != "") & month.between(cfg.start_month, cfg.end_month))
 
 
-def schema_contract(inventory: DataFrame, prefix: str, expected: Iterable[str], cfg: RetailConfig) -> DataFrame:
+def schema_contract(inventory: DataFrame, prefix: str, expected: Sequence[str], cfg: RetailConfig) -> DataFrame:
     """Shards, shards with a missing column, and columns with several types. One row."""
-    spark = inventory.sparkSession
-    names = spark.createDataFrame([(c,) for c in expected], "column_name string")
     shards = _shards(inventory, prefix, cfg)
-    tables = shards.select("table_name").distinct()
-    needed = tables.crossJoin(F.broadcast(names))  # shards x a handful of names
-    missing = needed.join(shards, ["table_name", "column_name"], "left_anti")
+    wanted = F.when(F.col("column_name").isin(*expected), F.col("column_name"))
+    per_shard = shards.groupBy("table_name").agg(F.countDistinct(wanted).alias("have")).agg(
+        F.count("*").alias("shards"),
+        F.count_if(F.col("have") < len(expected)).alias("shards_missing_columns"),
+    )
     drift = (
-        shards.join(F.broadcast(names), "column_name", "left_semi")
-        .groupBy("column_name").agg(F.countDistinct("data_type").alias("types")).filter("types > 1")
+        shards.filter(F.col("column_name").isin(*expected))
+        .groupBy("column_name").agg(F.countDistinct("data_type").alias("types"))
+        .agg(F.count_if(F.col("types") > 1).alias("columns_with_type_drift"))
     )
-    return (
-        tables.agg(F.count("*").alias("shards"))
-        .crossJoin(missing.agg(F.countDistinct("table_name").alias("shards_missing_columns")))
-        .crossJoin(drift.agg(F.count("*").alias("columns_with_type_drift")))
-        .withColumn("contract_ok", F.expr("shards_missing_columns = 0 and columns_with_type_drift = 0"))
+    return per_shard.crossJoin(F.broadcast(drift)).select(
+        F.lit(prefix).alias("source"), "*",
+        F.expr("shards_missing_columns = 0 and columns_with_type_drift = 0").alias("contract_ok"),
     )
 
 
@@ -155,9 +154,10 @@ def raw_audit(src: RawSource, cfg: RetailConfig) -> DataFrame:
     says it was skipped; the rest of the audit still runs.
     """
     spark = src.orders.sparkSession
-    contracts = {}
-    for prefix, expected in (("orders", ORDER_HEADERS), ("items", ITEM_HEADERS)):
-        contracts[prefix] = schema_contract(src.inventory, prefix, expected, cfg).first()
+    both = schema_contract(src.inventory, "orders", ORDER_HEADERS, cfg).unionByName(
+        schema_contract(src.inventory, "items", ITEM_HEADERS, cfg)
+    )
+    contracts = {row["source"]: row for row in both.collect()}  # two rows
     orders_ok, items_ok = contracts["orders"]["contract_ok"], contracts["items"]["contract_ok"]
     customers_ok = "CustomerID" in src.customers.columns
     products_ok = "ProductID" in src.products.columns

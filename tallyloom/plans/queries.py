@@ -50,7 +50,7 @@ def _raw_source(s: Shop) -> audit.RawSource:
 
 def _schema_contract(s: Shop) -> DataFrame:
     parts = [
-        audit.schema_contract(s.inventory, kind, expected, s.cfg).withColumn("source", F.lit(kind))
+        audit.schema_contract(s.inventory, kind, expected, s.cfg)
         for kind, expected in (("orders", audit.ORDER_HEADERS), ("items", audit.ITEM_HEADERS))
     ]
     return parts[0].unionByName(parts[1])
