@@ -136,7 +136,7 @@ def segment_margin_all(economics: DataFrame) -> DataFrame:
     )
     return (
         rows.join(F.broadcast(above), F.col("sort_order") == F.col("_next"), "left")
-        .withColumn("falls_from_above", F.col("_above") > F.col("gross_margin"))
+        .withColumn("falls_from_above", F.coalesce(F.col("_above") > F.col("gross_margin"), F.lit(False)))
         .drop("_next", "_above").crossJoin(F.broadcast(totals)).orderBy("sort_order")
     )
 

@@ -683,7 +683,7 @@ add("v3_contribution_per_euro", f"SELECT segment, discount_rate, gross_margin, {
 STEPS["k_grid"] = f"""SELECT g.segment, g.gross_margin, p.discount_rate, {_KEPT} AS contribution_per_eur FROM (SELECT segment, gross_margin FROM k_margins WHERE {_RISK}) g CROSS JOIN (SELECT discount_rate FROM k_playbook) p"""
 add("v4_rate_grid", "SELECT g.*, a.contribution_per_eur / h.contribution_per_eur AS common_ratio FROM k_grid g JOIN k_grid a ON a.discount_rate = g.discount_rate AND a.segment = 'At Risk' JOIN k_grid h ON h.discount_rate = g.discount_rate AND h.segment = 'Hibernating'",
     "segment:s gross_margin:d discount_rate:d contribution_per_eur:d common_ratio:d")
-add("v5_segment_margin_all", """SELECT segment, revenue, profit, mean_pct AS mean_order_discount_pct, gross_margin, sort_order, lag(gross_margin) OVER (ORDER BY sort_order) > gross_margin AS falls_from_above,
+add("v5_segment_margin_all", """SELECT segment, revenue, profit, mean_pct AS mean_order_discount_pct, gross_margin, sort_order, coalesce(lag(gross_margin) OVER (ORDER BY sort_order) > gross_margin, false) AS falls_from_above,
   t.* FROM k_margins JOIN k_strategy USING (segment), (SELECT count(*) AS all_orders, sum(order_value) AS all_revenue, sum(order_profit) AS all_profit, max(order_discount_pct) AS max_order_discount_pct FROM k_curated) t""",
     "segment:s revenue:d profit:d mean_order_discount_pct:d gross_margin:d sort_order:i falls_from_above:b all_orders:i all_revenue:d all_profit:d max_order_discount_pct:d")
 add("v6_compound_discount", "SELECT segment, 1 - (1 - CAST(mean4 AS DOUBLE)) * (1 - CAST(discount_rate AS DOUBLE)) AS off_list_with_offer, aov * contribution AS contribution_per_order, aov * contribution / 10.0::DOUBLE AS break_even_contact_cost FROM k_focus",
