@@ -41,6 +41,17 @@ def _by_band(price: Column, usual: Column, bands: Sequence[tuple[int, int, Colum
     return usual if out is None else out.otherwise(usual)
 
 
+def _hundredths(c: Column) -> Column:
+    """A two-digit double as a whole number of hundredths. Whole-number arithmetic
+    is exact here and far cheaper than decimals built from doubles."""
+    return F.rint(c * 100).cast("bigint")
+
+
+def _money_text(cents: Column) -> Column:
+    whole, rest = F.floor(cents / 100).cast("bigint"), (cents % 100).cast("string")
+    return F.concat(whole.cast("string"), F.lit("."), F.lpad(rest, 2, "0"))
+
+
 def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -93,13 +104,18 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice")
     order, product = _text("l_orderkey"), _text("l_partkey")
     quantity = F.col("l_quantity").cast("bigint")
-    gross = price.cast("decimal(12,2)")
-    net = F.round(gross * (1 - F.col("l_discount").cast("decimal(4,2)")), 2).cast("decimal(14,2)")
-    unit = F.round(gross / quantity.cast("decimal(8,0)"), 2).cast("decimal(12,2)")
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"
     )
-    return _spread(lines).select(
+    # Halves round up: add half the divisor before the whole-number division.
+    gross = _hundredths(price)
+    kept = 100 - _hundredths(F.col("l_discount"))
+    lines = _spread(lines).withColumns({
+        "net": F.floor((gross * kept + 50) / 100).cast("bigint"),
+        "unit": F.floor((2 * gross + quantity) / (2 * quantity)).cast("bigint"),
+    })
+    net, unit = F.col("net"), F.col("unit")
+    return lines.select(
         _by_band(price, order, [
             (10000, 11000, F.concat(F.lit(" "), order)),
             (12000, 12500, F.lit(None).cast("string")),
@@ -119,20 +135,20 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             (7500, 7800, F.lit("")),
             (7800, 8000, F.lit(None).cast("string")),
         ]).alias("Quantity"),
-        _by_band(price, unit.cast("string"), [
+        _by_band(price, _money_text(unit), [
             (8000, 8400, F.lit("-1.50")),
             (8400, 8600, F.lit("n/a")),
             (8600, 8800, F.lit("")),
             (8800, 9000, F.lit(None).cast("string")),
         ]).alias("UnitPrice"),
-        _by_band(price, net.cast("string"), [
-            (1000, 2000, (-net).cast("string")),
+        _by_band(price, _money_text(net), [
+            (1000, 2000, F.concat(F.lit("-"), _money_text(net))),
             (2000, 3000, F.lit("0")),
             (3000, 4000, F.lit("")),
             (4000, 5000, F.lit(None).cast("string")),
             (5000, 6000, F.lit("12,50")),
-            (20000, 25000, (net * 100).cast("decimal(16,0)").cast("string")),
-            (14000, 14500, (net * 100).cast("decimal(16,0)").cast("string")),
+            (20000, 25000, net.cast("string")),
+            (14000, 14500, net.cast("string")),
         ]).alias("LineNetAmount"),
         F.date_format("l_shipdate", "yyyyMM").alias("source_month"),
     )
