@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.config import (
     ACTIVE_MAX_DAYS, COOLING_MAX_DAYS, DEFAULT_REACTIVATION_RATE, HEALTH_BANDS, KPI_CHOICES,
-    REACTIVATION_RATES, RECENCY_BIN_DAYS, RetailConfig, SEGMENT_STRATEGY, WIN_BACK_SEGMENTS,
+    REACTIVATION_RATES, RECENCY_BIN_DAYS, SEGMENT_STRATEGY, WIN_BACK_SEGMENTS,
 )
 from tallyloom.functions.numeric import ratio
 from tallyloom.operators.ordering import percentiles, rank_bands

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -27,16 +25,19 @@ def revenue_and_customers_by_segment(star: Star) -> DataFrame:
 
 def segment_profile(star: Star) -> DataFrame:
     """Per segment and in total; the total row has no segment and is marked."""
-    avg = lambda c: ratio(F.sum(c), F.count(c))
-    scored = star.customers.filter("order_count IS NOT NULL")
-    return scored.rollup("segment").agg(
-        F.grouping("segment").cast("int").alias("is_total"),
-        F.count("*").alias("total_customers"),
-        avg("recency_days").alias("avg_recency_days"),
-        avg("order_count").alias("avg_frequency"),
-        avg("total_spend").alias("avg_monetary"),
-        F.sum("total_spend").alias("total_revenue"),
+    names = ["total_customers", "avg_r_score", "avg_f_score", "avg_m_score", "total_revenue"]
+    rows = evaluate(star, names, ["customer.segment"]).withColumn("is_total", F.lit(0))
+    total = evaluate(star, names).select(
+        F.lit(None).cast("string").alias("segment"), *names, F.lit(1).alias("is_total")
     )
+    return rows.unionByName(total)
+
+
+def top_products(star: Star, rows: int = 15) -> DataFrame:
+    """Best product names by line revenue; names tied with the last place are kept."""
+    by_name = evaluate(star, ["line_revenue"], ["product.product_name"])
+    last = by_name.orderBy(F.desc("line_revenue")).limit(rows).agg(F.min("line_revenue").alias("_cut"))
+    return by_name.crossJoin(F.broadcast(last)).filter("line_revenue >= _cut").drop("_cut")
 
 
 def recency_histogram(star: Star) -> DataFrame:
@@ -69,13 +70,13 @@ def revenue_by_brand(star: Star) -> DataFrame:
 def revenue_by_decile(star: Star) -> DataFrame:
     """Spend per decile with its running share; ten rows."""
     deciles = m.with_decile(star.customers).groupBy("customer_decile").agg(
-        F.count("*").alias("customers"), F.sum("total_spend").alias("spend")
+        F.count("*").alias("customers"), F.sum("total_spend").alias("total_revenue")
     )
     whole = star.customers.agg(F.sum("total_spend").alias("_all"))
     running = Window.orderBy("customer_decile").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return deciles.crossJoin(F.broadcast(whole)).select(
-        "customer_decile", "customers", "spend",
-        ratio(F.sum("spend").over(running), F.col("_all")).alias("cumulative_revenue_pct"),
+        "customer_decile", "customers", "total_revenue",
+        ratio(F.sum("total_revenue").over(running), F.col("_all")).alias("cumulative_revenue_pct"),
         F.lit(PARETO_THRESHOLD).alias("pareto_threshold"),
     )
 

@@ -639,13 +639,18 @@ add("p15_calendar", """SELECT date, year(date) AS year, month(date) AS month, mo
 _SEG = f"""SELECT coalesce(a.segment, b.segment) AS segment, rev, cust FROM (SELECT segment, sum(order_value) AS rev FROM k_full GROUP BY 1) a
   FULL JOIN (SELECT segment, {_SCORED} AS cust FROM k_dim GROUP BY 1) b ON a.segment IS NOT DISTINCT FROM b.segment"""
 add("q2_segment_bars", f"SELECT segment, rev AS total_revenue, cust AS total_customers FROM ({_SEG})", "segment:s total_revenue:d total_customers:i")
-add("q3_segment_profile", f"""SELECT segment, grouping(segment) AS is_total, count(*) AS total_customers, {_AVG('recency_days')} AS avg_recency_days, {_AVG('order_count')} AS avg_frequency, {_AVG('total_spend')} AS avg_monetary,
-  sum(total_spend) AS total_revenue FROM k_dim WHERE order_count IS NOT NULL GROUP BY ROLLUP (segment)""", "segment:s is_total:i total_customers:i avg_recency_days:d avg_frequency:d avg_monetary:d total_revenue:d")
+_SCORES = f"{_SCORED} AS cust, {_AVG('r_score')} AS r, {_AVG('f_score')} AS f, {_AVG('m_score')} AS m"
+add("q3_segment_profile", f"""SELECT coalesce(a.segment, b.segment) AS segment, cust AS total_customers, r AS avg_r_score, f AS avg_f_score, m AS avg_m_score, rev AS total_revenue, 0 AS is_total
+  FROM (SELECT segment, sum(order_value) AS rev FROM k_full GROUP BY 1) a FULL JOIN (SELECT segment, {_SCORES} FROM k_dim GROUP BY 1) b ON a.segment IS NOT DISTINCT FROM b.segment
+  UNION ALL SELECT NULL, cust, r, f, m, (SELECT sum(order_value) FROM k_curated), 1 FROM (SELECT {_SCORES} FROM k_dim)""",
+    "segment:s total_customers:i avg_r_score:d avg_f_score:d avg_m_score:d total_revenue:d is_total:i")
+add("k2_top_products_by_line_revenue", """SELECT product_name, sum(line_net_amount) AS line_revenue FROM k_lines JOIN (SELECT product_id, product_name FROM k_products) USING (product_id)
+  GROUP BY 1 QUALIFY rank() OVER (ORDER BY sum(line_net_amount) DESC) <= 15""", "product_name:s line_revenue:d")
 add("q4_recency_histogram", f"SELECT recency_days // 30 * 30 AS recency_bin, {_SCORED} AS total_customers FROM k_dim WHERE recency_days IS NOT NULL GROUP BY 1", "recency_bin:i total_customers:i")
 add("q5_revenue_by_score", " UNION ALL ".join(f"SELECT '{c.upper()} Score' AS axis, {c}_score AS score, sum(order_value) AS total_revenue FROM k_full WHERE {c}_score IS NOT NULL GROUP BY 2" for c in "rfm"), "axis:s score:i total_revenue:d")
 add("q6_revenue_by_brand", f"SELECT *, (SELECT {_Z('sum(line_profit)', 'sum(line_revenue)')} FROM k_brandm) AS margin_baseline FROM k_brandm", "brand:s line_revenue:d line_profit:d line_margin_pct:d margin_baseline:d")
-add("q7_revenue_by_decile", f"""SELECT customer_decile, count(*) AS customers, sum(total_spend) AS spend, {div('sum(sum(total_spend)) OVER (ORDER BY customer_decile)', '(SELECT sum(total_spend) FROM k_dim)')} AS cumulative_revenue_pct, 0.8 AS pareto_threshold
-  FROM k_decile GROUP BY 1""", "customer_decile:i customers:i spend:d cumulative_revenue_pct:d pareto_threshold:d")
+add("q7_revenue_by_decile", f"""SELECT customer_decile, count(*) AS customers, sum(total_spend) AS total_revenue, {div('sum(sum(total_spend)) OVER (ORDER BY customer_decile)', '(SELECT sum(total_spend) FROM k_dim)')} AS cumulative_revenue_pct, 0.8 AS pareto_threshold
+  FROM k_decile GROUP BY 1""", "customer_decile:i customers:i total_revenue:d cumulative_revenue_pct:d pareto_threshold:d")
 add("q8_recency_stages", f"""WITH s AS (SELECT {_STAGE} FROM k_dim), u AS (SELECT 1 AS stage_order, 'Active' AS stage, revenue_active AS revenue FROM s UNION ALL SELECT 2, 'Cooling', revenue_cooling FROM s UNION ALL SELECT 3, 'Dormant', revenue_dormant FROM s)
   SELECT stage_order, stage, revenue, {div('revenue', '(SELECT sum(revenue) FROM u)')} AS share FROM u""", "stage_order:i stage:s revenue:d share:d")
 add("q9_customer_kpis", f"""SELECT sum(order_value) AS total_revenue, count(*) AS total_orders, {_Z('sum(order_value)', 'count(*)')} AS avg_order_value, {_Z('sum(order_profit)', 'sum(order_value)')} AS profit_margin_pct, any_value(d.recency_days) AS recency_days,

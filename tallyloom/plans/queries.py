@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType
 
-from tallyloom.config import FEED_CONFIG, WIN_BACK_SEGMENTS
+from tallyloom.config import WIN_BACK_SEGMENTS
 from tallyloom.operators import (
     audit, cleaning, display, explore, facts, kpi, lifecycle, marts, measures as m, pilot,
 )
@@ -251,6 +251,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "q19_segment_strategy": lambda s: q.segment_strategy(s.star, s.spark),
     "k2_top_products": lambda s: marts.top_products(marts.product_performance(s.items, s.products)).select(
         "product_id", "brand", "total_revenue", "revenue_rank"),
+    "k2_top_products_by_line_revenue": lambda s: q.top_products(s.star),
     # Win-back economics
     "v1_segment_shares": lambda s: winback.segment_shares(s.segments),
     "v2_focus_margin": lambda s: winback.focus_margin(s.economics),
