@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType
 
 from tallyloom.sources.staging import written
 
@@ -48,7 +49,7 @@ def shingles_of(raw: bytes | None, width: int) -> np.ndarray:
     return np.unique(run)
 
 
-@pandas_udf("bigint")
+@pandas_udf(LongType())
 def _count_words(raw: pd.Series) -> pd.Series:
     return pd.Series([0 if r is None else len(r.split()) for r in raw], dtype="int64")
 

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StringType
 
 WEIGHTS = (5, 2, 1)
 #: One row per source passes through the driver; a table with more sources is refused, not cut.
@@ -192,7 +193,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     ])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _cut_text(raw: pd.Series, cut: pd.Series) -> pd.Series:
     import re
 
