@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, quality, topk
+from tallyloom.llm import minhash, mixing, quality, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op3_threshold_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
