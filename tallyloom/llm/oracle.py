@@ -19,5 +19,40 @@ QUALIFY row_number() OVER w <= 10
 """
 
 
+LINES = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
+), l AS (
+    SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, parts[i] AS line
+    FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM cut)
+), full_lines AS (
+    SELECT * FROM l WHERE NOT regexp_full_match(line, '[ \t\n\x0B\f\r]*')
+), d AS (
+    SELECT line, min({'doc_id': doc_id, 'line_no': line_no}) AS at, octet_length(encode(line)) AS size
+    FROM full_lines GROUP BY line
+), links AS (
+    SELECT x.line AS a, y.line AS b, x.at AS at_a, y.at AS at_b
+    FROM d x JOIN d y ON x.size >= 16 AND y.size BETWEEN greatest(16, x.size - 1) AND x.size + 1 AND x.at < y.at
+    WHERE levenshtein(x.line, y.line) <= 1
+), ends AS (
+    SELECT at_a AS p, at_b AS q FROM links UNION ALL SELECT at_b, at_a FROM links
+), reach(p, q) AS (
+    SELECT p, p FROM ends UNION SELECT reach.p, ends.q FROM reach JOIN ends ON reach.q = ends.p
+), classes AS (
+    SELECT p, min(q) AS class FROM reach GROUP BY p
+), named AS (
+    SELECT d.line, coalesce(classes.class, d.at) AS class, coalesce(n.n, 0) AS n_links
+    FROM d LEFT JOIN classes ON d.at = classes.p LEFT JOIN (SELECT p, count(*) AS n FROM ends GROUP BY p) n ON d.at = n.p
+), holders AS (
+    SELECT class, count(DISTINCT doc_id) AS class_docs FROM full_lines JOIN named USING (line) GROUP BY class
+)
+SELECT l.doc_id, l.line_no, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, n.class.doc_id AS class_doc,
+       n.class.line_no AS class_line, h.class_docs,
+       coalesce(n.class = {'doc_id': l.doc_id, 'line_no': l.line_no}, true) AS "first"
+FROM l LEFT JOIN full_lines f ON l.doc_id = f.doc_id AND l.line_no = f.line_no
+LEFT JOIN named n ON f.line = n.line LEFT JOIN holders h ON n.class = h.class
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op3_threshold_top_k": TOP_K}
+    return {"op3_threshold_top_k": TOP_K, "op5_segment_line_dedup": LINES}

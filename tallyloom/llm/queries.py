@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import minhash, mixing, quality, topk
+from tallyloom.llm import lines, minhash, mixing, quality, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op3_threshold_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op5_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.near_duplicate_lines(read_table(spark, folder, "documents"))
+
+
 def op8_cotraining_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
