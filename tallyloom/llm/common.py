@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -63,19 +61,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def batches(rows: Iterator, most_bytes: int, size) -> Iterator[list]:
-    """Runs of rows whose sizes add up to most_bytes or just above."""
-    held, total = [], 0
-    for row in rows:
-        held.append(row)
-        total += size(row)
-        if total >= most_bytes:
-            yield held
-            held, total = [], 0
-    if held:
-        yield held
-
-
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``written`` made and that nothing reads any more."""
     spark = df.sparkSession

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import lines, minhash, mixing, quality, topk
+from tallyloom.llm import bpe, lines, minhash, mixing, quality, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,15 @@ def op8_cotraining_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op9_duckdb_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return coded.select(
+        "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("content"),
