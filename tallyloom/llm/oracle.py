@@ -19,6 +19,44 @@ QUALIFY row_number() OVER w <= 10
 """
 
 
+VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS p, b.vec_id AS q FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(p, q) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.p, links.q FROM reach JOIN links ON reach.q = links.p
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT p AS vec_id, min(q) AS component_id FROM reach GROUP BY p)
+LEFT JOIN (SELECT p AS vec_id, count(*) AS n FROM links GROUP BY p) USING (vec_id)
+"""
+SHINGLES = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+    ), lambda x: x <> '') AS words FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct([
+        array_to_string(words[i:i + 4], ' ') FOR i IN range(1, greatest(1, len(words) - 4) + 1)
+    ]) END AS set FROM w
+), size AS (
+    SELECT doc_id, len(set) AS n FROM s
+), held AS (
+    SELECT doc_id, unnest(set) AS shingle FROM s
+), links AS (
+    SELECT a.doc_id AS p, b.doc_id AS q FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN size x ON a.doc_id = x.doc_id JOIN size y ON b.doc_id = y.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reach(p, q) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT reach.p, links.q FROM reach JOIN links ON reach.q = links.p
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM size JOIN (SELECT p AS doc_id, min(q) AS component_id FROM reach GROUP BY p) USING (doc_id)
+"""
 LINES = r"""
 WITH RECURSIVE cut AS (
     SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
@@ -55,4 +93,6 @@ LEFT JOIN named n ON f.line = n.line LEFT JOIN holders h ON n.class = h.class
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op3_threshold_top_k": TOP_K, "op5_segment_line_dedup": LINES}
+    return {
+        "op1_minhash_near_duplicates": SHINGLES, "op2_nn_descent_duplicates": VECTORS, "op3_threshold_top_k": TOP_K, "op5_segment_line_dedup": LINES,
+    }

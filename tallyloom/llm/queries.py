@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, lines, minhash, mixing, quality, topk
+from tallyloom.llm import bpe, lines, minhash, mixing, neighbours, quality, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op2_nn_descent_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(read_table(spark, folder, "embeddings"))
+
+
 def op3_threshold_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
