@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, lines, minhash, mixing, neighbours, quality, topk
+from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, quality, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op5_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.near_duplicate_lines(read_table(spark, folder, "documents"))
 
 
+def op6_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(read_table(spark, folder, "documents"))
+
+
 def op8_cotraining_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
