@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, quality, topk
+from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, packing, quality, tools, topk
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,50 @@ def op3_threshold_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+#: The tools that the derived calls use.
+TOOLS = {
+    "search": {
+        "type": "object", "required": ["query"], "additionalProperties": False,
+        "properties": {"query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 60}, "source": {"type": "string"}},
+    },
+    "lookup": {"type": "object", "required": ["key"], "properties": {"key": {"type": "string", "maxLength": 40}, "strict": {"type": "boolean"}}},
+    "count": {"type": "object", "required": ["text", "unit"], "properties": {"unit": {"enum": ["word", "char"]}, "text": {"type": "string"}}},
+}
+
+
+def tool_calls(conversations: DataFrame) -> DataFrame:
+    """A call for each assistant turn: tool, arguments and their faults follow from the turn's text.
+
+    Every second call uses the result of the call two turns earlier.
+    """
+    told = conversations.filter("role = 'assistant'").withColumn("n", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    words = F.split(F.coalesce("text", F.lit("")), " ")
+    told = told.withColumn("name", F.element_at(F.array(*map(F.lit, TOOLS)), (F.col("n") % 3 + 1).cast("int")))
+    earlier = F.when((F.col("turn") >= 3) & (F.col("n") % 2 == 0), F.concat(F.lit("$call_"), "conv_id", F.lit("_"), F.col("turn") - 2))
+    search = F.to_json(F.struct(
+        earlier.alias("source"), F.when(F.col("n") % 11 != 1, F.array_join(F.slice(words, 1, 6), " ")).alias("query"), F.size(words).alias("limit"),
+    ))
+    lookup = F.to_json(F.struct(F.element_at(words, 1).alias("key"), (F.col("n") % 5 == 0).alias("strict"), earlier.alias("after")))
+    count = F.to_json(F.struct(F.element_at(F.array(F.lit("word"), F.lit("char"), F.lit("line")), (F.col("n") % 7 % 3 + 1).cast("int")).alias("unit"), F.coalesce(earlier, F.element_at(words, -1)).alias("text")))
+    arguments = F.when(F.col("name") == "search", search).when(F.col("name") == "lookup", lookup).otherwise(count)
+    cut = F.when(F.col("n") % 13 == 0, F.expr("substring(arguments, 1, length(arguments) - 1)")).otherwise(F.col("arguments"))
+    return told.withColumn("arguments", arguments).select(
+        "conv_id", "turn", F.concat(F.lit("call_"), "conv_id", F.lit("_"), "turn").alias("call_id"), "name", cut.alias("arguments"),
+    )
+
+
+def tool_results(conversations: DataFrame) -> DataFrame:
+    """A result for each user turn after the first one, for the call of the turn before it."""
+    return conversations.filter("role = 'user' AND turn >= 1").select(
+        "conv_id", "turn", F.concat(F.lit("call_"), "conv_id", F.lit("_"), F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"),
+    )
+
+
+def op4_tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read_table(spark, folder, "conversations")
+    return tools.link(tool_calls(conversations), tool_results(conversations), TOOLS)
+
+
 def op5_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.near_duplicate_lines(read_table(spark, folder, "documents"))
 
@@ -34,6 +78,10 @@ def op6_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(read_table(spark, folder, "documents"))
 
 
+def op7_packed_token_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_cotraining_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
