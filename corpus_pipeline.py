@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tallyloom.llm import mixing, quality
+from tallyloom.llm import bpe, lines, minhash, mixing, quality
 from tallyloom.llm.common import read_table, written
 
+TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
     verdict = quality.classify(docs, read_table(spark, sf_dir, "labels"))
-    rejected = verdict.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(rejected, docs.doc_id.eqNullSafe(rejected.doc_id), "left_anti")
+    rejected = verdict.filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(rejected, docs.doc_id.eqNullSafe(F.col("__id")), "left_anti")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that repeat, see ``lines.without_repeated_lines``."""
+    return lines.without_repeated_lines(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group at a similarity of 0.8 or more; of repeated rows of an id one stays."""
+    verdict = minhash.near_duplicates(docs, percent=80).filter("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
+    left = docs.join(verdict, F.col("doc_id") == F.col("__id"), "left_anti")
+    turn = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns)))
+    again = left.withColumn("__turn", turn).filter(F.col("doc_id").isNull() | (F.col("__turn") == 1))
+    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +39,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and the text that they decode to."""
+    return bpe.encode(docs, TOKENIZER).select(
+        "doc_id", F.size("tokens").alias("n_tokens"), "tokens", F.col("decoded").cast("string").alias("text"),
+    )
+
+
 STAGES = [
     ("quality", classify_quality),
+    ("lines", drop_repeated_lines),
+    ("near_duplicates", drop_near_duplicates),
     ("mix", mix_sources),
+    ("tokens", encode_tokens),
 ]
 
 #: A fitted classifier has no SQL twin; tests compare the stages with brute force.
