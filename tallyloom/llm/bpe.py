@@ -41,6 +41,9 @@ _NUMBERS = (
     r"\x{1ccf0}-\x{1ccf9}\x{1e5f1}-\x{1e5fa}"
 )
 
+#: Code points that mean nothing by themselves: noncharacters and private use.
+_UNUSED = (range(0xFDD0, 0xFDF0), range(0xE000, 0xF900), range(0xF0000, 0xFFFFE))
+
 MERGE = """
 WITH RECURSIVE state(w, t, done) USING KEY (w) AS (
     SELECT w, t, false FROM fresh
@@ -106,7 +109,7 @@ class Session:
         look ahead, so a mark that no text holds is set before that character and taken out again.
         """
         joined = "".join(t for t in texts.to_pylist() if t)
-        mark = self.mark = next(chr(c) for c in range(0xFDD0, 0xFDF0) if chr(c) not in joined)
+        mark = self.mark = next(chr(c) for r in _UNUSED for c in r if chr(c) not in joined)
         pattern = (
             rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_SPACE}{_LETTERS}{_NUMBERS}{mark}]+|[{_SPACE}]+"
         )
