@@ -41,7 +41,8 @@ class RetailConfig:
 # Settings for the driver's tables: orders from 1995 on, line amounts up to
 # about 105,000 (so the euro/cents guard sits far above the reference's).
 FEED_CONFIG = RetailConfig(
-    as_of_date=date(2001, 9, 30),
+    # behind the last ship date, so that the month window keeps every line
+    as_of_date=date(2001, 12, 31),
     start_year=1995,
     min_order_date=date(1995, 1, 1),
     cents_guard=Decimal(1_000_000),
@@ -86,7 +87,7 @@ RECENCY_BUCKETS = (
 )
 
 # (least average health score, band)
-HEALTH_BANDS = ((11, "Healthy"), (7, "Monitor"), (None, "Critical"))
+HEALTH_BANDS = ((11, "● Healthy"), (7, "◐ Monitor"), (None, "○ Critical"))
 
 ACTIVE_MAX_DAYS = 90
 COOLING_MAX_DAYS = 180

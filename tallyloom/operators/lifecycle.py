@@ -56,13 +56,19 @@ def revenue_new_returning(months: DataFrame) -> DataFrame:
     )
 
 
-def retention_matrix(retention: DataFrame, months: int) -> DataFrame:
-    """Cohorts as rows, months since acquisition 0..months as columns."""
-    return (
-        retention.groupBy("cohort_month").pivot("months_since_acquisition", list(range(months + 1)))
-        .agg(F.first("retention_rate"))
-        .withColumnsRenamed({str(m): f"m{m:02d}" for m in range(months + 1)})
+def retention_matrix(retention: DataFrame) -> DataFrame:
+    """The cells of the cohort matrix: every cohort with every month from 0 to the largest one found.
+
+    A cell without active customers has no rate. Cohorts and months are calendar months, so the grid is small.
+    """
+    last = retention.agg(F.max("months_since_acquisition").alias("last"))
+    grid = retention.select("cohort_month").distinct().crossJoin(F.broadcast(last)).select(
+        "cohort_month", F.explode(F.sequence(F.lit(0), F.col("last").cast("int"))).alias("months_since_acquisition"),
+    )
+    cells = retention.select(
+        F.col("cohort_month").alias("_c"), F.col("months_since_acquisition").alias("_m"), "retention_rate",
     )
+    return grid.join(cells, (F.col("cohort_month") == F.col("_c")) & (F.col("months_since_acquisition") == F.col("_m")), "left").drop("_c", "_m")
 
 
 def cohort_rebound(retention: DataFrame) -> DataFrame:

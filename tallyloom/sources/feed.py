@@ -23,15 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows of a file with few splits, dealt out to every core.
-
-    Only an input too small to occupy the cluster is reshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _by_band(price: Column, usual: Column, bands: Sequence[tuple[int, int, Column]]) -> Column:
     """usual, replaced where price lies in [low, high)."""
     out = None
@@ -64,7 +55,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     discount = (pct / 100).cast("decimal(4,2)").cast("string")
     basket = F.substring("o_orderpriority", 1, 1)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    return _spread(orders).select(
+    return orders.select(
         _by_band(price, key, [
             (0, 3000, F.lit("")),
             (3000, 4000, F.lit("   ")),
@@ -110,7 +101,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Halves round up: add half the divisor before the whole-number division.
     gross = _hundredths(price)
     kept = 100 - _hundredths(F.col("l_discount"))
-    lines = _spread(lines).withColumns({
+    lines = lines.withColumns({
         "net": F.floor((gross * kept + 50) / 100).cast("bigint"),
         "unit": F.floor((2 * gross + quantity) / (2 * quantity)).cast("bigint"),
     })
