@@ -133,11 +133,16 @@ class Star:
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate of one fact, or a formula over other measures."""
+    """An aggregate of one fact, or a formula over other measures.
+
+    A measure with its own filter on a dimension column replaces any axis or
+    filter on that column: ``replaces`` names it.
+    """
 
     fact: str | None
     build: Callable[..., Column]
     of: tuple[str, ...] = ()
+    replaces: tuple[str, ...] = ()
 
 
 def _at_risk() -> Column:
@@ -179,8 +184,8 @@ MEASURES: dict[str, Measure] = {
     "avg_f_score": Measure("customers", _avg("f_score")),
     "avg_m_score": Measure("customers", _avg("m_score")),
     "avg_health_score": Measure("customers", _avg("health_score")),
-    "revenue_at_risk": Measure("customers", lambda: F.sum(F.when(_at_risk(), F.col("total_spend")))),
-    "customers_at_risk": Measure("customers", lambda: F.count_if(_at_risk() & _has_orders())),
+    "revenue_at_risk": Measure("customers", lambda: F.sum(F.when(_at_risk(), F.col("total_spend"))), replaces=("customer.segment",)),
+    "customers_at_risk": Measure("customers", lambda: F.count_if(_at_risk() & _has_orders()), replaces=("customer.segment",)),
     "revenue_active": Measure("customers", lambda: F.sum(F.when(F.col("recency_days") <= ACTIVE_MAX_DAYS, F.col("total_spend")))),
     "revenue_cooling": Measure("customers", lambda: F.sum(F.when(
         (F.col("recency_days") > ACTIVE_MAX_DAYS) & (F.col("recency_days") <= COOLING_MAX_DAYS), F.col("total_spend")))),
@@ -280,13 +285,18 @@ def evaluate(
     needed = list(dict.fromkeys(
         base for n in names for base in (MEASURES[n].of or (n,))
     ))
-    facts = list(dict.fromkeys(MEASURES[n].fact for n in needed))
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for n in needed:
+        groups.setdefault((MEASURES[n].fact, MEASURES[n].replaces), []).append(n)
+    if any(set(replaced) & set(by) for _, replaced in groups):
+        # the axis values of a replaced column come from the customers
+        groups.setdefault(("customers", ()), []).append("customer_spend")
     axes = [_short(a) for a in by]
     frames = []
-    for fact in facts:
-        reached = _reached(fact, by)
-        filters = {f: where[f] for f in _reached(fact, list(where))}
-        frame = _aggregated(star, fact, [n for n in needed if MEASURES[n].fact == fact], reached, filters)
+    for (fact, replaced), members in groups.items():
+        reached = [a for a in _reached(fact, by) if a not in replaced]
+        filters = {f: where[f] for f in _reached(fact, list(where)) if f not in replaced}
+        frame = _aggregated(star, fact, list(dict.fromkeys(members)), reached, filters)
         frames.append(([_short(a) for a in reached], frame))
     # The widest frames first: they define the axis rows.
     frames.sort(key=lambda f: -len(f[0]))
@@ -383,10 +393,12 @@ def brand_margins(star: Star) -> DataFrame:
 
 
 def brand_headline(star: Star) -> DataFrame:
-    """Sold brands, the leading brand, and the margin measures over brands."""
-    brands = brand_margins(star).filter("line_revenue IS NOT NULL")
+    """Sold brands, the leading brand, and the margin measures over all brands; an unsold one has margin 0."""
+    sold = brand_margins(star).filter("line_revenue IS NOT NULL").withColumnRenamed("brand", "_sold")
+    every = star.products.select("brand").distinct().join(sold, F.col("brand") == F.col("_sold"), "left")
+    brands = every.withColumn("line_margin_pct", F.coalesce("line_margin_pct", F.lit(0.0)))
     return brands.agg(
-        F.count("*").alias("sold_brands"),
+        F.count("line_revenue").alias("sold_brands"),
         # Largest revenue; on a tie the first name.
         F.min_by("brand", F.struct((-F.col("line_revenue")).alias("a"), F.col("brand").alias("b"))).alias("top_brand"),
         F.max("line_revenue").alias("top_brand_revenue"),
@@ -442,23 +454,24 @@ def filter_flags(star: Star, where: dict[str, Sequence] | None = None) -> DataFr
 def map_shares(star: Star, core: Sequence[str], where: dict[str, Sequence] | None = None) -> DataFrame:
     """Core-market share, and the selection's share of the total and of its countries.
 
-    ``core`` lists the countries of the home region. The country total ignores a
-    filter on states.
+    ``core`` lists the countries of the home region; they replace a filter on countries.
+    The country total is that of the countries the selection shows, without a filter on states.
     """
     where = where or {}
-    countries = {k: v for k, v in where.items() if k != "customer.state"}
     total = lambda w: evaluate(star, ["total_revenue"], (), w)
-    chosen_countries = where.get("customer.country")
-    core_only = [c for c in core if chosen_countries is None or c in chosen_countries]
+    rest = {k: v for k, v in where.items() if k not in ("customer.state", "customer.country")}
+    by_country = evaluate(star, ["total_revenue"], ["customer.country"], rest)
+    visible = evaluate(star, ["total_revenue"], ["customer.country"], where).select(F.col("country").alias("_v"))
+    parents = by_country.join(visible, F.col("country") == F.col("_v"), "left_semi")
     named = {
-        "selected_revenue": where,
-        "all_revenue": {},
-        "country_total_revenue": countries,
-        "core_revenue": {**where, "customer.country": core_only or [""]},
+        "selected_revenue": total(where),
+        "all_revenue": total({}),
+        "country_total_revenue": parents.agg(F.sum("total_revenue").alias("total_revenue")),
+        "core_revenue": total({**where, "customer.country": list(core)}),
     }
     row = None
-    for name, w in named.items():
-        part = total(w).withColumnRenamed("total_revenue", name)
+    for name, part in named.items():
+        part = part.withColumnRenamed("total_revenue", name)
         row = part if row is None else row.crossJoin(F.broadcast(part))
     return row.select(
         "selected_revenue", "country_total_revenue",
@@ -509,22 +522,34 @@ def daily_totals(star: Star, where: dict[str, Sequence] | None = None) -> DataFr
 
 
 def prior_year(star: Star, period: str = "start_of_month", where: dict[str, Sequence] | None = None) -> DataFrame:
-    """Revenue, profit and margin per period against the same period a year before."""
-    months = {"start_of_month": 1, "start_of_quarter": 3, "start_of_year": 12}
-    if period not in months:
+    """Revenue, profit and margin per period beside those of the same dates a year before.
+
+    The dates in context are shifted, not the periods: a period that the calendar cuts
+    short meets the same days of the year before. A sale counts as last year's for the
+    date twelve months on, so a leap day counts for February 28. Periods appear when
+    they have sales of their own or of the year before. Works on daily totals.
+    """
+    if period not in ("start_of_month", "start_of_quarter", "start_of_year"):
         raise ValueError("period must be a month, quarter or year start")
-    now = evaluate(star, ["total_revenue", "total_profit", "profit_margin_pct"], [f"date.{period}"], where)
-    past = now.select(
-        F.add_months(period, 12).alias("_period"),
-        F.col("total_revenue").alias("revenue_py"),
-        F.col("total_profit").alias("profit_py"),
-        F.col("profit_margin_pct").alias("profit_margin_py"),
-    )
-    return now.join(past, F.col(period) == F.col("_period"), "left").drop("_period").withColumns({
-        "revenue_yoy_pct": ratio(F.col("total_revenue") - F.col("revenue_py"), F.col("revenue_py")),
-        "profit_yoy_pct": ratio(F.col("total_profit") - F.col("profit_py"), F.col("profit_py")),
-        "profit_margin_yoy_pp": F.col("profit_margin_pct") - F.col("profit_margin_py"),
-    })
+    daily = daily_totals(star, where)
+    days = F.broadcast(star.days.select(F.col("date").alias("_d"), period))  # one row per calendar day
+
+    def side(date: Column, revenue: str, profit: str, key: str) -> DataFrame:
+        dated = daily.select(date.alias("_on"), "total_revenue", "total_profit").join(days, F.col("_on") == F.col("_d"))
+        return dated.groupBy(F.col(period).alias(key)).agg(
+            F.sum("total_revenue").cast("decimal(28,2)").alias(revenue), F.sum("total_profit").cast("decimal(28,2)").alias(profit),
+        )
+
+    now = side(F.col("date"), "total_revenue", "total_profit", "_now")
+    past = side(F.add_months("date", 12), "revenue_py", "profit_py", "_past")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("decimal(28,2)"))
+    return now.join(past, F.col("_now") == F.col("_past"), "full").withColumns({
+        period: F.coalesce("_now", "_past"),
+        "profit_margin_pct": _or_zero(F.col("total_profit"), F.col("total_revenue")),
+        "profit_margin_py": _or_zero(F.col("profit_py"), F.col("revenue_py")),
+        "revenue_yoy_pct": ratio(zero("total_revenue") - zero("revenue_py"), F.col("revenue_py")),
+        "profit_yoy_pct": ratio(zero("total_profit") - zero("profit_py"), F.col("profit_py")),
+    }).drop("_now", "_past").withColumn("profit_margin_yoy_pp", F.col("profit_margin_pct") - F.col("profit_margin_py"))
 
 
 def rolling_12m(star: Star, period: str = "start_of_week", where: dict[str, Sequence] | None = None) -> DataFrame:

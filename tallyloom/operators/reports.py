@@ -168,7 +168,9 @@ def win_back_customers(star: Star) -> DataFrame:
 def risk_table(star: Star, spark: SparkSession, rate: int = DEFAULT_REACTIVATION_RATE) -> DataFrame:
     offers = m.segment_table(spark).select(F.col("segment").alias("_s"), "discount_approach")
     return (
-        evaluate(star, ["customers_at_risk", "revenue_at_risk", "avg_monetary"], ["customer.segment"])
+        # per segment: the risk measures themselves replace an axis on the segment
+        evaluate(star, ["total_customers", "customer_spend", "avg_monetary"], ["customer.segment"])
+        .withColumnsRenamed({"total_customers": "customers_at_risk", "customer_spend": "revenue_at_risk"})
         .join(F.broadcast(offers), F.col("segment") == F.col("_s")).drop("_s")
         .filter(F.col("segment").isin(*WIN_BACK_SEGMENTS))
         .withColumn("gross_recoverable", F.col("revenue_at_risk").cast("double") * rate / 100)

@@ -553,8 +553,10 @@ _LINE = f"sum(line_net_amount) AS line_revenue, sum(line_profit) AS line_profit,
 add("b7_line_measures", f"SELECT product_category, {_LINE} FROM k_lines GROUP BY 1", "product_category:s line_revenue:d line_profit:d line_quantity:i line_margin_pct:d")
 add("b8_grain_reconciliation", "SELECT (SELECT sum(order_value) FROM k_curated) - (SELECT sum(line_net_amount) FROM k_lines) AS grain_reconciliation", "grain_reconciliation:d")
 add("b9_product_counts", "SELECT count(DISTINCT product_id) AS total_products, count(DISTINCT brand) AS total_brands FROM k_products", "total_products:i total_brands:i")
-_HEAD = f"""SELECT count(*) AS sold_brands, first(brand ORDER BY line_revenue DESC, brand) AS top_brand, max(line_revenue) AS top_brand_revenue, round(avg(line_margin_pct), 10) AS avg_brand_margin_pct,
-  min(line_margin_pct) AS min_brand_margin_pct, max(line_margin_pct) AS max_brand_margin_pct, {_Z('sum(line_profit)', 'sum(line_revenue)')} AS margin_baseline FROM k_brandm"""
+# every brand of the product table counts; one without sales has margin 0
+_HEAD = f"""SELECT count(line_revenue) AS sold_brands, first(brand ORDER BY line_revenue DESC NULLS LAST, brand) AS top_brand, max(line_revenue) AS top_brand_revenue, round(avg(coalesce(line_margin_pct, 0)), 10) AS avg_brand_margin_pct,
+  min(coalesce(line_margin_pct, 0)) AS min_brand_margin_pct, max(coalesce(line_margin_pct, 0)) AS max_brand_margin_pct, {_Z('sum(line_profit)', 'sum(line_revenue)')} AS margin_baseline
+  FROM (SELECT DISTINCT brand FROM k_products) p LEFT JOIN k_brandm USING (brand)"""
 add("b10_brand_benchmarks", _HEAD, "top_brand_revenue:d avg_brand_margin_pct:d margin_baseline:d")
 add("b23_brand_headline", _HEAD, "sold_brands:i top_brand:s top_brand_revenue:d avg_brand_margin_pct:d min_brand_margin_pct:d max_brand_margin_pct:d margin_baseline:d")
 
@@ -570,6 +572,9 @@ add("b11_shares_by_country", _shares("country"), "country:s " + _SHARE)
 add("q16_segment_mix", _shares("segment", "WHERE segment IS NOT NULL"), "segment:s " + _SHARE)
 _B12 = f"SELECT sum(total_spend) FILTER ({_RISK}) AS revenue_at_risk, count(*) FILTER ({_RISK}) AS customers_at_risk, {_Z(f'sum(total_spend) FILTER ({_RISK})', '(SELECT sum(total_spend) FROM k_dim)')} AS pct_revenue_at_risk FROM k_dim"
 add("b12_revenue_at_risk", _B12, "revenue_at_risk:d customers_at_risk:i pct_revenue_at_risk:d")
+add("b12_revenue_at_risk_segment", _B12, "revenue_at_risk:d customers_at_risk:i pct_revenue_at_risk:d")  # a filter on the segment is replaced
+add("b12_risk_by_segment", f"SELECT DISTINCT segment, r AS revenue_at_risk, c AS customers_at_risk, s AS customer_spend FROM (SELECT segment, sum(total_spend) AS s FROM k_dim GROUP BY 1), (SELECT sum(total_spend) FILTER ({_RISK}) AS r, count(*) FILTER ({_RISK}) AS c FROM k_dim)",
+    "segment:s revenue_at_risk:d customers_at_risk:i customer_spend:d")
 add("b12_revenue_at_risk_filtered", _B12 + " WHERE country = 'EUROPE'", "revenue_at_risk:d customers_at_risk:i pct_revenue_at_risk:d")
 _STAGE = "sum(total_spend) FILTER (recency_days <= 90) AS revenue_active, sum(total_spend) FILTER (recency_days BETWEEN 91 AND 180) AS revenue_cooling, sum(total_spend) FILTER (recency_days > 180) AS revenue_dormant"
 add("b13_recency_revenue", f"SELECT country, {_STAGE} FROM k_dim GROUP BY 1", "country:s revenue_active:d revenue_cooling:d revenue_dormant:d")
@@ -588,34 +593,40 @@ add("b18_lifecycle_share", f"SELECT sum(revenue) AS lifecycle_revenue, sum(reven
 _EU_STATES = "country = 'EUROPE' AND state IN ('NATION_3', 'NATION_8', 'NATION_13')"
 add("b19_filter_flags", f"""SELECT v AS visible_countries, a AS all_countries, 1 AS region_filter_active, CASE WHEN v < a THEN 1 ELSE 0 END AS country_filter_active
   FROM (SELECT count(DISTINCT country) FILTER ({_EU_STATES}) AS v, count(DISTINCT country) AS a FROM k_dim)""", "visible_countries:i all_countries:i region_filter_active:i country_filter_active:i")
-_HEALTH = lambda c: f"CASE WHEN {c} >= 11 THEN 'Healthy' WHEN {c} >= 7 THEN 'Monitor' ELSE 'Critical' END"
+_HEALTH = lambda c: f"CASE WHEN {c} >= 11 THEN '● Healthy' WHEN {c} >= 7 THEN '◐ Monitor' ELSE '○ Critical' END"
 add("b20_customer_readout", f"""SELECT customer_id, segment, city, country, recency_days, health_score, 'R' || r_score || ' · F' || f_score || ' · M' || m_score AS rfm_label, {_HEALTH('health_score')} AS health_indicator
   FROM k_dim JOIN k_best ON best = customer_id""", "customer_id:s segment:s city:s country:s recency_days:i health_score:i rfm_label:s health_indicator:s")
 add("b21_health_indicator", f"SELECT segment, {_AVG('health_score')} AS avg_health_score, {_HEALTH(_AVG('health_score'))} AS health_indicator FROM k_dim GROUP BY 1", "segment:s avg_health_score:d health_indicator:s")
 
 
-def _map(where: str, countries: str) -> str:
+def _map(country: str, state: str) -> str:
+    """The core countries replace a country filter; the parent keeps the countries that the selection shows."""
     return f"""SELECT s AS selected_revenue, c AS country_total_revenue, {div('k', 's')} AS core_share, {div('s', 'a')} AS share_of_total, {div('s', 'c')} AS share_of_country FROM (SELECT
-  sum(order_value) FILTER ({where}) AS s, sum(order_value) FILTER ({countries}) AS c, sum(order_value) FILTER (({where}) AND d_country IN ('EUROPE', 'ASIA')) AS k, sum(order_value) AS a FROM k_full)"""
+  sum(order_value) FILTER (({country}) AND ({state})) AS s, sum(order_value) FILTER (d_country IN (SELECT d_country FROM k_full WHERE ({country}) AND ({state}))) AS c,
+  sum(order_value) FILTER (({state}) AND d_country IN ('EUROPE', 'ASIA')) AS k, sum(order_value) AS a FROM k_full)"""
 
 
 _MAP = "selected_revenue:d country_total_revenue:d core_share:d share_of_total:d share_of_country:d"
+_STATES = "d_state IN ('NATION_3', 'NATION_8', 'NATION_13')"
 add("b22_map_shares", _map("true", "true"), _MAP)
-add("b22_map_shares_filtered", _map("d_country = 'EUROPE' AND d_state IN ('NATION_3', 'NATION_8', 'NATION_13')", "d_country = 'EUROPE'"), _MAP)
+add("b22_map_shares_filtered", _map("d_country = 'EUROPE'", _STATES), _MAP)
+add("b22_map_shares_state", _map("true", _STATES), _MAP)
 add("b24_context_counts", """SELECT (SELECT count(DISTINCT source_month) FROM k_curated) AS source_months, count(DISTINCT country) AS countries, count(DISTINCT state) AS states, count(DISTINCT city) AS cities, count(DISTINCT segment) AS segments,
   (SELECT count(DISTINCT cohort_month) FROM k_retention) AS cohorts, (SELECT min(cohort_month) FROM k_retention) AS first_cohort, (SELECT max(cohort_month) FROM k_retention) AS last_cohort, (SELECT max(months_since_acquisition) FROM k_retention) AS tenure_months FROM k_dim""",
     "source_months:i countries:i states:i cities:i segments:i cohorts:i first_cohort:s last_cohort:s tenure_months:i")
 
 
 def _period(unit: str, where: str = "true") -> str:
-    """Each period beside the one a year earlier, by self-join."""
-    base = f"SELECT date_trunc('{unit}', order_date)::DATE AS p, sum(order_value) AS r, sum(order_profit) AS f, {_Z('sum(order_profit)', 'sum(order_value)')} AS g FROM k_full WHERE {where} GROUP BY 1"
-    return f"SELECT a.p, a.r, a.f, a.g, b.r AS r0, b.f AS f0, b.g AS g0 FROM ({base}) a LEFT JOIN ({base}) b ON b.p = (a.p - INTERVAL 1 YEAR)::DATE"
+    """Each calendar period with sales of its own or of the same dates a year earlier: a sale counts for the date twelve months on, if the calendar has it."""
+    side = lambda shift, v: f"""SELECT date_trunc('{unit}', k.date)::DATE AS p, sum(order_value) AS r{v}, sum(order_profit) AS f{v} FROM k_full
+      JOIN k_days k ON k.date = {shift} WHERE {where} GROUP BY 1"""
+    return f"""SELECT coalesce(a.p, b.p) AS p, r, f, r0, f0, {_Z('f', 'r')} AS g, {_Z('f0', 'r0')} AS g0
+      FROM ({side('order_date', '')}) a FULL JOIN ({side('(order_date + INTERVAL 12 MONTH)::DATE', '0')}) b ON a.p = b.p"""
 
 
 add("t1_prior_year_month", f"SELECT p AS start_of_month, r AS total_revenue, r0 AS revenue_py, f AS total_profit, f0 AS profit_py, g AS profit_margin_pct, g0 AS profit_margin_py FROM ({_period('month')})",
     "start_of_month:s total_revenue:d revenue_py:d total_profit:d profit_py:d profit_margin_pct:d profit_margin_py:d")
-add("t2_yoy_quarter", f"SELECT p AS start_of_quarter, {div('r - r0', 'r0')} AS revenue_yoy_pct, {div('f - f0', 'f0')} AS profit_yoy_pct FROM ({_period('quarter')})", "start_of_quarter:s revenue_yoy_pct:d profit_yoy_pct:d")
+add("t2_yoy_quarter", f"SELECT p AS start_of_quarter, {div('coalesce(r, 0) - coalesce(r0, 0)', 'r0')} AS revenue_yoy_pct, {div('coalesce(f, 0) - coalesce(f0, 0)', 'f0')} AS profit_yoy_pct FROM ({_period('quarter')})", "start_of_quarter:s revenue_yoy_pct:d profit_yoy_pct:d")
 add("t3_margin_yoy_year", f"SELECT p AS start_of_year, g AS profit_margin_pct, g - g0 AS profit_margin_yoy_pp FROM ({_period('year')})", "start_of_year:s profit_margin_pct:d profit_margin_yoy_pp:d")
 _WHERE_EU = "d_country = 'EUROPE'"
 add("t5_prior_year_filtered", f"SELECT p AS start_of_month, r AS total_revenue, r0 AS revenue_py FROM ({_period('month', _WHERE_EU)})", "start_of_month:s total_revenue:d revenue_py:d")
@@ -660,8 +671,9 @@ add("q9_customer_orders", "SELECT s.* FROM k_curated s JOIN k_best ON best = cus
 add("q9_customer_months", "SELECT date_trunc('month', order_date)::DATE AS order_month, sum(order_value) AS total_revenue FROM k_curated JOIN k_best ON best = customer_id GROUP BY 1", "order_month:s total_revenue:d")
 add("q9_customer_categories", "SELECT product_category, sum(line_net_amount) AS line_revenue FROM k_lines JOIN k_best ON best = customer_id GROUP BY 1 QUALIFY rank() OVER (ORDER BY sum(line_net_amount) DESC) <= 5", "product_category:s line_revenue:d")
 add("q10_rf_heatmap", f"SELECT r_score, f_score, {_SCORED} AS total_customers FROM k_dim WHERE r_score IS NOT NULL GROUP BY 1, 2", "r_score:i f_score:i total_customers:i")
-add("q11_cohort_matrix", "SELECT cohort_month, " + ", ".join(f"max(retention_rate) FILTER (months_since_acquisition = {m}) AS m{m:02d}" for m in range(13)) + " FROM k_retention GROUP BY 1",
-    "cohort_month:s " + " ".join(f"m{m:02d}:d" for m in range(13)))
+add("q11_cohort_matrix", """SELECT c.cohort_month, m.i AS months_since_acquisition, r.retention_rate FROM (SELECT DISTINCT cohort_month FROM k_retention) c,
+  (SELECT unnest(range(0, max(months_since_acquisition) + 1)) AS i FROM k_retention) m LEFT JOIN k_retention r ON r.cohort_month = c.cohort_month AND r.months_since_acquisition = m.i""",
+    "cohort_month:s months_since_acquisition:i retention_rate:d")
 add("q12_category_trend", "SELECT product_category, date_trunc('month', order_date)::DATE AS start_of_month, sum(line_net_amount) AS line_revenue FROM k_lines WHERE last_day(order_date) <= (SELECT max(order_date) FROM k_curated) GROUP BY 1, 2", "product_category:s start_of_month:s line_revenue:d")
 add("q13_profitability_matrix", f"SELECT product_category, brand, product_id, {_LINE} FROM k_lines GROUP BY 1, 2, 3", "product_category:s brand:s product_id:s line_revenue:d line_profit:d line_margin_pct:d line_quantity:i")
 add("q14_frequency_monetary", f"SELECT segment, {_AVG('order_count')} AS avg_frequency, {_AVG('total_spend')} AS avg_monetary, {_SCORED} AS total_customers FROM k_dim WHERE segment IS NOT NULL GROUP BY 1", "segment:s avg_frequency:d avg_monetary:d total_customers:i")

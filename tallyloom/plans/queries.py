@@ -200,6 +200,9 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "b11_shares_by_country": lambda s: m.share_of_all(s.star, "customer.country"),
     "b12_revenue_at_risk": lambda s: m.revenue_at_risk(s.star),
     "b12_revenue_at_risk_filtered": lambda s: m.revenue_at_risk(s.star, ONE_COUNTRY),
+    "b12_revenue_at_risk_segment": lambda s: m.revenue_at_risk(s.star, {"customer.segment": ["Champions"]}),
+    "b12_risk_by_segment": lambda s: m.evaluate(
+        s.star, ["revenue_at_risk", "customers_at_risk", "customer_spend"], ["customer.segment"]),
     "b13_recency_revenue": lambda s: _base_measures(
         s, ["revenue_active", "revenue_cooling", "revenue_dormant"], ["customer.country"]),
     "b14_customer_decile": lambda s: m.with_decile(s.star.customers).select("customer_id", "state", "total_spend", "customer_decile"),
@@ -212,6 +215,8 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "b21_health_indicator": lambda s: m.health_indicator(s.star, ["customer.segment"]),
     "b22_map_shares": lambda s: m.map_shares(s.star, CORE_COUNTRIES),
     "b22_map_shares_filtered": lambda s: m.map_shares(s.star, CORE_COUNTRIES, ONE_STATE),
+    "b22_map_shares_state": lambda s: m.map_shares(
+        s.star, CORE_COUNTRIES, {"customer.state": ONE_STATE["customer.state"]}),
     "b23_brand_headline": lambda s: m.brand_headline(s.star),
     "b24_context_counts": lambda s: m.context_counts(s.star),
     "t1_prior_year_month": lambda s: m.prior_year(s.star, "start_of_month").select(
@@ -238,7 +243,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "q9_customer_months": lambda s: q.customer_monthly_revenue(s.star, q.best_customer(s.star)),
     "q9_customer_categories": lambda s: q.customer_top_categories(s.star, q.best_customer(s.star)),
     "q10_rf_heatmap": lambda s: q.rf_heatmap(s.star),
-    "q11_cohort_matrix": lambda s: lifecycle.retention_matrix(s.retention, 12),
+    "q11_cohort_matrix": lambda s: lifecycle.retention_matrix(s.retention),
     "q12_category_trend": lambda s: q.category_trend(s.star),
     "q13_profitability_matrix": lambda s: q.profitability_matrix(s.star),
     "q14_frequency_monetary": lambda s: q.frequency_monetary_by_segment(s.star),
