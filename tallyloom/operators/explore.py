@@ -13,7 +13,7 @@ from tallyloom.config import RECENCY_BUCKETS, REVENUE_TILES
 from tallyloom.functions.dates import month_label, month_start
 from tallyloom.functions.numeric import MONEY, money, rounded_mean, rounded_ratio, share_pct
 from tallyloom.operators.ordering import ntiles, percentiles
-from tallyloom.sources.staging import written
+from tallyloom.sources.staging import kept
 
 PERCENTILES = {"p10": "0.10", "p25": "0.25", "median": "0.50", "p75": "0.75", "p90": "0.90", "p99": "0.99"}
 
@@ -111,7 +111,7 @@ def monthly_temporal_pattern(baskets: DataFrame) -> DataFrame:
 def customer_frequency_distribution(baskets: DataFrame) -> DataFrame:
     per_customer = baskets.groupBy("customer_id").agg(F.count("*").alias("order_count"))
     # Written, so that the total does not count the orders again.
-    by_count = written(
+    by_count = kept(
         per_customer.groupBy("order_count").agg(F.count("*").alias("customers_with_this_count")), "frequency"
     )
     whole = by_count.agg(F.sum("customers_with_this_count").alias("_all"))
@@ -147,7 +147,7 @@ def recency_distribution(baskets: DataFrame) -> DataFrame:
 
 def pareto_concentration(baskets: DataFrame) -> DataFrame:
     """Revenue by customer revenue decile; equal spend is ordered by customer id."""
-    spend = written(
+    spend = kept(
         with_lines(baskets).groupBy("customer_id").agg(F.sum("order_value").cast("decimal(28,2)").alias("total_spend")),
         "customer_spend",
     )

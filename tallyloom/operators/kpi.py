@@ -79,7 +79,7 @@ def kpi_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
     return both.withColumn("drift", missing | ~same).orderBy("name")
 
 
-def before(curated: DataFrame, lines: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
-    """Both facts up to a month start, as an earlier snapshot of the data."""
-    limit = F.last_day(cutoff)
-    return curated.filter(F.col("order_date") <= limit), lines.filter(F.col("order_date") <= limit)
+def before(curated: DataFrame, lines: DataFrame, cutoff: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both facts up to the month of the one row (cutoff_month), as an earlier snapshot of the data."""
+    limit = F.broadcast(cutoff.select(F.last_day("cutoff_month").alias("_limit")))
+    return tuple(f.join(limit, F.col("order_date") <= F.col("_limit")).drop("_limit") for f in (curated, lines))

@@ -12,7 +12,7 @@ from tallyloom.functions.dates import month_label, month_start
 from tallyloom.functions.numeric import money, rounded_ratio
 from tallyloom.operators.facts import known_lines, line_cost
 from tallyloom.operators.ordering import ranks
-from tallyloom.sources.staging import written
+from tallyloom.sources.staging import kept
 
 
 def last_complete_month(curated: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def product_performance(items: DataFrame, products: DataFrame) -> DataFrame:
         rounded_ratio(revenue, F.col("units_sold"), 2).alias("revenue_per_unit"),
     )
     # Read once per rank and once for the rows, so written first: one row per product.
-    return ranks(written(base, "product_totals"), {
+    return ranks(kept(base, "product_totals"), {
         "revenue_rank": ("total_revenue", None),
         "units_rank": ("units_sold", None),
         "rank_within_category": ("total_revenue", "product_category"),

@@ -25,12 +25,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tallyloom.sources.staging import written
+from tallyloom.sources.staging import kept
 
 
 def _blocks(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     parted = df.repartitionByRange(*order)
-    return written(parted.withColumn("_block", F.spark_partition_id()), "blocks")
+    return kept(parted.withColumn("_block", F.spark_partition_id()), "blocks")
 
 
 def rows_at(
@@ -206,7 +206,7 @@ def ranks(df: DataFrame, wanted: dict[str, tuple[str, str | None]]) -> DataFrame
     same_block = (
         (F.col("_rank") == F.col("_sr")) & F.col("_g").eqNullSafe(F.col("_sg")) & (F.col("_block") == F.col("_sb"))
     )
-    ranked = written(
+    ranked = kept(
         blocks.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(starts, same_block)
         .select("_rank", "_g", "_v", (F.col("_start") + F.col("_before") + 1).alias("_place")),
         "ranks",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.config import DEFAULT_REACTIVATION_RATE, WIN_BACK_SEGMENTS
 from tallyloom.functions.numeric import money, ratio
 from tallyloom.operators.measures import segment_table
-from tallyloom.sources.staging import written
+from tallyloom.sources.staging import kept
 
 
 def playbook(spark: SparkSession) -> DataFrame:
@@ -188,10 +188,10 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
     ``economics`` is read many times, so pass a stage table.
     """
     spark = economics.sparkSession
-    shares = written(segment_shares(segments), "segment_shares")  # six rows
+    shares = kept(segment_shares(segments), "segment_shares")  # six rows
     margins = segment_margin_all(economics)
     focus = focus_margin(economics)
-    kept = contribution_per_euro(economics)
+    per_euro = contribution_per_euro(economics)
     grid = rate_grid(economics)
     extra = compound_discount(focus)
     totals = margins.limit(1)
@@ -202,7 +202,7 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
     scored = shares.agg(F.sum("customers").alias("customers"), F.sum("revenue").alias("revenue"))
     first, second = WIN_BACK_SEGMENTS
     pick = lambda s: F.max(F.when(F.col("segment") == s, F.col("contribution_per_eur")))
-    ratios = kept.agg(F.try_divide(pick(first), pick(second)).alias("playbook")).crossJoin(
+    ratios = per_euro.agg(F.try_divide(pick(first), pick(second)).alias("playbook")).crossJoin(
         grid.agg(F.min_by("common_ratio", "discount_rate").alias("common"))
     )
     parts = [
@@ -229,7 +229,7 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
             "discount_pct": ("100 * discount", "pct", None),
             "kept_pts": ("100 * contribution", "pts", "gross_margin_pct - discount_pct"),
             "mean_realised_discount_pct": ("100 * mean_order_discount_pct", "pct", None)}),
-        _long(kept, "focus", "segment", {
+        _long(per_euro, "focus", "segment", {
             "per_euro": ("contribution_per_eur", "ratio", "kept_pts / discount_pct"),
             "per_1000_eur": ("contribution_per_1000", "eur", "per_euro x 1,000")}),
         _long(extra, "focus", "segment", {

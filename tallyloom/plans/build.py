@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.config import FEED_CONFIG, RetailConfig
 from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm, winback
-from tallyloom.sources import feed
-from tallyloom.sources.staging import stage
+from tallyloom.sources import feed, shards
+from tallyloom.sources.staging import delete, fingerprint, forget_kept, new_folder, written_to
 
 
 @dataclass(frozen=True)
@@ -36,9 +36,8 @@ def feed_tables(spark: SparkSession, sf_dir: str) -> RawTables:
 class Shop:
     """All tables of one source, each built on first use.
 
-    Tables that many queries read are written once as stages; the rest are
-    plain DataFrames over them. ``source`` names the input, so two runs over
-    the same input in one application share their stages.
+    Tables that many queries read are written once as stages, in a folder of this
+    shop's own; the rest are plain DataFrames over them. ``close`` deletes the folder.
     """
 
     spark: SparkSession
@@ -46,8 +45,25 @@ class Shop:
     raw: RawTables
     cfg: RetailConfig = field(default=FEED_CONFIG)
 
+    @cached_property
+    def folder(self) -> str:
+        return new_folder(self.spark, "stage")
+
     def _stage(self, label, build, cluster=()) -> DataFrame:
-        return stage(self.spark, self.source, label, build, cluster)
+        """The stage table: ``cluster`` sorts each file, without a shuffle, so that row-group statistics can skip rows."""
+        df = build()
+        return written_to(df.sortWithinPartitions(*cluster) if cluster else df, f"{self.folder}/{label}")
+
+    def close(self) -> None:
+        delete(self.spark, self.folder)
+
+    @cached_property
+    def shard_folders(self) -> dict[str, str]:
+        """Orders and items written once as month shards."""
+        folders = {kind: f"{self.folder}/shards/{kind}" for kind in ("orders", "items")}
+        for kind, path in folders.items():
+            shards.write_months(getattr(self, f"raw_{kind}"), path, replace_all=True)
+        return folders
 
     @cached_property
     def raw_orders(self) -> DataFrame:
@@ -183,21 +199,28 @@ class Shop:
         return measures.Star.of(self)
 
 
-_SHOPS: dict[tuple[str, str], Shop] = {}
+_SHOPS: dict[tuple[str, str, RetailConfig], tuple[tuple, Shop]] = {}
 
 
-def shop_of(spark: SparkSession, sf_dir: str) -> Shop:
-    """The shop over the driver's tables in one folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SHOPS:
-        _SHOPS[key] = Shop(spark, sf_dir, feed_tables(spark, sf_dir))
-    return _SHOPS[key]
+def shop_of(spark: SparkSession, sf_dir: str, cfg: RetailConfig = FEED_CONFIG) -> Shop:
+    """The shop over the driver's tables in one folder; another one for other settings or changed files."""
+    key, seen = (spark.sparkContext.applicationId, sf_dir, cfg), fingerprint(spark, sf_dir)
+    if key not in _SHOPS or _SHOPS[key][0] != seen:
+        if key in _SHOPS:
+            _SHOPS[key][1].close()
+        _SHOPS[key] = (seen, Shop(spark, sf_dir, feed_tables(spark, sf_dir), cfg))
+    return _SHOPS[key][1]
 
 
 def rebuild(spark: SparkSession, sf_dir: str) -> Shop:
     """A shop with no stages yet, for timing a whole run."""
-    from tallyloom.sources.staging import forget
-
-    forget(spark, sf_dir)
-    _SHOPS.pop((spark.sparkContext.applicationId, sf_dir), None)
+    forget(spark)
     return shop_of(spark, sf_dir)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete all stages and scratch tables of this application."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _SHOPS if k[0] == app]:
+        _SHOPS.pop(key)[1].close()
+    forget_kept(spark)

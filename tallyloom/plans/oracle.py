@@ -386,6 +386,9 @@ def add(name: str, body: str, columns: str) -> None:
 add("s1_shard_load", f"""SELECT source_month, count(*) AS rows, count("OrderID") AS order_ids, count(DISTINCT "CustomerID") AS customer_texts,
   count(*) FILTER ("CustomerID" <> trim("CustomerID")) AS padded_customers FROM k_raw_orders WHERE {_WINDOW} GROUP BY 1""",
     "source_month:s rows:i order_ids:i customer_texts:i padded_customers:i")
+add("s1_shard_load_items", f"""SELECT source_month, count(*) AS rows, count("OrderID") AS order_ids, count(DISTINCT "ProductID") AS product_texts, count("LineNetAmount") AS amounts,
+  count(*) FILTER ("ProductID" <> trim("ProductID", ' ')) AS padded_products FROM k_raw_items WHERE {_WINDOW} GROUP BY 1""",
+    "source_month:s rows:i order_ids:i product_texts:i amounts:i padded_products:i")
 _INV = " UNION ALL ".join(
     f"SELECT '{p}' || source_month AS table_name, c AS column_name, 'string' AS data_type, pos AS ordinal_position FROM (SELECT DISTINCT source_month FROM {t}), "
     + _values([(c, i) for i, c in enumerate(cols, 1)], "c, pos")

@@ -1,24 +1,26 @@
-"""Stage tables: written once in the shared folder, read back by every consumer.
+"""Tables in the shared folder: written once, read back by every consumer.
 
-A stage that many queries read is written as Parquet under the folder named by
+A table that many queries read is written as Parquet under the folder named by
 ``spark.checkpoint.dir``. Readers then get column pruning, filter pushdown and
 file statistics, and a lost executor costs a re-read instead of a recompute.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
-_WRITTEN: dict[tuple[str, str], str] = {}
+# Per application, the scratch tables by the hash of their plan.
+_KEPT: dict[str, dict[int, list[tuple[DataFrame, str]]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in local mode."""
+    """The cluster's shared folder; a temporary one, deleted at exit, only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if named:
@@ -27,42 +29,61 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
     return _LOCAL_FOLDERS[app]
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df written under a fresh name in the shared folder, and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    return written_to(df, new_folder(df.sparkSession, label))
+
+
+def written_to(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(
-    spark: SparkSession,
-    source: str,
-    label: str,
-    build: Callable[[], DataFrame],
-    cluster: Sequence[str] = (),
-) -> DataFrame:
-    """The stage table of one source, built on first use in this application.
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, but a table of the same plan that this application has written is read again.
 
-    ``cluster`` sorts each file, without a shuffle, so that Parquet's row-group
-    statistics can skip rows on those columns.
+    Plans name their input files; stage tables have paths of their own, so a table built
+    from other settings or inputs is another plan.
     """
-    key = (f"{spark.sparkContext.applicationId}:{source}", label)
-    if key not in _WRITTEN:
-        df = build()
-        df = df.sortWithinPartitions(*cluster) if cluster else df
-        path = f"{shared_folder(spark)}/stage/{uuid.uuid4().hex[:12]}/{label}"
-        df.write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
-
-
-def forget(spark: SparkSession, source: str | None = None) -> None:
-    """Drop the record of written stages, so that the next use rebuilds them."""
-    app = spark.sparkContext.applicationId
-    for key in list(_WRITTEN):
-        if key[0] == f"{app}:{source}" or (source is None and key[0].startswith(f"{app}:")):
-            del _WRITTEN[key]
+    spark = df.sparkSession
+    same = _KEPT.setdefault(spark.sparkContext.applicationId, {}).setdefault(df.semanticHash(), [])
+    for known, path in same:
+        if known.sameSemantics(df) and known.columns == df.columns:
+            return spark.read.schema(df.schema).parquet(path)
+    path = new_folder(spark, label)
+    out = written_to(df, path)
+    same.append((df, path))
+    return out
+
+
+def forget_kept(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application."""
+    for same in _KEPT.pop(spark.sparkContext.applicationId, {}).values():
+        for _, path in same:
+            delete(spark, path)
+
+
+def fingerprint(spark: SparkSession, source: str) -> tuple:
+    """Name, size and time of what a folder holds, two levels deep; nothing for a name that is no folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(source)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return ()
+    found = []
+    for status in fs.listStatus(root):
+        inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in inner]
+    return tuple(sorted(found))
