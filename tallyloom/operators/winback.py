@@ -170,22 +170,23 @@ def reconciliation(baskets: DataFrame, items: DataFrame, tolerance: float = 0.00
 
 
 def _long(df: DataFrame, group: str, key: str | None, figures: dict[str, tuple[str, str, str | None]]) -> DataFrame:
-    """Columns of a small frame as rows (name, value, unit, class, formula)."""
+    """Columns of a small frame as rows (name, value, text, unit, class, formula)."""
     parts = ", ".join(
-        f"'{name}', cast({column} as double), '{unit}', "
+        f"'{name}', " + (f"cast(null as double), {column}, " if unit == "text" else f"cast({column} as double), cast(null as string), ") + f"'{unit}', "
         + ("'live', cast(null as string)" if formula is None else f"'derived', '{formula}'")
         for name, (column, unit, formula) in figures.items()
     )
     prefix = f"'{group}.'" if key is None else f"'{group}.' || lower(replace({key}, ' ', '_')) || '.'"
     return df.selectExpr(
-        f"{prefix} as _p", f"stack({len(figures)}, {parts}) as (_name, value, unit, class, formula)"
-    ).select(F.concat("_p", "_name").alias("name"), "value", "unit", "class", "formula")
+        f"{prefix} as _p", f"stack({len(figures)}, {parts}) as (_name, value, text, unit, class, formula)"
+    ).select(F.concat("_p", "_name").alias("name"), "value", "text", "unit", "class", "formula")
 
 
-def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
+def figures(economics: DataFrame, segments: DataFrame, baskets: DataFrame, items: DataFrame) -> DataFrame:
     """Every figure of the win-back analysis as a long table.
 
-    ``economics`` is read many times, so pass a stage table.
+    ``economics`` is read many times, so pass a stage table. Names and formula texts are
+    fixed values. Figures quoted from documents, which no table yields, are not among them.
     """
     spark = economics.sparkSession
     shares = kept(segment_shares(segments), "segment_shares")  # six rows
@@ -205,7 +206,26 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
     ratios = per_euro.agg(F.try_divide(pick(first), pick(second)).alias("playbook")).crossJoin(
         grid.agg(F.min_by("common_ratio", "discount_rate").alias("common"))
     )
+    slug = lambda c: F.lower(F.replace(c, F.lit(" "), F.lit("_")))
+    at = grid.select(
+        F.concat(slug(F.col("segment")), F.lit(".r"), F.round(F.col("discount_rate") * 100).cast("int").cast("string")).alias("segment"),
+        "contribution_per_eur", slug(F.col("segment")).alias("_of"), F.round(F.col("discount_rate") * 100).cast("int").cast("string").alias("_rate"),
+    )
+
+    def rates(group: str, scale: int, unit: str) -> DataFrame:
+        tail = "" if scale == 1 else f" x {scale:,}"
+        return at.select(
+            F.concat(F.lit(f"rates.{group}."), "segment").alias("name"), (F.col("contribution_per_eur") * scale).alias("value"),
+            F.lit(None).cast("string").alias("text"), F.lit(unit).alias("unit"), F.lit("derived").alias("class"),
+            F.concat(F.lit("(focus."), "_of", F.lit(".gross_margin_pct - "), "_rate", F.lit(") / "), "_rate", F.lit(tail)).alias("formula"),
+        )
+
+    offered = playbook(spark)
+    common = grid.agg(F.min(F.round(F.col("discount_rate") * 100).cast("int")).cast("string").alias("_r"))
+    a, b = (s.lower().replace(" ", "_") for s in WIN_BACK_SEGMENTS)
     parts = [
+        _long(reconciliation(baskets, items), "totals", None, {
+            "orders_outside_tolerance": ("outside_tolerance", "count", None), "order_value_tolerance": ("0.001", "number", None)}),
         _long(scored, "totals", None, {
             "scored_customers": ("customers", "count", None), "revenue_base_eur": ("revenue", "eur", None)}),
         _long(totals, "totals", None, {
@@ -218,9 +238,9 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
             "revenue_share_pct": ("revenue_share_pct", "pct", "lifetime_spend_eur / totals.revenue_base_eur x 100")}),
         _long(margins, "segments", "segment", {"gross_margin_pct": ("100 * gross_margin", "pct", None)}),
         _long(pool, "win_back", None, {
-            "customers": ("customers", "count", "sum over both segments"),
+            "customers": ("customers", "count", f"segments.{a}.customers + segments.{b}.customers"),
             "customer_share_pct": ("customer_share", "pct", "customers / totals.scored_customers x 100"),
-            "lifetime_spend_eur": ("spend", "eur", "sum over both segments"),
+            "lifetime_spend_eur": ("spend", "eur", f"segments.{a}.lifetime_spend_eur + segments.{b}.lifetime_spend_eur"),
             "revenue_share_pct": ("revenue_share", "pct", "lifetime_spend_eur / totals.revenue_base_eur x 100")}),
         _long(focus, "focus", "segment", {
             "orders": ("orders", "count", None), "revenue_eur": ("revenue", "eur", None),
@@ -234,17 +254,21 @@ def figures(economics: DataFrame, segments: DataFrame) -> DataFrame:
             "per_1000_eur": ("contribution_per_1000", "eur", "per_euro x 1,000")}),
         _long(extra, "focus", "segment", {
             "per_order_eur": ("contribution_per_order", "eur", "aov_eur x kept_pts / 100"),
-            "off_list_with_offer_pct": ("100 * off_list_with_offer", "pct", "1 - (1 - mean discount) x (1 - offer)"),
-            "contact_cost_eur": ("break_even_contact_cost", "eur", "per_order_eur / (100 / planning rate)")}),
-        _long(playbook(spark), "focus", "segment", {
-            "budget_share_pct": ("budget_share_pct", "pct", "the percentage in the budget label")}),
-        _long(grid.withColumn("segment", F.concat_ws(" r", "segment", F.round(F.col("discount_rate") * 100).cast("int").cast("string"))),
-              "rates", "segment", {"per_euro": ("contribution_per_eur", "ratio", "(margin - rate) / rate")}),
+            "off_list_with_offer_pct": ("100 * off_list_with_offer", "pct", "100 x (1 - (1 - mean_realised_discount_pct / 100) x (1 - discount_pct / 100))"),
+            "contact_cost_eur": ("break_even_contact_cost", "eur", "per_order_eur / (100 / other.planning_reactivation_rate_pct)")}),
+        _long(offered, "focus", "segment", {"budget_allocation": ("budget_allocation", "text", None)}),
+        _long(offered, "focus", "segment", {"budget_share_pct": ("budget_share_pct", "pct", "the percentage in focus.")})
+        .withColumn("formula", F.concat("formula", F.element_at(F.split("name", "[.]"), 2), F.lit(".budget_allocation"))),
+        rates("per_euro", 1, "ratio"), rates("per_1000_eur", 1000, "eur"),
         _long(ratios, "ratios", None, {
-            "playbook": ("playbook", "ratio", "at_risk.per_euro / hibernating.per_euro"),
-            "common": ("common", "ratio", "the same at one rate for both")}),
+            "playbook": ("playbook", "ratio", f"focus.{a}.per_euro / focus.{b}.per_euro"),
+            "common": ("common", "ratio", "")}).join(F.broadcast(common)).withColumn("formula", F.when(
+                F.col("formula") != "", F.col("formula")).otherwise(F.concat(
+                    F.lit(f"rates.per_euro.{a}.r"), "_r", F.lit(f" / rates.per_euro.{b}.r"), "_r",
+                    F.lit("; the other playbook rate gives the same ratio at 1 dp")))).drop("_r"),
         _long(totals, "other", None, {
-            "observed_max_discount_pct": ("100 * max_order_discount_pct", "pct", None)}),
+            "observed_max_discount_pct": ("100 * max_order_discount_pct", "pct", None),
+            "planning_reactivation_rate_pct": (str(DEFAULT_REACTIVATION_RATE), "pct", None)}),
     ]
     return reduce(DataFrame.unionByName, parts)
 

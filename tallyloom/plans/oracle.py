@@ -712,10 +712,14 @@ add("v7_playbook", "SELECT segment, discount_rate, budget_allocation, budget_sha
 
 
 
+_GAP = f"abs({div('v', 'l')} - (1 - CAST(order_discount_pct AS DOUBLE)))"
+
+
 def _figure(prefix: str, frame: str, items: list[tuple[str, str, str, str | None]]) -> str:
     return " UNION ALL ".join(
-        f"SELECT {prefix} || '{n}' AS name, CAST({e} AS DOUBLE) AS value, '{u}' AS unit, "
-        + (f"'derived' AS class, {_quoted(f)} AS formula" if f else "'live' AS class, NULL AS formula")
+        f"SELECT {prefix} || '{n}' AS name, "
+        + (f"NULL::DOUBLE AS value, {e} AS text, " if u == "text" else f"CAST({e} AS DOUBLE) AS value, NULL::VARCHAR AS text, ")
+        + f"'{u}' AS unit, " + (f"'derived' AS class, {f if f.startswith('(') and '||' in f else _quoted(f)} AS formula" if f else "'live' AS class, NULL AS formula")
         + f" FROM {frame}"
         for n, e, u, f in items
     )
@@ -732,19 +736,24 @@ add("v8_figures", " UNION ALL ".join([
     _figure("'totals.'", _SOLD, [("orders", "n", "count", None), ("profit_margin_pct", "100 * CAST(f AS DOUBLE) / CAST(r AS DOUBLE)", "pct", None)]),
     _figure("'segments.' || " + _SLUG, _PER_SEG, [("customers", "n", "count", None), ("customer_share_pct", "a", "pct", _OF_ALL), ("lifetime_spend_eur", "r", "eur", None), ("revenue_share_pct", "b", "pct", _OF_BASE)]),
     _figure("'segments.' || " + _SLUG, "k_margins", [("gross_margin_pct", "100 * gross_margin", "pct", None)]),
-    _figure("'win_back.'", _POOL, [("customers", "n", "count", "sum over both segments"), ("customer_share_pct", "a", "pct", _OF_ALL), ("lifetime_spend_eur", "r", "eur", "sum over both segments"), ("revenue_share_pct", "b", "pct", _OF_BASE)]),
+    _figure("'win_back.'", _POOL, [("customers", "n", "count", "segments.at_risk.customers + segments.hibernating.customers"), ("customer_share_pct", "a", "pct", _OF_ALL), ("lifetime_spend_eur", "r", "eur", "segments.at_risk.lifetime_spend_eur + segments.hibernating.lifetime_spend_eur"), ("revenue_share_pct", "b", "pct", _OF_BASE)]),
     _figure("'focus.' || " + _SLUG, "k_focus", [
         ("orders", "orders", "count", None), ("revenue_eur", "revenue", "eur", None), ("profit_eur", "profit", "eur", None), ("aov_eur", "aov", "eur", "revenue_eur / orders"),
         ("gross_margin_pct", "100 * gross_margin", "pct", None), ("discount_pct", "100 * CAST(discount_rate AS DOUBLE)", "pct", None), ("kept_pts", "100 * contribution", "pts", "gross_margin_pct - discount_pct"),
         ("mean_realised_discount_pct", "100 * mean4", "pct", None), ("per_euro", _KEPT, "ratio", "kept_pts / discount_pct"), ("per_1000_eur", f"{_KEPT} * 1000", "eur", "per_euro x 1,000"),
         ("per_order_eur", "aov * contribution", "eur", "aov_eur x kept_pts / 100"),
-        ("off_list_with_offer_pct", "100 * (1 - (1 - CAST(mean4 AS DOUBLE)) * (1 - CAST(discount_rate AS DOUBLE)))", "pct", "1 - (1 - mean discount) x (1 - offer)"),
-        ("contact_cost_eur", "aov * contribution / 10.0::DOUBLE", "eur", "per_order_eur / (100 / planning rate)"), ("budget_share_pct", "budget_share_pct", "pct", "the percentage in the budget label")]),
-    _figure("'rates.' || lower(replace(segment, ' ', '_')) || '_r' || CAST(round(100 * discount_rate) AS INTEGER) || '.'", "k_grid", [("per_euro", "contribution_per_eur", "ratio", "(margin - rate) / rate")]),
-    _figure("'ratios.'", f"(SELECT max({_KEPT}) FILTER (segment = 'At Risk') / max({_KEPT}) FILTER (segment = 'Hibernating') AS v FROM k_focus)", [("playbook", "v", "ratio", "at_risk.per_euro / hibernating.per_euro")]),
-    _figure("'ratios.'", "(SELECT max(contribution_per_eur) FILTER (segment = 'At Risk') / max(contribution_per_eur) FILTER (segment = 'Hibernating') AS v FROM k_grid WHERE discount_rate = (SELECT min(discount_rate) FROM k_playbook))", [("common", "v", "ratio", "the same at one rate for both")]),
-    _figure("'other.'", _SOLD, [("observed_max_discount_pct", "100 * x", "pct", None)]),
-]), "name:s value:d unit:s class:s formula:s")
+        ("off_list_with_offer_pct", "100 * (1 - (1 - CAST(mean4 AS DOUBLE)) * (1 - CAST(discount_rate AS DOUBLE)))", "pct", "100 x (1 - (1 - mean_realised_discount_pct / 100) x (1 - discount_pct / 100))"),
+        ("contact_cost_eur", "aov * contribution / 10.0::DOUBLE", "eur", "per_order_eur / (100 / other.planning_reactivation_rate_pct)"), ("budget_allocation", "budget_allocation", "text", None),
+        ("budget_share_pct", "budget_share_pct", "pct", "('the percentage in focus.' || " + _SLUG + " || 'budget_allocation')")]),
+    *(_figure(f"'rates.{g}.' || " + _SLUG + " || 'r' || CAST(round(100 * discount_rate) AS INTEGER)", "k_grid", [
+        ("", f"contribution_per_eur * {n}", u, f"('(focus.' || {_SLUG} || 'gross_margin_pct - ' || CAST(round(100 * discount_rate) AS INTEGER) || ') / ' || CAST(round(100 * discount_rate) AS INTEGER) || '{x}')"),
+    ]) for g, n, u, x in (("per_euro", 1, "ratio", ""), ("per_1000_eur", 1000, "eur", " x 1,000"))),
+    _figure("'totals.'", f"(SELECT count(*) FILTER ({_GAP} > 0.001) AS x FROM (SELECT o.order_id, o.order_discount_pct, sum(line_net_amount) AS v, sum(quantity * unit_price) AS l FROM k_orders o JOIN k_items i USING (order_id) GROUP BY 1, 2))",
+        [("orders_outside_tolerance", "x", "count", None), ("order_value_tolerance", "0.001", "number", None)]),
+    _figure("'ratios.'", f"(SELECT max({_KEPT}) FILTER (segment = 'At Risk') / max({_KEPT}) FILTER (segment = 'Hibernating') AS v FROM k_focus)", [("playbook", "v", "ratio", "focus.at_risk.per_euro / focus.hibernating.per_euro")]),
+    _figure("'ratios.'", "(SELECT max(contribution_per_eur) FILTER (segment = 'At Risk') / max(contribution_per_eur) FILTER (segment = 'Hibernating') AS v FROM k_grid WHERE discount_rate = (SELECT min(discount_rate) FROM k_playbook))", [("common", "v", "ratio", "('rates.per_euro.at_risk.r' || (SELECT CAST(round(100 * min(discount_rate)) AS INTEGER) FROM k_playbook) || ' / rates.per_euro.hibernating.r' || (SELECT CAST(round(100 * min(discount_rate)) AS INTEGER) FROM k_playbook) || '; the other playbook rate gives the same ratio at 1 dp')")]),
+    _figure("'other.'", _SOLD, [("observed_max_discount_pct", "100 * x", "pct", None), ("planning_reactivation_rate_pct", "10", "pct", None)]),
+]), "name:s value:d text:s unit:s class:s formula:s")
 
 add("h1_kpi_primitives", "SELECT * FROM k_kpi", "total_revenue:d total_profit:d distinct_customers:i distinct_orders:i grain_parity:i")
 add("h2_kpi_derived", f"SELECT {rdiv('total_revenue', 'distinct_orders', 2)} AS aov, {rdiv('100 * total_profit', 'total_revenue', 2)} AS margin_pct FROM k_kpi", "aov:d margin_pct:d")
@@ -754,7 +763,6 @@ _KPIS = (("total_revenue", "currency", "r"), ("total_profit", "currency", "p"),
 add("h3_kpi_drift", "SELECT *, baseline <> current AS drift FROM (" + " UNION ALL ".join(
     f"SELECT '{n}' AS name, '{k}' AS kind, CAST((SELECT {e} FROM ({_SNAP('order_date <= last_day(cutoff_month)')})) AS DOUBLE) AS baseline, CAST((SELECT {e} FROM ({_SNAP('true')})) AS DOUBLE) AS current" for n, k, e in _KPIS) + ")", _DRIFT)
 
-_GAP = f"abs({div('v', 'l')} - (1 - CAST(order_discount_pct AS DOUBLE)))"
 add("x1_order_reconciliation", f"SELECT count(*) AS orders, count(*) FILTER ({_GAP} <= 0.001) AS within_tolerance, count(*) FILTER ({_GAP} > 0.001) AS outside_tolerance FROM (SELECT o.order_id, o.order_discount_pct, sum(line_net_amount) AS v, sum(quantity * unit_price) AS l FROM k_orders o JOIN k_items i USING (order_id) GROUP BY 1, 2)",
     "orders:i within_tolerance:i outside_tolerance:i")
 add("x2_shared_order_counts", "SELECT count(*) AS scored_customers, count(*) FILTER (EXISTS (SELECT 1 FROM k_segments b WHERE b.frequency_orders = a.frequency_orders AND b.f_score <> a.f_score)) AS customers_split_across_quintiles FROM k_segments a",

@@ -273,7 +273,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "v5_segment_margin_all": lambda s: winback.segment_margin_all(s.economics),
     "v6_compound_discount": lambda s: winback.compound_discount(winback.focus_margin(s.economics)),
     "v7_playbook": lambda s: winback.playbook_budgets(s.spark, s.segments),
-    "v8_figures": lambda s: winback.figures(s.economics, s.segments),
+    "v8_figures": lambda s: winback.figures(s.economics, s.segments, s.baskets, s.items),
     # KPI regression
     "h1_kpi_primitives": lambda s: kpi.kpi_primitives(s.curated, s.lines),
     "h2_kpi_derived": lambda s: kpi.kpi_derived(kpi.kpi_primitives(s.curated, s.lines)),
