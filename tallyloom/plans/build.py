@@ -44,6 +44,7 @@ class Shop:
     source: str
     raw: RawTables
     cfg: RetailConfig = field(default=FEED_CONFIG)
+    names: list[str] = field(default_factory=list)  # of the bucketed stages
 
     @cached_property
     def folder(self) -> str:
@@ -54,7 +55,20 @@ class Shop:
         df = build()
         return written_to(df.sortWithinPartitions(*cluster) if cluster else df, f"{self.folder}/{label}")
 
+    def _bucketed(self, label, build, key="order_id") -> DataFrame:
+        """A stage laid out by its join key: stages with one key join and sum without an exchange."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"tallyloom_{self.folder.rsplit('-', 1)[-1]}_{label}"
+        (
+            build().repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+            .option("path", f"{self.folder}/{label}").format("parquet").saveAsTable(name)
+        )
+        self.names.append(name)
+        return self.spark.table(name)
+
     def close(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         delete(self.spark, self.folder)
 
     @cached_property
@@ -105,9 +119,7 @@ class Shop:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._stage(
-            "orders_validated", lambda: cleaning.orders_validated(self.orders_cleaned), ["customer_id", "order_id"]
-        )
+        return self._bucketed("orders_validated", lambda: cleaning.orders_validated(self.orders_cleaned))
 
     @cached_property
     def items(self) -> DataFrame:
@@ -129,11 +141,11 @@ class Shop:
 
     @cached_property
     def priced(self) -> DataFrame:
-        return self._stage("priced_items", lambda: facts.priced_items(self.items, self.catalogue))
+        return self._bucketed("priced_items", lambda: facts.priced_items(self.items, self.catalogue))
 
     @cached_property
     def order_totals(self) -> DataFrame:
-        return self._stage("order_totals", lambda: facts.order_totals(self.priced))
+        return self._bucketed("order_totals", lambda: facts.order_totals(self.priced))
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -141,9 +153,8 @@ class Shop:
 
     @cached_property
     def curated(self) -> DataFrame:
-        return self._stage(
-            "sales_curated", lambda: facts.sales_curated(self.orders, self.order_totals, self.customers),
-            ["customer_id", "order_id"],
+        return self._bucketed(
+            "sales_curated", lambda: facts.sales_curated(self.orders, self.order_totals, self.customers)
         )
 
     @cached_property
