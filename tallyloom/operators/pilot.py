@@ -51,8 +51,11 @@ def assigned(segments: DataFrame, seed: int = 42) -> DataFrame:
     ).filter("group IS NOT NULL")
 
 
-def outcomes(groups: DataFrame, curated: DataFrame, first: date, last: date) -> DataFrame:
-    """Contribution and discount spend per assigned customer in the window."""
+def outcomes(groups: DataFrame, curated: DataFrame, first: date, last: date, contact_cost: float = 0.0) -> DataFrame:
+    """Contribution and discount spend per assigned customer in the window.
+
+    ``contact_cost`` is what contacting a customer of an offer group costs; holdouts are not contacted.
+    """
     placed = (
         curated.filter(F.col("order_date").between(F.lit(first), F.lit(last)))
         .groupBy(F.col("customer_id").alias("_c"))
@@ -63,7 +66,8 @@ def outcomes(groups: DataFrame, curated: DataFrame, first: date, last: date) ->
     rate = F.col("rate").cast("decimal(4,2)")
     return groups.join(placed, F.col("customer_id") == F.col("_c"), "left").select(
         "customer_id", "segment", "group", "rate",
-        (profit - rate * value).alias("x"), (rate * value).alias("d"),
+        (profit - rate * value - F.when(F.col("group") == "holdout", 0).otherwise(F.lit(contact_cost)).cast("decimal(10,4)")).alias("x"),
+        (rate * value).alias("d"),
     )
 
 
@@ -100,9 +104,9 @@ def readout(customers: DataFrame) -> DataFrame:
 
 
 def _poisson(draw: Column) -> Column:
-    """Poisson(1) from a uniform draw."""
+    """Poisson(1) from a uniform draw of 52 bits: the chance of a weight above 18 is below one such bit."""
     weight, reached = F.lit(0), 0.0
-    for k in range(12):
+    for k in range(18):
         reached += math.exp(-1) / math.factorial(k)
         weight = weight + F.when(draw >= reached, 1).otherwise(0)
     return weight
@@ -111,8 +115,8 @@ def _poisson(draw: Column) -> Column:
 def replicates(customers: DataFrame, draws: int, seed: int = 42) -> DataFrame:
     """Effects of every bootstrap replicate."""
     rows = customers.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("customer_id"), F.col("draw")), 11)
-    w = _poisson(bits.cast("double") / 2**53)
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("draw"), F.col("customer_id")))
+    w = _poisson(F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / 2**52)
     sums = rows.withColumn("w", w).groupBy("draw", "segment", "group").agg(
         F.sum("w").cast("double").alias("n"), F.sum(F.col("w") * F.col("x")).alias("x"),
         F.sum(F.col("w") * F.col("d")).alias("d"),
@@ -174,7 +178,7 @@ def interval(estimate: float, draws: list[float], a: float, level: float = 0.95)
     return end((1 - level) / 2), end((1 + level) / 2)
 
 
-def pilot_intervals(customers: DataFrame, draws: int = 200, seed: int = 42) -> DataFrame:
+def pilot_intervals(customers: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
     """The readout with a 95 % BCa interval of contribution per euro.
 
     The driver sees one value per replicate and offer group.
@@ -198,3 +202,98 @@ def pilot_intervals(customers: DataFrame, draws: int = 200, seed: int = 42) -> D
         "verdict",
         F.when(F.col("upper") < 0, "stop").when(F.col("lower") > 0, "above break-even").otherwise("unresolved"),
     )
+
+
+# --- decisions: differences between offers ---------------------------------------
+
+# name: (offer, offer it is measured against, per euro of discount or per assigned customer)
+CONTRASTS = {
+    "rate_per_euro": (("Hibernating", "offer_15"), ("Hibernating", "offer_20"), True),
+    "rate_per_customer": (("Hibernating", "offer_15"), ("Hibernating", "offer_20"), False),
+    "priority_at_15": (("At Risk", "offer_15"), ("Hibernating", "offer_15"), True),
+    "priority_at_20": (("At Risk", "offer_15"), ("Hibernating", "offer_20"), True),
+}
+
+
+def _group_key(segment: str, group: str) -> str:
+    return f"{segment.lower().replace(' ', '_')}_{group}"
+
+
+def _wide(customers: DataFrame, by: list[str], weight: Column) -> DataFrame:
+    """Weighted n, x and d of every group side by side."""
+    sums = []
+    for segment, group, *_ in PILOT_GROUPS:
+        own = (F.col("segment") == segment) & (F.col("group") == group)
+        key = _group_key(segment, group)
+        sums += [
+            F.sum(F.when(own, weight)).cast("double").alias(f"{key}_n"), F.sum(F.when(own, weight * F.col("x"))).cast("double").alias(f"{key}_x"),
+            F.sum(F.when(own, weight * F.col("d"))).cast("double").alias(f"{key}_d"),
+        ]
+    return customers.groupBy(*by).agg(*sums)
+
+
+def _contrast(name: str, at) -> Column:
+    """A contrast from the sums that ``at`` gives for a group and one of n, x, d."""
+    def effect(segment: str, group: str, per_euro: bool) -> Column:
+        mean = lambda g: F.try_divide(at(segment, g, "x"), at(segment, g, "n"))
+        gain = mean(group) - mean("holdout")
+        return F.try_divide(gain * at(segment, group, "n"), at(segment, group, "d")) if per_euro else gain
+
+    one, other, per_euro = CONTRASTS[name]
+    return effect(*one, per_euro) - effect(*other, per_euro)
+
+
+def _plain(segment: str, group: str, what: str) -> Column:
+    return F.col(f"{_group_key(segment, group)}_{what}")
+
+
+def contrasts(customers: DataFrame) -> DataFrame:
+    """(contrast, value): the differences that the decision rule looks at."""
+    row = _wide(customers, [], F.lit(1)).select(*[F.round(_contrast(c, _plain), 6).alias(c) for c in CONTRASTS])
+    parts = ", ".join(f"'{c}', {c}" for c in CONTRASTS)
+    return row.selectExpr(f"stack({len(CONTRASTS)}, {parts}) as (contrast, value)")
+
+
+def replicate_contrasts(customers: DataFrame, draws: int, seed: int = 42) -> DataFrame:
+    """Every contrast in every bootstrap replicate; a replicate's sums are taken before the shuffle."""
+    rows = customers.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"))
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("draw"), F.col("customer_id")))
+    weighted = rows.withColumn("w", _poisson(F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / 2**52))
+    return _wide(weighted, ["draw"], F.col("w")).select("draw", *[_contrast(c, _plain).alias(c) for c in CONTRASTS])
+
+
+def contrast_accelerations(customers: DataFrame) -> DataFrame:
+    """One row: a jackknife acceleration per contrast, over the customers of its groups."""
+    whole = F.broadcast(_wide(customers, [], F.lit(1)))  # one row
+
+    def left_out(segment: str, group: str, what: str) -> Column:
+        own = (F.col("segment") == segment) & (F.col("group") == group)
+        part = {"n": F.lit(1.0), "x": F.col("x").cast("double"), "d": F.col("d").cast("double")}[what]
+        return _plain(segment, group, what) - F.when(own, part).otherwise(0.0)
+
+    met = customers.crossJoin(whole)
+    out = []
+    for name, ((s1, g1), (s2, g2), _) in CONTRASTS.items():
+        member = ((F.col("segment") == s1) & F.col("group").isin(g1, "holdout")) | ((F.col("segment") == s2) & F.col("group").isin(g2, "holdout"))
+        value = F.when(member, _contrast(name, left_out))
+        out.append((-F.skewness(value) / (6 * F.sqrt(F.count(value)))).alias(name))
+    return met.agg(*out)
+
+
+def pilot_decisions(customers: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
+    """(contrast, value, lower, upper, decided): decided when the 95 % interval lies above zero.
+
+    The rate moves to 15 % on ``rate_*``, At Risk goes first on ``priority_*`` at the selected
+    rate; anything unresolved keeps the playbook. The driver sees one value per replicate.
+    """
+    skews = contrast_accelerations(customers).first().asDict()
+    drawn = replicate_contrasts(customers, draws, seed).collect()
+    rows = []
+    for r in contrasts(customers).collect():
+        values = [d[r["contrast"]] for d in drawn if d[r["contrast"]] is not None]
+        if r["value"] is None or not values:
+            rows.append((r["contrast"], r["value"], None, None, False))
+            continue
+        lower, upper = interval(r["value"], values, skews[r["contrast"]] or 0.0)
+        rows.append((r["contrast"], r["value"], lower, upper, lower > 0))
+    return customers.sparkSession.createDataFrame(rows, "contrast string, value double, lower double, upper double, decided boolean")

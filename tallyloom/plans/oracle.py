@@ -8,6 +8,7 @@ double or boolean.
 
 from __future__ import annotations
 
+import math
 import re
 
 from tallyloom.config import (
@@ -772,15 +773,34 @@ STEPS["k_pilot"] = f"""
 SELECT customer_id, segment, CASE WHEN segment = 'At Risk' THEN CASE WHEN h < 0.5 THEN 'offer_15' ELSE 'holdout' END
     WHEN h < 1.0::DOUBLE / 3 THEN 'offer_20' WHEN h < 2.0::DOUBLE / 3 THEN 'offer_15' ELSE 'holdout' END AS grp
 FROM (SELECT customer_id, rfm_segment AS segment, {_HASH} AS h FROM k_segments WHERE rfm_segment IN ('At Risk', 'Hibernating'))"""
-STEPS["k_pilot_sums"] = """
-SELECT segment, grp, count(*) AS n, sum(coalesce(p, 0)) - sum(rate * coalesce(v, 0)) AS x, sum(rate * coalesce(v, 0)) AS d
+STEPS["k_pilot_sums"] = "SELECT segment, grp, count(*) AS n, sum(x) AS x, sum(d) AS d FROM k_pilot_customers GROUP BY 1, 2"
+STEPS["k_pilot_customers"] = """
+SELECT customer_id, segment, grp, coalesce(p, 0) - rate * coalesce(v, 0) AS x, rate * coalesce(v, 0) AS d
 FROM (SELECT *, CASE grp WHEN 'offer_15' THEN 0.15 WHEN 'offer_20' THEN 0.20 ELSE 0 END AS rate FROM k_pilot) g
-LEFT JOIN (SELECT customer_id, sum(order_value) AS v, sum(order_profit) AS p FROM k_curated WHERE order_date BETWEEN DATE '2000-08-01' AND DATE '2001-07-31' GROUP BY 1) USING (customer_id)
-GROUP BY 1, 2"""
+LEFT JOIN (SELECT customer_id, sum(order_value) AS v, sum(order_profit) AS p FROM k_curated WHERE order_date BETWEEN DATE '2000-08-01' AND DATE '2001-07-31' GROUP BY 1) USING (customer_id)"""
 add("x4_pilot_readout", f"""SELECT o.segment, o.grp AS "group", o.n, round({div('o.x', 'o.n')}, 4) AS offer_mean, round({div('h.x', 'h.n')}, 4) AS holdout_mean,
   round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 4) AS per_customer, round(CAST(o.d AS DOUBLE), 4) AS discount_spend, round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0), 8) AS per_euro
   FROM k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'""",
     "segment:s group:s n:i offer_mean:d holdout_mean:d per_customer:d discount_spend:d per_euro:d")
+_STEPS_AT = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(18)]
+_DRAWN = "CAST('0x' || left(md5('42|' || draw || '|' || customer_id), 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
+STEPS["k_drawn"] = f"""
+SELECT draw, segment, grp, sum(w) AS n, sum(w * x) AS x, sum(w * d) AS d FROM (
+  SELECT draw, segment, grp, x, d, {' + '.join(f'(u >= {t!r}::DOUBLE)::INTEGER' for t in _STEPS_AT)} AS w
+  FROM (SELECT draw, segment, grp, x, d, {_DRAWN} AS u FROM k_pilot_customers, range(1, 51) r(draw))
+) GROUP BY 1, 2, 3"""
+add("x4_pilot_replicates", f"""SELECT o.draw, o.segment, o.grp AS "group", round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 6) AS per_customer,
+  round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0), 6) AS per_euro
+  FROM k_drawn o JOIN k_drawn h ON h.draw = o.draw AND h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'""",
+    "draw:i segment:s group:s per_customer:d per_euro:d")
+_EFFECT = f"""(SELECT o.segment, o.grp, {div('o.x', 'o.n')} - {div('h.x', 'h.n')} AS c, ({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0) AS e
+  FROM k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout')"""
+_SIDE = lambda v, s, g: f"max({v}) FILTER (segment = '{s}' AND grp = '{g}')"
+add("x4_pilot_contrasts", " UNION ALL ".join(
+    f"SELECT '{n}' AS contrast, round({_SIDE(v, *a)} - {_SIDE(v, *b)}, 6) AS value FROM {_EFFECT}" for n, v, a, b in (
+        ("rate_per_euro", "e", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")), ("rate_per_customer", "c", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")),
+        ("priority_at_15", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_15")), ("priority_at_20", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_20")),
+    )), "contrast:s value:d")
 add("p10_items_display", """SELECT order_id AS "Order ID", product_id AS "Product ID", customer_id AS "Customer ID", order_date AS "Order Date", quantity AS "Quantity", line_net_amount AS "Line Net Amount",
   line_profit AS "Line Profit", line_margin_pct AS "Line Margin %" FROM k_lines""",
     "Order_ID:s Product_ID:s Customer_ID:s Order_Date:s Quantity:i Line_Net_Amount:d Line_Profit:d Line_Margin_%:d")

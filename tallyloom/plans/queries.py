@@ -283,6 +283,10 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "x2_shared_order_counts": lambda s: winback.shared_order_counts(s.segments),
     "x4_pilot_readout": lambda s: pilot.readout(_pilot(s)),
     "x4_pilot_intervals": lambda s: pilot.pilot_intervals(_pilot(s)),
+    "x4_pilot_replicates": lambda s: pilot.replicates(_pilot(s), 50).select(
+        "draw", "segment", "group", F.round("per_customer", 6).alias("per_customer"), F.round("per_euro", 6).alias("per_euro")),
+    "x4_pilot_contrasts": lambda s: pilot.contrasts(_pilot(s)),
+    "x4_pilot_decisions": lambda s: pilot.pilot_decisions(_pilot(s)),
     "x3_cohort_rebound": lambda s: lifecycle.cohort_rebound(s.retention),
     "x3_dilution_correlation": lambda s: lifecycle.dilution_correlation(s.customer_months, s.retention),
 }

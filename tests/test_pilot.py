@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 
 import pytest
@@ -39,9 +41,15 @@ def test_readout_equals_brute_force(customers):
 
 
 def test_replicates_equal_brute_force(spark, customers):
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(42), F.col("customer_id"), F.col("draw")), 11)
-    drawn = customers.withColumn("draw", F.lit(3)).withColumn("w", pilot._poisson(bits.cast("double") / 2**53)).collect()
-    weights = {r.customer_id: r.w for r in drawn}
+    weights = {}
+    for r in customers.collect():
+        share, term, k = int(hashlib.md5(f"42|3|{r.customer_id}".encode()).hexdigest()[:13], 16) / 2**52, math.exp(-1), 0
+        reached = term
+        while share >= reached:
+            k += 1
+            term /= k
+            reached += term
+        weights[r.customer_id] = k
     assert 0.8 < sum(weights.values()) / len(weights) < 1.2 and max(weights.values()) > 1
     got = {(r.segment, r["group"]): r.per_euro for r in pilot.replicates(customers, 3).filter("draw = 3").collect()}
     rows = customers.collect()
@@ -72,6 +80,29 @@ def test_intervals_hold_the_estimate(customers):
     assert len(rows) == 3 and all(r.lower <= r.per_euro <= r.upper for r in rows)
 
 
+def test_contrasts_equal_brute_force(customers):
+    rows = customers.collect()
+    one = lambda rs, s, g: effect(rs, lambda r: 1, s, g)
+    mean = lambda rs, s, g: (lambda v: sum(v) / len(v))([r.x for r in rs if (r.segment, r.group) == (s, g)])
+    stat = {
+        "rate_per_euro": lambda rs: one(rs, "Hibernating", "offer_15") - one(rs, "Hibernating", "offer_20"),
+        "rate_per_customer": lambda rs: mean(rs, "Hibernating", "offer_15") - mean(rs, "Hibernating", "offer_20"),
+        "priority_at_15": lambda rs: one(rs, "At Risk", "offer_15") - one(rs, "Hibernating", "offer_15"),
+        "priority_at_20": lambda rs: one(rs, "At Risk", "offer_15") - one(rs, "Hibernating", "offer_20"),
+    }
+    got = {r.contrast: r for r in pilot.pilot_decisions(customers, draws=100).collect()}
+    skews = pilot.contrast_accelerations(customers).first().asDict()
+    for name, f in stat.items():
+        assert got[name].value == pytest.approx(f(rows), abs=1e-5) and got[name].lower <= got[name].value <= got[name].upper
+        assert got[name].decided == (got[name].lower > 0)
+        (s1, g1), (s2, g2), _ = pilot.CONTRASTS[name]
+        used = [r for r in rows if (r.segment == s1 and r.group in (g1, "holdout")) or (r.segment == s2 and r.group in (g2, "holdout"))]
+        left = [f([r for r in rows if r is not out]) for out in used]
+        middle = sum(left) / len(left)
+        cube, square = sum((middle - t) ** 3 for t in left), sum((middle - t) ** 2 for t in left)
+        assert skews[name] == pytest.approx(cube / (6 * square**1.5), rel=1e-5, abs=1e-9)
+
+
 def test_groups_split_every_eligible_customer(spark):
     segments = spark.createDataFrame([(f"c{i}", s) for i in range(600) for s in ("At Risk", "Hibernating", "Champions")], "customer_id string, rfm_segment string")
     counts = {(r.segment, r["group"]): r["count"] for r in pilot.assigned(segments).groupBy("segment", "group").count().collect()}
