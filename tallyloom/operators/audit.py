@@ -412,6 +412,14 @@ def country_coverage_faults(curated: DataFrame, segments: DataFrame, customers:
     return reduce(DataFrame.unionByName, per_fault)
 
 
+def column_inventory(table: DataFrame) -> DataFrame:
+    """Name, kind, place and number of filled rows of every column, from one scan."""
+    kinds = {"string": "text", "date": "date"}
+    counted = table.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(table.columns)])
+    parts = ", ".join(f"'{c}', '{kinds.get(t, 'number')}', {i + 1}, c{i}" for i, (c, t) in enumerate(table.dtypes))
+    return counted.selectExpr(f"stack({len(table.columns)}, {parts}) as (column_name, kind, ordinal_position, filled)")
+
+
 def customer_dim_validation(enriched: DataFrame, customers: DataFrame) -> DataFrame:
     """Grain parity, uniqueness and scored customers of the enriched dimension."""
     counted = enriched.agg(

@@ -262,7 +262,11 @@ def _aggregated(
         build = {n: F.sum(n) for n in measures}
     base = _joined(star, fact, columns, base)
     for name, values in where.items():
-        base = base.filter(F.col(_flat(name)).isin(*values))
+        if isinstance(values, DataFrame):  # a few rows
+            wanted = F.broadcast(values.select(F.col(values.columns[0]).alias("_wanted")))
+            base = base.join(wanted, F.col(_flat(name)) == F.col("_wanted"), "left_semi")
+        else:
+            base = base.filter(F.col(_flat(name)).isin(*values))
     return base.groupBy(*[F.col(_flat(a)).alias(_short(a)) for a in axes]).agg(
         *[c.alias(n) for n, c in build.items()]
     )
@@ -278,8 +282,9 @@ def evaluate(
 ) -> DataFrame:
     """Measures ``names`` per combination of axis columns ``by``.
 
-    ``where`` keeps the listed values of dimension columns. Rows are the axis
-    values the filtered facts know; axis columns carry their short names.
+    ``where`` keeps the listed values of dimension columns, or those of a small
+    frame's first column. Rows are the axis values the filtered facts know; axis
+    columns carry their short names.
     """
     where = where or {}
     needed = list(dict.fromkeys(
@@ -500,7 +505,13 @@ def context_counts(star: Star) -> DataFrame:
     return orders.crossJoin(places).crossJoin(cohorts)
 
 
-def customer_readout(star: Star, customer_id: str) -> DataFrame:
+def of_customer(df: DataFrame, customer: DataFrame) -> DataFrame:
+    """The rows of the customer that a one-row frame names."""
+    wanted = F.broadcast(customer.select(F.col("customer_id").alias("_wanted")))
+    return df.join(wanted, F.col("customer_id") == F.col("_wanted"), "left_semi")
+
+
+def customer_readout(star: Star, customer: DataFrame) -> DataFrame:
     """Recency, health score and score label of one customer."""
     label = F.when(
         F.col("r_score").isNotNull(),
@@ -509,7 +520,7 @@ def customer_readout(star: Star, customer_id: str) -> DataFrame:
             F.lit(" · M"), F.col("m_score").cast("string"),
         ),
     )
-    return star.customers.filter(F.col("customer_id") == customer_id).select(
+    return of_customer(star.customers, customer).select(
         "customer_id", "segment", "city", "country", "recency_days", "health_score",
         label.alias("rfm_label"), health_band(F.col("health_score")).alias("health_indicator"),
     )

@@ -92,41 +92,39 @@ def recency_stages(star: Star) -> DataFrame:
 
 # --- one customer --------------------------------------------------------------
 
-def customer_kpis(star: Star, customer_id: str) -> DataFrame:
+def customer_kpis(star: Star, customer: DataFrame) -> DataFrame:
     return evaluate(
         star, ["total_revenue", "total_orders", "avg_order_value", "profit_margin_pct"],
-        (), {"customer.customer_id": [customer_id]},
-    ).crossJoin(F.broadcast(m.customer_readout(star, customer_id).select("recency_days", "health_score", "rfm_label")))
+        (), {"customer.customer_id": customer},
+    ).crossJoin(F.broadcast(m.customer_readout(star, customer).select("recency_days", "health_score", "rfm_label")))
 
 
-def customer_orders(star: Star, customer_id: str) -> DataFrame:
-    return star.orders.filter(F.col("customer_id") == customer_id).select(
+def customer_orders(star: Star, customer: DataFrame) -> DataFrame:
+    return m.of_customer(star.orders, customer).select(
         "order_id", "order_date", "order_value", "order_profit", "order_margin_pct", "total_units", "dominant_category"
     ).orderBy(F.desc("order_date"), "order_id")
 
 
-def customer_monthly_revenue(star: Star, customer_id: str) -> DataFrame:
+def customer_monthly_revenue(star: Star, customer: DataFrame) -> DataFrame:
     return (
-        star.orders.filter(F.col("customer_id") == customer_id)
+        m.of_customer(star.orders, customer)
         .groupBy(month_start(F.col("order_date")).alias("order_month"))
         .agg(F.sum("order_value").alias("total_revenue"))
     )
 
 
-def customer_top_categories(star: Star, customer_id: str, rows: int = 5) -> DataFrame:
+def customer_top_categories(star: Star, customer: DataFrame, rows: int = 5) -> DataFrame:
     """The customer's best categories by line revenue, ties with the last kept."""
     by_category = evaluate(
-        star, ["line_revenue"], ["product.product_category"], {"customer.customer_id": [customer_id]}
+        star, ["line_revenue"], ["product.product_category"], {"customer.customer_id": customer}
     )
     last = by_category.orderBy(F.desc("line_revenue")).limit(rows).agg(F.min("line_revenue").alias("_cut"))
     return by_category.crossJoin(F.broadcast(last)).filter("line_revenue >= _cut").drop("_cut")
 
 
-def best_customer(star: Star) -> str:
-    """Id of the customer with the highest spend; used when none is named."""
-    return star.customers.filter("total_spend IS NOT NULL").orderBy(
-        F.desc("total_spend"), "customer_id"
-    ).first()["customer_id"]
+def best_customer(star: Star) -> DataFrame:
+    """One row: the id of the customer with the highest spend; used when none is named."""
+    return star.customers.filter("total_spend IS NOT NULL").orderBy(F.desc("total_spend"), "customer_id").limit(1).select("customer_id")
 
 
 # --- grids and trends -------------------------------------------------------------

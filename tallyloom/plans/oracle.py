@@ -435,6 +435,15 @@ add("d15_country_coverage_faults", f"""SELECT fault, CASE fault WHEN 'none' THEN
   WHEN 'empty_curated' THEN 1 WHEN 'extra_curated_country' THEN CASE WHEN 'Atlantis' IN (SELECT primary_country FROM k_segments) THEN NULL ELSE 2 END
   ELSE CASE WHEN 'Atlantis' IN (SELECT country FROM k_customers) THEN NULL ELSE 3 END END AS first_failed_check
   FROM (VALUES ('none'), ('empty_curated'), ('extra_curated_country'), ('segment_country_missing_from_dimension')) t(fault)""", "fault:s first_failed_check:i")
+# the master's columns, then the scores' columns without the four that both have
+_DIM = (
+    "customer_id:text signup_date:date customer_archetype:text first_name:text last_name:text full_name:text email:text phone:text country:text state:text city:text "
+    "address:text analysis_date:date last_order_date:date recency_days:number order_count:number total_spend:number total_profit:number margin_pct:number "
+    "avg_order_value:number total_units:number avg_products_per_order:number r_score:number f_score:number m_score:number rfm_cell:text health_score:number segment:text action:text"
+).split()
+add("d16_column_inventory", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{k}' AS kind, {i} AS ordinal_position, count({c}) AS filled FROM k_dim" for i, (c, k) in enumerate((x.split(":") for x in _DIM), 1)),
+    "column_name:s kind:s ordinal_position:i filled:i")
 add("d16_customer_dim_validation", """SELECT count(*) AS bi_dim_rows, (SELECT count(*) FROM k_customers) AS std_dim_rows, count(*) - (SELECT count(*) FROM k_customers) AS row_delta,
   count(DISTINCT customer_id) AS distinct_customers, count(*) - count(DISTINCT customer_id) AS dup_delta, count(*) FILTER (segment IS NULL) AS null_segment_customers, count(segment) AS scored_customers FROM k_dim""",
     "bi_dim_rows:i std_dim_rows:i row_delta:i distinct_customers:i dup_delta:i null_segment_customers:i scored_customers:i")
