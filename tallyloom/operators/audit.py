@@ -109,15 +109,16 @@ def _as_rows(one_row: DataFrame, checks: dict[int, tuple[str, str]]) -> DataFram
     return one_row.selectExpr(f"stack({len(checks)}, {parts}) as (check_order, issue_count, table_rows)")
 
 
-def _orphan_rows(keys: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
+def _orphan_rows(keys: DataFrame, key: str, lookup: DataFrame, lookup_key: str, rows: Column | None = None) -> DataFrame:
     """Rows whose non-blank key is not in the lookup, from per-key row counts.
 
-    Rows are counted per key as written, and only the distinct keys are trimmed.
+    Rows are counted per key as written, and only the distinct keys are trimmed;
+    ``rows`` says how many a row of ``keys`` stands for, one if not given.
     The join is an outer one, because an anti join would be pushed below the
     counts and meet every row of a hot key.
     """
     clean = lambda c: F.nullif(trimmed(_text(c)), F.lit(""))
-    counted = keys.groupBy(F.col(key).alias("_raw")).agg(F.count("*").alias("n"))
+    counted = keys.groupBy(F.col(key).alias("_raw")).agg((F.count("*") if rows is None else F.sum(rows)).alias("n"))
     known = lookup.select(clean(lookup_key).alias("_known")).filter("_known IS NOT NULL").distinct()
     missing = F.when(F.col("_key").isNotNull() & F.col("_known").isNull(), F.col("n"))
     return counted.withColumn("_key", clean("_raw")).join(known, F.col("_key") == F.col("_known"), "left").agg(
@@ -214,7 +215,7 @@ def _raw_order_checks(src: RawSource, cfg: RetailConfig, customers_ok: bool) ->
         F.count_if((F.col("o") != F.col("to")) | (F.col("c") != F.col("tc"))).alias("padded"),
     )
     if customers_ok:
-        one = one.crossJoin(_orphan_rows(rows, "c", src.customers, "CustomerID"))
+        one = one.crossJoin(F.broadcast(_orphan_rows(rows, "c", src.customers, "CustomerID")))
     else:
         one = one.withColumn("orphans", F.lit(None).cast("bigint"))
     return _as_rows(one, {
@@ -246,12 +247,13 @@ def _raw_item_checks(src: RawSource, cfg: RetailConfig, products_ok: bool) -> Da
         F.count_if((F.col("o") != F.col("to")) | (F.col("p") != F.col("tp"))).alias("padded"),
         F.count("o").alias("with_order"),
     )
-    # A NULL product makes the key NULL, so such rows all count as repeats.
-    key = F.concat("o", F.lit("|"), "p", F.lit("|"), "source_month")
-    keys = rows.select(key.alias("k")).filter("k IS NOT NULL").distinct().agg(F.count("*").alias("keys"))
-    one = one.crossJoin(keys)
+    # A NULL product makes the key NULL, so such rows all count as repeats. The rows per key
+    # serve the repeats and the orphans: lines are shuffled once.
+    per_key = rows.groupBy("o", "p", "source_month").agg(F.count("*").alias("lines"))
+    keys = per_key.agg(F.count_if(F.col("o").isNotNull() & F.col("p").isNotNull() & F.col("source_month").isNotNull()).alias("keys"))
+    one = one.crossJoin(F.broadcast(keys))
     if products_ok:
-        one = one.crossJoin(_orphan_rows(rows, "p", src.products, "ProductID"))
+        one = one.crossJoin(F.broadcast(_orphan_rows(per_key, "p", src.products, "ProductID", F.col("lines"))))
     else:
         one = one.withColumn("orphans", F.lit(None).cast("bigint"))
     return _as_rows(one, {
@@ -301,10 +303,13 @@ def clean_audit(
         F.count_if(F.col("line_net_amount").isNull()).alias("no_amount"),
         F.count_if(F.col("line_net_amount") <= 0).alias("low_amount"),
     )
-    pair = F.concat("order_id", F.lit("|"), "product_id")
-    pairs = items.select(pair.alias("k")).filter("k IS NOT NULL").distinct().agg(F.count("*").alias("pairs"))
-    orphans = _orphan_rows(items, "product_id", products, "product_id").withColumnRenamed("orphans", "p_orphans")
-    facts = order_part.crossJoin(met).crossJoin(item_part).crossJoin(pairs).crossJoin(orphans)
+    # the lines per pair serve the repeats and the orphans
+    per_pair = items.groupBy("order_id", "product_id").agg(F.count("*").alias("lines"))
+    pairs = per_pair.agg(F.count_if(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()).alias("pairs"))
+    orphans = _orphan_rows(per_pair, "product_id", products, "product_id", F.col("lines")).withColumnRenamed("orphans", "p_orphans")
+    facts = order_part
+    for one in (met, item_part, pairs, orphans):
+        facts = facts.crossJoin(F.broadcast(one))  # one row each
 
     def key_part(df: DataFrame, key: str, p: str) -> DataFrame:
         return df.agg(

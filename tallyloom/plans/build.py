@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,7 @@ class Shop:
     raw: RawTables
     cfg: RetailConfig = field(default=FEED_CONFIG)
     names: list[str] = field(default_factory=list)  # of the bucketed stages
+    audits: dict[date, DataFrame] = field(default_factory=dict)  # clean audits by day
 
     @cached_property
     def folder(self) -> str:
@@ -101,6 +103,19 @@ class Shop:
         return self._stage("inventory", lambda: audit.shard_inventory(self.raw_orders, "orders").unionByName(
             audit.shard_inventory(self.raw_items, "items")))
 
+    @cached_property
+    def raw_audit(self) -> DataFrame:
+        """29 rows, written once: the findings read them."""
+        source = audit.RawSource(self.raw_orders, self.raw_items, self.raw_customers, self.raw_products, self.inventory)
+        return self._stage("raw_audit", lambda: audit.raw_audit(source, self.cfg))
+
+    def clean_audit(self, day: date) -> DataFrame:
+        """29 rows, written once a day looked at."""
+        if day not in self.audits:
+            self.audits[day] = self._stage(f"clean_audit_{day}", lambda: audit.clean_audit(
+                self.orders, self.items, self.customers, self.products, self.order_totals, day))
+        return self.audits[day]
+
     @cached_property
     def orders_intake(self) -> DataFrame:
         return cleaning.orders_intake(self.raw_orders, self.cfg)

@@ -43,10 +43,6 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _raw_source(s: Shop) -> audit.RawSource:
-    return audit.RawSource(s.raw_orders, s.raw_items, s.raw_customers, s.raw_products, s.inventory)
-
-
 def _schema_contract(s: Shop) -> DataFrame:
     parts = [
         audit.schema_contract(s.inventory, kind, expected, s.cfg)
@@ -76,10 +72,6 @@ def _shard_load(s: Shop) -> DataFrame:
     )
 
 
-def _clean_audit(s: Shop) -> DataFrame:
-    return audit.clean_audit(s.orders, s.items, s.customers, s.products, s.order_totals, AUDIT_DAY)
-
-
 def _baseline_reconciliation(s: Shop) -> DataFrame:
     """KPIs of the order grain against the same totals taken from the lines."""
     lines = s.lines.agg(
@@ -131,8 +123,8 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "s8_column_inventory": lambda s: s.inventory,
     # Audit, standardise, clean, validate
     "d1_schema_contract": _schema_contract,
-    "d2_raw_audit": lambda s: audit.raw_audit(_raw_source(s), s.cfg),
-    "d2_raw_audit_findings": lambda s: audit.audit_findings(audit.raw_audit(_raw_source(s), s.cfg)),
+    "d2_raw_audit": lambda s: s.raw_audit,
+    "d2_raw_audit_findings": lambda s: audit.audit_findings(s.raw_audit),
     "d3_standardize_customers": lambda s: s.customers,
     "d4_standardize_products": lambda s: s.products,
     "d5_orders_intake": lambda s: s.orders_intake,
@@ -143,8 +135,8 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "d9_items_validated": lambda s: s.items,
     "d10_cleaning_log": lambda s: cleaning.cleaning_log(s.orders_cleaned, s.orders, s.items_cleaned, s.items),
     "d11_stage_row_counts": lambda s: cleaning.stage_row_counts(s.orders_cleaned, s.orders, s.items_cleaned, s.items),
-    "d12_clean_audit": _clean_audit,
-    "d13_audit_findings": lambda s: audit.audit_findings(_clean_audit(s)),
+    "d12_clean_audit": lambda s: s.clean_audit(AUDIT_DAY),
+    "d13_audit_findings": lambda s: audit.audit_findings(s.clean_audit(AUDIT_DAY)),
     "d14_country_coverage": lambda s: audit.country_coverage(s.curated, s.segments, s.customers),
     "d15_country_coverage_faults": lambda s: audit.country_coverage_faults(s.curated, s.segments, s.customers),
     "d16_column_inventory": lambda s: audit.column_inventory(s.dim_customers),
