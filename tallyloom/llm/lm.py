@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import U64, hashes_of, mixed, words_of, written
+from tallyloom.llm.common import U64, distinct, hashes_of, mixed, words_of, written
 
 #: Hash of the end token (no word is empty) and of the context at a text's start.
 END, START = hashes_of([b""])[0], mixed(hashes_of([b"", b" "]))[1]
@@ -195,7 +195,7 @@ class Chunk:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (context, word) keys in order, and the hashes of both."""
-        keys = np.unique(self.keys)
+        keys = distinct(self.keys)
         contexts = np.append(self.words, START)[keys // (len(self.words) + 1)]
         return keys, contexts, self.words[keys % (len(self.words) + 1)]
 
@@ -332,7 +332,7 @@ def _score(shards: int, hot: Hot, weight: float, tokens: int, vocabulary: int, t
         return pd.DataFrame({
             "doc_id": ids,
             "held_out": docs["train"] == 0, "n_tokens": docs["tokens"], "n_known": add((counts > 0)[chunk.tokens]).astype(np.int64),
-            "train_tokens": tokens, "base_score": add(np.log10(unigram)[chunk.tokens]), "score": add(pair[np.searchsorted(keys, chunk.keys)]),
+            "train_tokens": tokens, "base_score": add(np.log10(unigram)[chunk.tokens]), "score": add(pair[np.unique(chunk.keys, return_inverse=True)[1]]),
         })
 
     return run
@@ -341,7 +341,7 @@ def _score(shards: int, hot: Hot, weight: float, tokens: int, vocabulary: int, t
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 50.0, chunk_bytes: int = 24_000_000, shard_tokens: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 50.0, chunk_bytes: int = 16_000_000, shard_tokens: int = 1_500_000) -> DataFrame:
     """Every document scored by a model of those whose crc32(id as text) mod folds isn't held_fold."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     narrow = docs.select(

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallyloom.llm.common import distinct
+
 RESULT = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
 
 
@@ -56,7 +58,7 @@ class SortedLists:
             met = np.concatenate([
                 self.order[dims[down], rows - stop : rows - depth].ravel(), self.order[dims[~down], depth:stop].ravel(),
             ])
-            met = np.unique(met[~seen[met]])
+            met = distinct(met[~seen[met]])
             seen[met] = True
             best_at = np.concatenate([best_at, met])
             best = np.concatenate([best, self.vectors[met] @ query])
