@@ -71,7 +71,7 @@ def op4_tool_call_links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_segment_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.near_duplicate_lines(read_table(spark, folder, "documents"))
+    return lines.near_duplicate_lines(read_table(spark, folder, "documents")).drop("size")
 
 
 def op6_elias_fano_lm(spark: SparkSession, folder: str) -> DataFrame:
