@@ -417,7 +417,7 @@ def country_coverage_faults(curated: DataFrame, segments: DataFrame, customers:
     return reduce(DataFrame.unionByName, per_fault)
 
 
-def column_inventory(table: DataFrame) -> DataFrame:
+def filled_columns(table: DataFrame) -> DataFrame:
     """Name, kind, place and number of filled rows of every column, from one scan."""
     kinds = {"string": "text", "date": "date"}
     counted = table.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(table.columns)])

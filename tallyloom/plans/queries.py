@@ -139,7 +139,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "d13_audit_findings": lambda s: audit.audit_findings(s.clean_audit(AUDIT_DAY)),
     "d14_country_coverage": lambda s: audit.country_coverage(s.curated, s.segments, s.customers),
     "d15_country_coverage_faults": lambda s: audit.country_coverage_faults(s.curated, s.segments, s.customers),
-    "d16_column_inventory": lambda s: audit.column_inventory(s.dim_customers),
+    "d16_column_inventory": lambda s: audit.filled_columns(s.dim_customers),
     "d16_customer_dim_validation": lambda s: audit.customer_dim_validation(s.dim_customers, s.customers),
     # Exploration
     "e1_order_value_distribution": lambda s: explore.order_value_distribution(s.baskets),
