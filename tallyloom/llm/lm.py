@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -181,14 +182,19 @@ class Chunk:
     """One chunk: documents, distinct words in order of their hash, and the tokens as places among them."""
 
     def __init__(self, docs: bytes, words: bytes, tokens: bytes):
-        self.docs, self.words, self.tokens = unpack(docs, DOC), np.frombuffer(words, U64), unpack(tokens, np.uint32).astype(np.int64)
-        self.owner = np.repeat(np.arange(len(self.docs)), self.docs["tokens"])
-        self.train = self.docs["train"][self.owner] > 0
+        self.docs, self.words, self.tokens = unpack(docs, DOC), np.frombuffer(words, U64), unpack(tokens, np.uint32)
+        self.train = np.repeat(self.docs["train"] > 0, self.docs["tokens"])
+
+    @cached_property
+    def keys(self) -> np.ndarray:
+        """Each token with its context, the word before; place len(words) stands for the start of a text."""
         n = len(self.words)
-        before = np.concatenate([[n], self.tokens[:-1]])
-        before[np.concatenate([[0], np.cumsum(self.docs["tokens"])[:-1]])] = n
-        self.before = before  # place of the context; n stands for the start of a text
-        self.keys = before * (n + 1) + self.tokens
+        keys = np.empty(len(self.tokens), np.int64)
+        keys[1:] = self.tokens[:-1]
+        keys[np.concatenate([[0], np.cumsum(self.docs["tokens"])[:-1]])] = n
+        keys *= n + 1
+        keys += self.tokens
+        return keys
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.train], minlength=len(self.words))
@@ -320,13 +326,14 @@ def _score(shards: int, hot: Hot, weight: float, tokens: int, vocabulary: int, t
         replies = lambda kind, t: np.concatenate([unpack(x, t) for x in part[part.kind == kind].sort_values("shard").reply])
         counts = replies("word", np.int64)
         keys, contexts, words = chunk.pairs()
+        owner = np.repeat(np.arange(len(chunk.docs), dtype=np.int32), chunk.docs["tokens"])
         codes = np.zeros(len(keys), np.uint16)
         codes[np.argsort(pair_shards(contexts, words, shards, hot), kind="stable")] = replies("pair", np.uint16)
         unigram = (counts + 1) / (tokens + vocabulary + 1)
         context = np.append(counts, train_docs)
         n = len(chunk.words) + 1
         pair = np.log10(probability(codes) + weight / (context[keys // n] + weight) * unigram[keys % n])
-        docs, add = chunk.docs, lambda x: np.bincount(chunk.owner, x, minlength=len(chunk.docs))
+        docs, add = chunk.docs, lambda x: np.bincount(owner, x, minlength=len(chunk.docs))
         ids = pd.array(docs["id"].astype(np.int64), "Int64")
         ids[docs["null"] > 0] = pd.NA
         return pd.DataFrame({
@@ -341,7 +348,7 @@ def _score(shards: int, hot: Hot, weight: float, tokens: int, vocabulary: int, t
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 50.0, chunk_bytes: int = 16_000_000, shard_tokens: int = 1_500_000) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 50.0, chunk_bytes: int = 8_000_000, shard_tokens: int = 1_000_000) -> DataFrame:
     """Every document scored by a model of those whose crc32(id as text) mod folds isn't held_fold."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     narrow = docs.select(
