@@ -6,9 +6,10 @@ candidate pair is compared batch by batch: as soon as the posterior probability
 its similarity reaches the threshold falls below the chosen miss probability, it is
 dropped; what survives all batches is verified on the full shingle sets.
 
-A bucket's members are first compared with one of them. Pairs that are in one
-component by then need no look; all other pairs of the bucket follow, so that no link
-between different components is missed and a group of copies is never paired out.
+A bucket's members are first compared with its centre, and linked ones are one
+component. In buckets that still hold several components, pairs across components are
+found by their rare shingles, so that no link is missed and no group is paired out;
+they pass the same verification.
 
 Rows: a null or empty text, or one without words, has no shingles and no links. A
 text with fewer words than the shingle width is one shingle. Rows with one id are one
@@ -28,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tallyloom.llm.common import components, shingles_of, written
 
@@ -134,6 +136,26 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _explode(width: int):
+    """One row per shingle of each text."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, 256):
+                rows = part.slice(at, 256)
+                sets = [shingles_of(raw, width) for raw in rows.column("raw").to_pylist()]
+                sizes = [len(s) for s in sets]
+                own = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                columns = [rows.column(c).take(own) for c in ("id", "content", "component")]
+                every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(np.repeat(np.array(sizes, np.int32), sizes)), pa.array(every.view(np.int64))],
+                    names=["id", "content", "component", "n", "shingle"],
+                )
+
+    return run
+
+
 class NearDuplicates:
     """Candidate search and verification over one table of documents."""
 
@@ -148,48 +170,66 @@ class NearDuplicates:
         self.signed = written(self.texts.mapInArrow(_sign(width, self.hashes), SIGNATURE), "signatures")
         named = self.signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
         classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "content")).alias("first"))
-        self.member = named.join(classes, "digest").select(
-            "doc_id", "content", F.col("first.doc_id").alias("rep"), F.col("first.content").alias("rep_content"), "n_shingles", "signature",
+        self.member = written(
+            named.select("doc_id", "content", "digest").join(classes, "digest").select("doc_id", "content", F.col("first.doc_id").alias("rep")).distinct(), "members",
         )
-        self.reps = self.member.filter("doc_id = rep AND content = rep_content").dropDuplicates(["doc_id", "content"])
+        first = classes.select(F.col("first.doc_id").alias("doc_id"), F.col("first.content").alias("content"))
+        self.reps = named.join(first, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
         size = 4 * self.rows
         keys = F.posexplode(F.array(*[F.substring("signature", 1 + k * size, size) for k in range(self.bands)])).alias("k", "part")
         banded = self.reps.select("doc_id", "content", "n_shingles", keys)
-        self.banded = banded.select(F.xxhash64("k", "part").alias("bucket"), F.col("doc_id").alias("id"), "content", "n_shingles")
-
-    def pairs_with_first(self) -> DataFrame:
-        """Each document with the first member of one of its buckets: the one it shares most buckets with."""
-        first = self.banded.groupBy("bucket").agg(F.min(F.struct("id", "content", "n_shingles")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-        star = self.banded.join(first.select("bucket", "first"), "bucket").filter("id <> first.id OR content <> first.content")
-        star = self._by_size(star, F.col("first.n_shingles"), F.col("n_shingles"))
-        shared = star.groupBy("id", "content", "first").agg(F.count("*").alias("n"))
-        best = shared.groupBy("id", "content").agg(F.max(F.struct("n", "first")).alias("best")).select("id", "content", "best.first")
-        return best.select(F.col("first.id").alias("a"), F.col("first.content").alias("ca"), F.col("id").alias("b"), F.col("content").alias("cb"))
-
-    def _by_size(self, df: DataFrame, x, y) -> DataFrame:
-        """Without pairs whose set sizes rule the similarity out."""
-        return df.filter(100 * F.least(x, y) >= self.percent * F.greatest(x, y))
+        banded = banded.select(F.xxhash64("k", "part").alias("bucket"), F.col("doc_id").alias("id"), "content", "n_shingles")
+        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        self.banded = written(banded.join(shared, "bucket"), "buckets")
+
+    def pairs_with_centre(self) -> DataFrame:
+        """Each document with the centre of one of its buckets: the one it shares most buckets with.
+
+        A bucket's centre is the member that meets most documents over all its buckets: in a
+        group of copies with different changes, the one that the others were made from.
+        """
+        met = self.banded.groupBy("id", "content").agg(F.sum("n").alias("met"))
+        centre = self.banded.join(met, ["id", "content"]).groupBy("bucket").agg(F.max(F.struct("met", "id", "content", "n_shingles")).alias("c"))
+        star = self.banded.join(centre, "bucket").select("id", "content", "n_shingles", F.struct("c.id", "c.content", "c.n_shingles").alias("c"))
+        star = star.filter("id <> c.id OR content <> c.content").filter(
+            100 * F.least("c.n_shingles", "n_shingles") >= self.percent * F.greatest("c.n_shingles", "n_shingles")
+        )
+        shared = star.groupBy("id", "content", "c").agg(F.count("*").alias("n"))
+        best = shared.groupBy("id", "content").agg(F.max(F.struct("n", "c")).alias("best")).select("id", "content", "best.c")
+        return best.select(F.col("c.id").alias("a"), F.col("c.content").alias("ca"), F.col("id").alias("b"), F.col("content").alias("cb"))
 
     def pairs_across(self, component: DataFrame) -> DataFrame:
-        """Pairs of one bucket in different components. The bucket's largest component is only met by the others."""
+        """Pairs in different components that can still reach the threshold, among documents whose bucket holds several.
+
+        A bucket of many different documents must not be paired out. Of two sets that reach the
+        threshold, each has a shingle among its first |A| - ceil(t * |A|) + 1 in any common order
+        that the other's first ones hold as well. In order of rarity these first shingles are
+        mostly a document's own: those that only one document has come first and meet nothing.
+        """
         named = self.banded.join(component, self.banded.id == component.node, "left").select(
-            "bucket", "id", "content", "n_shingles", F.coalesce("component", "id").alias("component"),
-        )
-        parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        split = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
-        near = written(
-            named.join(split.select("bucket", F.col("most.component").alias("large")), "bucket").withColumn("rest", F.col("component") != F.col("large")),
-            "across",
+            "bucket", "id", "content", F.coalesce("component", "id").alias("component"),
         )
-        x, y = near.filter("rest").alias("x"), near.alias("y")
-        met = x.join(y, F.expr(
-            "x.bucket = y.bucket AND x.component <> y.component AND (NOT y.rest OR x.id < y.id)"
-            f" AND 100 * least(x.n_shingles, y.n_shingles) >= {self.percent} * greatest(x.n_shingles, y.n_shingles)"
+        split = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
+        open_ = named.join(split, "bucket", "left_semi").groupBy("id", "content").agg(F.min("component").alias("component"))
+        texts = self.texts.join(open_, (F.col("doc_id") == F.col("id")) & (self.texts.content == open_.content)).select("id", open_.content, "component", "raw")
+        texts = texts.dropDuplicates(["id", "content"])
+        sets = written(texts.mapInArrow(_explode(self.width), "id bigint, content bigint, component bigint, n int, shingle bigint"), "open-sets")
+        common = sets.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+        mine = W.partitionBy("id", "content")
+        ranked = sets.join(common, "shingle").withColumn("place", F.row_number().over(mine.orderBy("df", "shingle"))).withColumn("common", F.count("*").over(mine))
+        least = F.ceil(F.col("n") * self.percent / 100)
+        own = F.col("n") - F.col("common")  # shingles that only this document has
+        ranked = ranked.withColumn("at", F.col("place") + own).filter(F.col("at") <= F.col("n") - least + 1)
+        first = written(ranked.select("id", "content", "component", "n", "at", "shingle"), "first-shingles")
+        x, y = first.alias("x"), first.alias("y")
+        # from the first shingle that both hold on, no more than the rest of either can be common
+        pairs = x.join(y, F.expr(
+            f"x.shingle = y.shingle AND x.component < y.component AND 100 * least(x.n, y.n) >= {self.percent} * greatest(x.n, y.n)"
+            f" AND {100 + self.percent} * (1 + least(x.n - x.at, y.n - y.at)) >= {self.percent} * (x.n + y.n)"
         ))
-        one, two = F.struct("x.id", "x.content"), F.struct("y.id", "y.content")
-        return met.select(F.least(one, two).alias("p"), F.greatest(one, two).alias("q")).distinct().select(
-            F.col("p.id").alias("a"), F.col("p.content").alias("ca"), F.col("q.id").alias("b"), F.col("q.content").alias("cb"),
-        )
+        return pairs.select(
+            F.col("x.id").alias("a"), F.col("x.content").alias("ca"), F.col("y.id").alias("b"), F.col("y.content").alias("cb"),
+        ).distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold: pruned batch by batch, survivors verified on full sets."""
@@ -212,12 +252,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, miss: fl
     search = NearDuplicates(docs, width, percent, miss, batch)
     several = search.member.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y")
     same = search.member.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    sure = search.links(search.pairs_with_first()).unionAll(same)
+    sure = search.links(search.pairs_with_centre()).unionAll(same)
     early = written(components(sure), "early")
     more = search.links(search.pairs_across(early))
     found = components(sure.unionAll(more))
-    rep = search.member.select("doc_id", "content", "rep").dropDuplicates(["doc_id", "content"])
-    rows = search.signed.select("doc_id", "content", "n_shingles").join(rep, ["doc_id", "content"], "left")
+    rows = search.signed.select("doc_id", "content", "n_shingles").join(search.member, ["doc_id", "content"], "left")
     rows = rows.withColumn("rep", F.coalesce("rep", "doc_id")).join(found, F.col("rep") == found.node, "left")
     rows = rows.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
