@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import tidy
+
 # White space, and the letters and numbers of newer Unicode versions that
 # DuckDB's regular expressions don't count among \p{L} and \p{N} yet.
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -200,8 +202,7 @@ def _encode(ranks: Ranks, most_bytes: int):
 
 def encode(docs: DataFrame, rank_file: str, most_bytes: int = 6_000_000) -> DataFrame:
     """doc_id, tokens, and the bytes they decode to, of every document."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _encode(Ranks(rank_file), most_bytes), "doc_id bigint, tokens array<int>, decoded binary",
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(_encode(Ranks(rank_file), most_bytes)), "doc_id bigint, tokens array<int>, decoded binary",
     )
 
 
@@ -217,6 +218,5 @@ def decode(tokens: DataFrame, rank_file: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), session.decode(rows.column("tokens"))], names=["doc_id", "decoded"])
 
     empty = F.array().cast("array<int>")
-    return tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("tokens", empty).alias("tokens")).mapInArrow(
-        run, "doc_id bigint, decoded binary",
+    return tokens.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("tokens", empty).alias("tokens")).mapInArrow(tidy(run), "doc_id bigint, decoded binary",
     )

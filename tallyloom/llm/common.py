@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,10 +67,30 @@ def word_count(text: Column) -> Column:
     return _count_words(text.cast("binary"))
 
 
+def tidy(run):
+    """run over a partition's batches, then give freed memory back: the worker lives on for other stages."""
+
+    def over(parts):
+        yield from run(parts)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return over
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small(df: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """A written table of narrow rows, with a broadcast hint if it has at most so many."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``written`` made and that nothing reads any more."""
     spark = df.sparkSession

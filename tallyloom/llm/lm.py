@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import U64, distinct, hashes_of, mixed, words_of, written
+from tallyloom.llm.common import U64, distinct, hashes_of, mixed, tidy, words_of, written
 
 #: Hash of the end token (no word is empty) and of the context at a text's start.
 END, START = hashes_of([b""])[0], mixed(hashes_of([b"", b" "]))[1]
@@ -354,13 +354,13 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 5
     narrow = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(fold != held_fold, F.lit(True)).alias("train"), F.col("text").cast("binary").alias("raw"),
     )
-    chunks = written(narrow.mapInArrow(_chunks(chunk_bytes), CHUNK), "chunks")
+    chunks = written(narrow.mapInArrow(tidy(_chunks(chunk_bytes)), CHUNK), "chunks")
     seen = chunks.agg(F.sum("train_tokens").alias("tokens"), F.sum("train_docs").alias("docs")).first()
     tokens, train_docs = int(seen.tokens or 0), int(seen.docs or 0)
     shards = max(8, -(-tokens // shard_tokens))
     share = max(1.0, tokens / shards / 4)  # a context above this is spread
     cut = chunks.select("chunk", "docs", "words", "tokens")
-    asked = cut.mapInPandas(_ask_words(shards), "chunk string, shard int, asked binary, counts binary")
+    asked = cut.mapInPandas(tidy(_ask_words(shards)), "chunk string, shard int, asked binary, counts binary")
     words = written(
         asked.groupBy("shard").applyInPandas(_answer_words(share), "chunk string, shard int, reply binary, known bigint, hot binary, hot_counts binary"), "words",
     )
@@ -371,7 +371,7 @@ def score(docs: DataFrame, folds: int = 7, held_fold: int = 2, weight: float = 5
         np.concatenate([np.frombuffer(r.hot, U64) for r in frequent] + [np.array([START], U64)]),
         np.concatenate([np.frombuffer(r.hot_counts, np.int64) for r in frequent] + [np.array([train_docs])]), share,
     )
-    pairs = cut.mapInPandas(_ask_pairs(shards, hot), "chunk string, shard int, contexts binary, runs binary, words binary, counts binary")
+    pairs = cut.mapInPandas(tidy(_ask_pairs(shards, hot)), "chunk string, shard int, contexts binary, runs binary, words binary, counts binary")
     pairs = pairs.groupBy("shard").applyInPandas(_answer_pairs(hot, weight), "chunk string, shard int, reply binary")
     none = F.lit(None).cast("binary")
     every = (

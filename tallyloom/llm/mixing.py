@@ -183,7 +183,9 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         F.when(F.size("spans") > 0, F.array("spans")).otherwise(F.array().cast("array<array<struct<lo:bigint,hi:bigint>>>")),
     ))
     each = out.select("row", F.explode(copies).alias("cut"))
-    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(_cut_text(F.col("row.text").cast("binary"), F.col("cut")))
+    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(
+        _cut_text(F.when(F.col("cut").isNotNull(), F.col("row.text").cast("binary")), F.col("cut"))  # whole copies stay in the JVM
+    )
     each = each.withColumn("new_text", text)
     return each.select(*[
         F.col("new_text").alias(c) if c == "text"

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyloom.llm.common import components, discard, written
+from tallyloom.llm.common import components, discard, tidy, written
 from tallyloom.llm.topk import usable
 
 #: Members that meet at once; a larger meeting is held in parts.
@@ -199,9 +199,8 @@ class Graph:
         counts = first.groupBy("label").agg(F.count("*").alias("n"))
         bits = counts.select("label", F.greatest(F.lit(1), F.least(F.lit(60), F.ceil(F.log2(F.col("n") / 24)))).cast("int").alias("bits"))
         nodes = first.withColumn("size", size).join(bits, "label")
-        self.nodes = written(nodes.mapInPandas(_units, "node bigint, label string, copies bigint, vec array<double>, dims int, bits int, unit binary"), "nodes")
-        coded = self.nodes.select("node", "label", "dims", "bits", "unit").mapInPandas(
-            _codes(tables), "label string, dims int, t int, code bigint, node bigint, unit binary",
+        self.nodes = written(nodes.mapInPandas(tidy(_units), "node bigint, label string, copies bigint, vec array<double>, dims int, bits int, unit binary"), "nodes")
+        coded = self.nodes.select("node", "label", "dims", "bits", "unit").mapInPandas(tidy(_codes(tables)), "label string, dims int, t int, code bigint, node bigint, unit binary",
         )
         # the order inside a code is by hash, so that a crowded code is dealt into chance meetings, anew in each table
         group = F.xxhash64("label", "dims", "t", "code").alias("g")
@@ -269,7 +268,7 @@ class Graph:
                         near = (x @ _double_units(g.vec).T >= threshold) & (names[:, None] != g.node.to_numpy()[None, :])
                         yield pd.DataFrame({"node": names, "links": near @ g.copies.to_numpy()})
 
-        truth = self.nodes.select("node", "label", "dims", "copies", "vec").mapInPandas(count, "node bigint, links bigint")
+        truth = self.nodes.select("node", "label", "dims", "copies", "vec").mapInPandas(tidy(count), "node bigint, links bigint")
         truth = truth.groupBy("node").agg(F.sum("links").alias("all"))
         row = truth.join(counts, "node", "left").agg(F.sum("all").alias("all"), F.sum(F.coalesce("n_links", F.lit(0))).alias("found")).first()
         return 1.0 if not row["all"] else float(row["found"]) / float(row["all"])

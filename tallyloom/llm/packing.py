@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.common import tidy
+
 PACKED = "shard string, row int, ids binary, n_tokens int, cu_seqlens array<int>, resets array<int>, doc_ids array<bigint>, starts array<bigint>"
 
 
@@ -113,7 +115,7 @@ def pack(docs: DataFrame, rank_file: str, pattern: str, size: int = 2048, end_id
         if held:
             yield _pack(f"{part_id}-{made}", held, size, end_id, kind)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PACKED)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), PACKED)
 
 
 def write_packed(packed: DataFrame, folder: str) -> None:
