@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import written
+from tallyloom.llm.common import tidy, written
 
 SHAPES, WORDS, LANGS, SOURCES = 128, 256, 16, 64
 _CLASS = bytes(
@@ -94,7 +94,7 @@ def features(docs: DataFrame) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("raw"), "lang", "source")
     # ids travel as text: a null would turn the whole column into floats
     keyed = narrow.withColumn("doc_id", F.col("doc_id").cast("string"))
-    made = keyed.mapInPandas(_featurize, FEATURES.replace("doc_id bigint", "doc_id string"))
+    made = keyed.mapInPandas(tidy(_featurize), FEATURES.replace("doc_id bigint", "doc_id string"))
     return written(made.withColumn("doc_id", F.col("doc_id").cast("bigint")), "features")
 
 
@@ -147,13 +147,14 @@ def _scores(views: dict[str, Logistic]):
 def scored(table: DataFrame, views: dict[str, Logistic]) -> DataFrame:
     """doc_id and the logit of each view."""
     keyed = table.withColumn("doc_id", F.col("doc_id").cast("string"))
-    out = keyed.mapInPandas(_scores(views), "doc_id string, content double, meta double")
+    out = keyed.mapInPandas(tidy(_scores(views)), "doc_id string, content double, meta double")
     return out.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def _bounded(df: DataFrame, rows: int, *columns: str) -> pd.DataFrame:
-    """At most so many rows, the first by a hash of the id."""
-    return df.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(rows).select(*columns).toPandas()
+def _first(df: DataFrame, rows: int) -> DataFrame:
+    """At most so many rows of a narrow frame, the first by a hash of the id, as a small frame."""
+    first = df.filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(rows).collect()
+    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in first], df.schema))
 
 
 def classify(
@@ -168,12 +169,11 @@ def classify(
     truth = truth.agg(F.avg(F.col(label).cast("double")).alias("y")).filter("y <> 0.5").select("doc_id", (F.col("y") > 0.5).cast("int").alias("y"))
     truth = truth.withColumn("out", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(hold_out)) == 0)
     table = features(docs)
-    known = table.dropDuplicates(["doc_id"]).join(truth, "doc_id")
+    # features are only joined with small frames, so that they are never shuffled
+    known = table.select("doc_id").distinct().join(truth, "doc_id")
     views = ("content", "meta")
-    rows = {
-        y: _bounded(known.filter(F.col("y") == y), most_labelled // 2, "y", "out", *views) for y in (0, 1)
-    }
-    seen = pd.concat(rows.values())
+    rows = [_first(known.filter(F.col("y") == y), most_labelled // 2) for y in (0, 1)]
+    seen = table.join(F.broadcast(rows[0].unionAll(rows[1])), "doc_id").dropDuplicates(["doc_id"]).select("y", "out", *views).toPandas()
     learn, check = seen[~seen.out], seen[seen.out]
     if set(learn.y) != {0, 1}:
         half = F.lit(0.5)
@@ -186,16 +186,11 @@ def classify(
     models = {v: fit(x[v], y[v]) for v in views}
     edge = math.log(sure / (1 - sure))
     for _ in range(rounds):
-        unlabelled = table.join(truth.select("doc_id"), "doc_id", "left_anti")
-        logits = scored(unlabelled, models)
+        logits = written(scored(table, models).join(truth.select("doc_id"), "doc_id", "left_anti"), "logits")
         for teacher, pupil in (("content", "meta"), ("meta", "content")):
             for value, sign in ((0, -1), (1, 1)):
                 sure_ones = logits.filter(F.col(teacher) * sign > edge).select("doc_id").distinct()
-                told = _bounded(sure_ones, most_pseudo, "doc_id")
-                if not len(told):
-                    continue
-                ids = table.sparkSession.createDataFrame([(int(i),) for i in told.doc_id.dropna()], "doc_id bigint")
-                more = table.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select(pupil).toPandas()
+                more = table.join(_first(sure_ones, most_pseudo), "doc_id").dropDuplicates(["doc_id"]).select(pupil).toPandas()
                 x[pupil] = np.vstack([x[pupil], _matrix(more[pupil])]) if len(more) else x[pupil]
                 y[pupil] = np.concatenate([y[pupil], np.full(len(more), value)])
         models = {v: fit(x[v], y[v]) for v in views}
