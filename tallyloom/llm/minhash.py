@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyloom.llm.common import components, shingles_of, written
+from tallyloom.llm.common import components, shingles_of, small, tidy, written
 
 SIGNATURE = "doc_id bigint, content bigint, n_shingles bigint, digest binary, signature binary"
 
@@ -167,14 +167,15 @@ class NearDuplicates:
         self.texts = docs.select(
             F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), F.col("text").cast("binary").alias("raw"),
         )
-        self.signed = written(self.texts.mapInArrow(_sign(width, self.hashes), SIGNATURE), "signatures")
+        self.signed = written(self.texts.mapInArrow(tidy(_sign(width, self.hashes)), SIGNATURE), "signatures")
         named = self.signed.filter("doc_id IS NOT NULL AND n_shingles > 0")
         classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "content")).alias("first"))
         self.member = written(
             named.select("doc_id", "content", "digest").join(classes, "digest").select("doc_id", "content", F.col("first.doc_id").alias("rep")).distinct(), "members",
         )
         first = classes.select(F.col("first.doc_id").alias("doc_id"), F.col("first.content").alias("content"))
-        self.reps = named.join(first, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
+        reps = named.join(first, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
+        self.reps = written(reps.select("doc_id", "content", "n_shingles", "signature"), "representatives")
         size = 4 * self.rows
         keys = F.posexplode(F.array(*[F.substring("signature", 1 + k * size, size) for k in range(self.bands)])).alias("k", "part")
         banded = self.reps.select("doc_id", "content", "n_shingles", keys)
@@ -210,10 +211,10 @@ class NearDuplicates:
             "bucket", "id", "content", F.coalesce("component", "id").alias("component"),
         )
         split = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
-        open_ = named.join(split, "bucket", "left_semi").groupBy("id", "content").agg(F.min("component").alias("component"))
+        open_ = small(written(named.join(split, "bucket", "left_semi").groupBy("id", "content").agg(F.min("component").alias("component")), "open"))
         texts = self.texts.join(open_, (F.col("doc_id") == F.col("id")) & (self.texts.content == open_.content)).select("id", open_.content, "component", "raw")
         texts = texts.dropDuplicates(["id", "content"])
-        sets = written(texts.mapInArrow(_explode(self.width), "id bigint, content bigint, component bigint, n int, shingle bigint"), "open-sets")
+        sets = written(texts.mapInArrow(tidy(_explode(self.width)), "id bigint, content bigint, component bigint, n int, shingle bigint"), "open-sets")
         common = sets.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
         mine = W.partitionBy("id", "content")
         ranked = sets.join(common, "shingle").withColumn("place", F.row_number().over(mine.orderBy("df", "shingle"))).withColumn("common", F.count("*").over(mine))
@@ -231,20 +232,27 @@ class NearDuplicates:
             F.col("x.id").alias("a"), F.col("x.content").alias("ca"), F.col("y.id").alias("b"), F.col("y.content").alias("cb"),
         ).distinct()
 
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        """The documents that pairs name; few of them filter signatures and texts before these are shuffled."""
+        ends = pairs.select(F.col("a").alias("doc_id"), F.col("ca").alias("content")).unionAll(pairs.select("b", "cb"))
+        return small(written(ends.distinct(), "ends"))
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold: pruned batch by batch, survivors verified on full sets."""
-        sign = lambda side: self.reps.select(
+        pairs = written(pairs, "pairs")
+        reps = self.reps.join(self._ends(pairs), ["doc_id", "content"], "left_semi")
+        sign = lambda side: reps.select(
             F.col("doc_id").alias(side), F.col("content").alias(f"c{side}"), F.col("signature").alias(f"s{side}"),
         )
         signed = pairs.join(sign("a"), ["a", "ca"]).join(sign("b"), ["b", "cb"]).select("a", "ca", "b", "cb", "sa", "sb")
         alive = written(
-            signed.mapInArrow(_prune(self.hashes, self.batch, self.similarity, self.miss), "a bigint, ca bigint, b bigint, cb bigint"), "candidates",
+            signed.mapInArrow(tidy(_prune(self.hashes, self.batch, self.similarity, self.miss)), "a bigint, ca bigint, b bigint, cb bigint"), "candidates",
         )
-        wanted = alive.select(F.col("a").alias("doc_id"), F.col("ca").alias("content")).unionAll(alive.select("b", "cb")).distinct()
-        texts = self.texts.join(wanted, ["doc_id", "content"]).dropDuplicates(["doc_id", "content"])
+        texts = self.texts.join(self._ends(alive), ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
         text = lambda side: texts.select(F.col("doc_id").alias(side), F.col("content").alias(f"c{side}"), F.col("raw").alias(f"x{side}"))
         both = alive.join(text("b"), ["b", "cb"]).join(text("a"), ["a", "ca"]).select("a", "b", "xa", "xb")
-        return written(both.mapInArrow(_verify(self.width, self.percent), "a bigint, b bigint"), "links")
+        return written(both.mapInArrow(tidy(_verify(self.width, self.percent)), "a bigint, b bigint"), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, miss: float = 1e-6, batch: int = 24) -> DataFrame:
