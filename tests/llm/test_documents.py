@@ -169,3 +169,11 @@ def test_repeated_lines_go_and_copies_stay_whole(spark):
     assert all(out[10 + i].text == own(99, 6) for i in range(4))
     assert out[20].text == "a\nb\nc" and out[21].text is None and out[None].text.startswith(banner)
     assert lines.without_repeated_lines(df.filter(F.lit(False))).count() == 0
+
+
+def test_rows_of_one_id_keep_their_lines(spark):
+    own = lambda i, n: "\n".join(f"record {i} part {k} holds {i * 6151 + k * 92821} of its own words" for k in range(n))
+    docs = [(1, own(1, 6)), (1, own(1, 6)), (2, f"a\nb\n{own(2, 5)}"), (2, f"{own(3, 2)}\nb\nc\nb\n{own(4, 4)}"), (3, "x\ny\nx\nz"), (3, "x\ny\nx\nz")]
+    out = lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    want = docs[:3] + [(2, f"{own(3, 2)}\nb\nc\n{own(4, 4)}")] + 2 * [(3, "x\ny\nz")]
+    assert sorted(map(tuple, out)) == sorted(want)
