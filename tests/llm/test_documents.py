@@ -177,3 +177,14 @@ def test_rows_of_one_id_keep_their_lines(spark):
     out = lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
     want = docs[:3] + [(2, f"{own(3, 2)}\nb\nc\n{own(4, 4)}")] + 2 * [(3, "x\ny\nz")]
     assert sorted(map(tuple, out)) == sorted(want)
+
+
+@pytest.mark.parametrize("part", [25, 50])
+def test_shared_passages_go_from_pages_and_copies(spark, part):
+    own = lambda i, n: "\n".join(f"page {i} part {k} tells {i * 6151 + k * 92821} on its own" for k in range(n))
+    passage = own(99, part // 5)
+    docs = [(i, f"{passage}\n{own(i, 20 - part // 5)}") for i in range(5)]
+    docs += [(5, docs[4][1]), (6, f"{docs[4][1]}\n{own(6, 1)}")]  # copies of a page lose it with the page
+    out = dict(map(tuple, lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()))
+    assert out[0] == docs[0][1] and all(out[i] == own(i, 20 - part // 5) for i in range(1, 5))
+    assert out[5] == out[4] and out[6] == f"{out[4]}\n{own(6, 1)}"
