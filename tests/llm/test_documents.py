@@ -188,3 +188,11 @@ def test_shared_passages_go_from_pages_and_copies(spark, part):
     out = dict(map(tuple, lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()))
     assert out[0] == docs[0][1] and all(out[i] == own(i, 20 - part // 5) for i in range(1, 5))
     assert out[5] == out[4] and out[6] == f"{out[4]}\n{own(6, 1)}"
+
+
+def test_long_lines_go_from_the_second_holder_on(spark):
+    own = lambda i, n: "\n".join(f"sheet {i} part {k} says {i * 6151 + k * 92821} by itself" for k in range(n))
+    long, short = (" ".join(f"{x}{k * 7919}" for k in range(n)) for x, n in (("v", 50), ("w", 49)))
+    docs = [(i, f"{own(i, 20)}\n{long}{'.' * i}\n{short}\n{own(9 + i, 20)}") for i in range(2)]
+    out = dict(map(tuple, lines.without_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()))
+    assert out == {0: docs[0][1], 1: f"{own(1, 20)}\n{short}\n{own(10, 20)}"}
