@@ -91,8 +91,48 @@ FROM l LEFT JOIN full_lines f ON l.doc_id = f.doc_id AND l.line_no = f.line_no
 LEFT JOIN named n ON f.line = n.line LEFT JOIN holders h ON n.class = h.class
 """
 
+# The sixteen steps of the reflected CRC-32 polynomial, four bits at a time.
+CRC_STEPS = (
+    0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+    0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C,
+)
+_STEPS = ", ".join(f"{step}::BIGINT" for step in CRC_STEPS)
+SPELLING = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS k, hex(encode(doc_id::VARCHAR || ':' || run)) AS digits FROM runs GROUP BY doc_id, run
+), summed AS (
+    SELECT run, k, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, [(('0x' || substr(digits, 2 * i - 1, 2))::BIGINT) FOR i IN range(1, length(digits) // 2 + 1)]),
+        lambda c, b: xor(xor(xor(c, b) >> 4, [{_STEPS}][(xor(c, b) & 15) + 1]) >> 4,
+                         [{_STEPS}][(xor(xor(c, b) >> 4, [{_STEPS}][(xor(c, b) & 15) + 1]) & 15) + 1])
+    ), 4294967295::BIGINT) AS h FROM counted
+), altered AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM summed
+), words AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n FROM altered WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), holes AS (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS hole FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word AS p, a.n AS np, b.word AS q, b.n AS nq FROM holes a JOIN holes b ON a.i = b.i AND a.hole = b.hole AND a.word <> b.word
+    UNION SELECT a.word, a.n, w.word, w.n FROM holes a JOIN words w ON a.hole = w.word
+    UNION SELECT w.word, w.n, a.word, a.n FROM holes a JOIN words w ON a.hole = w.word
+), degree AS (
+    SELECT p AS word, count(*) AS n_near FROM near GROUP BY p
+), forms AS (
+    SELECT p AS word, q AS form, nq AS form_n FROM near QUALIFY row_number() OVER (PARTITION BY p ORDER BY nq DESC, q) = 1 AND nq >= 2 * np
+), ways(word, root, steps) AS (
+    SELECT word, word, 0 FROM words UNION ALL SELECT ways.word, forms.form, steps + 1 FROM ways JOIN forms ON ways.root = forms.word
+)
+SELECT word, form, root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN degree USING (word) LEFT JOIN forms USING (word) JOIN (SELECT word, arg_max(root, steps) AS root FROM ways GROUP BY word) USING (word)
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
         "op1_minhash_near_duplicates": SHINGLES, "op2_nn_descent_duplicates": VECTORS, "op3_threshold_top_k": TOP_K, "op5_segment_line_dedup": LINES,
+        "op11_trie_spelling_variants": SPELLING,
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, packing, quality, tools, topk, whitening
+from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, packing, quality, spelling, tools, topk, whitening
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,10 @@ def op10_sainte_lague_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_trie_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read_table(spark, folder, "documents"))
+
+
 def op12_multiplicity_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """A deviation that no long holds is null; at any scale ``whiten`` itself returns it as a decimal."""
     white = whitening.whiten(read_table(spark, folder, "embeddings"))
