@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, packing, quality, spelling, tools, topk, whitening
+from tallyloom.llm import bpe, lines, lm, minhash, mixing, neighbours, packing, pii, quality, spelling, tools, topk, whitening
 from tallyloom.llm.common import read_table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,5 +115,22 @@ def op12_multiplicity_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return white.withColumn("deviation", F.col("deviation").try_cast("bigint"))
 
 
+def op13_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts and the digest are of the rules' spans; ``spans`` has the added ones too."""
+    found = pii.find(read_table(spark, folder, "documents"))
+
+    def of(kind: str, *spans: str):
+        return F.filter(F.concat(*spans), lambda s: s["kind"] == kind)
+
+    def told(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    by_kind = F.flatten(F.array(*[F.array_sort(of(kind, "base", "added")) for kind in pii.KINDS]))
+    return found.select(
+        "doc_id", *[F.size(of(kind, "base")).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(by_kind).alias("spans"), F.size("added").cast("bigint").alias("n_added"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
