@@ -41,7 +41,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
-        .config("spark.sql.files.maxPartitionBytes", "4m")  # small files: a split per core
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")

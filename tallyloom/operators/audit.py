@@ -46,23 +46,6 @@ def column_inventory(spark: SparkSession, tables: dict[str, DataFrame]) -> DataF
     return spark.createDataFrame(rows, _INVENTORY)
 
 
-def shard_inventory(raw: DataFrame, prefix: str) -> DataFrame:
-    """Inventory of a sharded source that was read as one table: every month
-    found in the data exposes the table's columns."""
-    fields = [f for f in raw.schema.fields if f.name != "source_month"]
-    entries = F.array(*[
-        F.struct(
-            F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.lit(at).alias("ordinal_position"),
-        )
-        for at, f in enumerate(fields, 1)
-    ])
-    months = raw.select("source_month").distinct()
-    return months.select(
-        F.concat(F.lit(prefix), "source_month").alias("table_name"), F.explode(entries).alias("e")
-    ).select("table_name", "e.*")
-
-
 def _shards(inventory: DataFrame, prefix: str, cfg: RetailConfig) -> DataFrame:
     month = F.regexp_extract("table_name", rf"^{prefix}(\d+)$", 1)
     return inventory.filter((month != "") & month.between(cfg.start_month, cfg.end_month))
@@ -282,7 +265,7 @@ def clean_audit(
         F.count_if(F.col("order_date") > now).alias("future"),
         F.count_if((pct < 0) | (pct > 1)).alias("bad_pct"),
         (F.count("*") - F.countDistinct("order_id")).alias("repeats"),
-    ).crossJoin(_orphan_rows(orders, "customer_id", customers, "customer_id"))
+    ).crossJoin(F.broadcast(_orphan_rows(orders, "customer_id", customers, "customer_id")))
 
     # Orders against items at order grain: one row per order on both sides.
     met = orders.select("order_id", "basket_item_count").join(
@@ -319,8 +302,8 @@ def clean_audit(
             (F.count(key) - F.countDistinct(key)).alias(f"{p}_repeats"),
         )
 
-    dims = key_part(customers, "customer_id", "c").crossJoin(key_part(products, "product_id", "p")).crossJoin(
-        products.agg(F.count_if(F.col("unit_cost").isNull()).alias("no_cost"))
+    dims = key_part(customers, "customer_id", "c").crossJoin(F.broadcast(key_part(products, "product_id", "p"))).crossJoin(
+        F.broadcast(products.agg(F.count_if(F.col("unit_cost").isNull()).alias("no_cost")))
     )
     counts = _as_rows(facts, {
         1: ("no_order", "n"), 2: ("no_customer", "n"), 3: ("orphans", "n"), 4: ("no_date", "n"),
@@ -386,10 +369,10 @@ def country_coverage(
         sold = sold.union(foreign).distinct()
     elif fault == "segment_country_missing_from_dimension":
         scored = scored.union(foreign).distinct()
-    one = (
+    one = (  # one row each
         sold.agg(F.when(F.count("*") == 0, 1).otherwise(0).alias("v1"))
-        .crossJoin(sold.subtract(scored).agg(F.count("*").alias("v2")))
-        .crossJoin(scored.subtract(known).agg(F.count("*").alias("v3")))
+        .crossJoin(F.broadcast(sold.subtract(scored).agg(F.count("*").alias("v2"))))
+        .crossJoin(F.broadcast(scored.subtract(known).agg(F.count("*").alias("v3"))))
     )
     rows = ", ".join(f"{i}, '{m}', cast(v{i} as bigint)" for i, m in enumerate(COVERAGE_MESSAGES, 1))
     return one.selectExpr(f"stack(3, {rows}) as (check_order, message, violations)").withColumn(
@@ -434,7 +417,7 @@ def customer_dim_validation(enriched: DataFrame, customers: DataFrame) -> DataFr
         F.count_if(F.col("segment").isNotNull()).alias("scored_customers"),
     )
     std = customers.agg(F.count("*").alias("std_dim_rows"))
-    return counted.crossJoin(std).select(
+    return counted.crossJoin(F.broadcast(std)).select(
         "bi_dim_rows", "std_dim_rows",
         (F.col("bi_dim_rows") - F.col("std_dim_rows")).alias("row_delta"),
         "distinct_customers",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.config import FEED_CONFIG, RetailConfig
 from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm, winback
-from tallyloom.sources import feed, shards
+from tallyloom.sources import feed, shapes, shards
 from tallyloom.sources.staging import delete, fingerprint, forget_kept, new_folder, written_to
 
 
@@ -52,10 +52,11 @@ class Shop:
     def folder(self) -> str:
         return new_folder(self.spark, "stage")
 
-    def _stage(self, label, build, cluster=()) -> DataFrame:
-        """The stage table: ``cluster`` sorts each file, without a shuffle, so that row-group statistics can skip rows."""
+    def _stage(self, label, build, cluster=(), by=None) -> DataFrame:
+        """The stage table: ``cluster`` sorts each file, without a shuffle, so that row-group statistics can skip rows;
+        ``by`` names a column whose values get a folder each, so that filters on it prune files."""
         df = build()
-        return written_to(df.sortWithinPartitions(*cluster) if cluster else df, f"{self.folder}/{label}")
+        return written_to(df.sortWithinPartitions(*cluster) if cluster else df, f"{self.folder}/{label}", by)
 
     def _bucketed(self, label, build, key="order_id") -> DataFrame:
         """A stage laid out by its join key: stages with one key join and sum without an exchange."""
@@ -83,11 +84,11 @@ class Shop:
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self._stage("raw_orders", lambda: self.raw.orders)
+        return self._stage("raw_orders", lambda: self.raw.orders, by="source_month")
 
     @cached_property
     def raw_items(self) -> DataFrame:
-        return self._stage("raw_items", lambda: self.raw.items)
+        return self._stage("raw_items", lambda: self.raw.items, by="source_month")
 
     @cached_property
     def raw_customers(self) -> DataFrame:
@@ -97,11 +98,49 @@ class Shop:
     def raw_products(self) -> DataFrame:
         return self._stage("raw_products", lambda: self.raw.products)
 
+    def _shapes(self, folders: dict[str, str]) -> dict[str, list[shapes.Shape]]:
+        return {kind: shapes.shapes(self.spark, path, kind, self.cfg) for kind, path in folders.items()}
+
+    @cached_property
+    def shard_shapes(self) -> dict[str, list[shapes.Shape]]:
+        return self._shapes(self.shard_folders)
+
     @cached_property
     def inventory(self) -> DataFrame:
-        """Tables and columns of the raw shards: metadata, a row per month and column."""
-        return self._stage("inventory", lambda: audit.shard_inventory(self.raw_orders, "orders").unionByName(
-            audit.shard_inventory(self.raw_items, "items")))
+        """Tables, columns and types of the month shards, read from the shards."""
+        return self._stage("inventory", lambda: self._inventory(self.shard_shapes))
+
+    def _inventory(self, found: dict[str, list[shapes.Shape]]) -> DataFrame:
+        return shapes.inventory(self.spark, found["orders"], "orders").unionByName(shapes.inventory(self.spark, found["items"], "items"))
+
+    @cached_property
+    def faulty_folders(self) -> dict[str, str]:
+        """The shards again, with ``feed.FAULTS``: one month lacks a column, one has it in another type."""
+        folders = {kind: f"{self.folder}/faulty/{kind}" for kind in ("orders", "items")}
+        for kind, path in folders.items():
+            for part in feed.faulty(getattr(self, f"raw_{kind}"), kind):
+                shards.write_months(part, path)
+        return folders
+
+    @cached_property
+    def faulty_shapes(self) -> dict[str, list[shapes.Shape]]:
+        return self._shapes(self.faulty_folders)
+
+    @cached_property
+    def faulty_inventory(self) -> DataFrame:
+        return self._stage("faulty_inventory", lambda: self._inventory(self.faulty_shapes))
+
+    def guarded(self, kind: str, found: dict[str, list[shapes.Shape]], inventory: DataFrame) -> DataFrame:
+        """A kind's shards as one table, or no rows when their contract is broken."""
+        expected = {"orders": audit.ORDER_HEADERS, "items": audit.ITEM_HEADERS}[kind]
+        if audit.schema_contract(inventory, kind, expected, self.cfg).first()["contract_ok"]:
+            return shapes.read_shapes(self.spark, found[kind], kind)
+        return shards.no_rows(self.spark, kind)
+
+    def audit_of(self, found: dict[str, list[shapes.Shape]], inventory: DataFrame) -> DataFrame:
+        """The raw audit of shards as they lie there; checks on a source with a broken contract are skipped."""
+        orders, items = (self.guarded(kind, found, inventory) for kind in ("orders", "items"))
+        return audit.raw_audit(audit.RawSource(orders, items, self.raw_customers, self.raw_products, inventory), self.cfg)
 
     @cached_property
     def raw_audit(self) -> DataFrame:
@@ -126,11 +165,11 @@ class Shop:
 
     @cached_property
     def orders_cleaned(self) -> DataFrame:
-        return self._stage("orders_cleaned", lambda: cleaning.orders_cleaned(self.raw_orders, self.cfg))
+        return self._stage("orders_cleaned", lambda: cleaning.orders_cleaned(self.raw_orders, self.cfg), by="source_month")
 
     @cached_property
     def items_cleaned(self) -> DataFrame:
-        return self._stage("items_cleaned", lambda: cleaning.items_cleaned(self.raw_items, self.cfg))
+        return self._stage("items_cleaned", lambda: cleaning.items_cleaned(self.raw_items, self.cfg), by="source_month")
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -315,10 +315,55 @@ def _lookup(raw_key: str, table: str) -> str:
     return f"SELECT count(*) AS n, count(*) - count(k) AS nulls, count(k) - count(DISTINCT k) AS repeats, count(k) AS keys FROM (SELECT {raw_key} AS k FROM {table})"
 
 
+_ORDER_NAMES = ("OrderID", "CustomerID", "OrderDate", "OrderDiscountPct", "BasketItemCount")
+_ITEM_NAMES = ("OrderID", "LineNumber", "ProductID", "Quantity", "UnitPrice", "LineNetAmount")
+
+
+def _shard_columns(kind: str, table: str, names: tuple[str, ...], gone=("", ""), other=("", ""), retyped="") -> str:
+    """Month, column, place and counts of the value classes; ``gone`` is a month and the column it lacks,
+    ``other`` a month and the column that ``retyped`` replaces there."""
+    lost = names.index(gone[1]) + 1 if gone[1] else 99
+    parts = []
+    for at, name in enumerate(names, 1):
+        text = f"""CASE WHEN source_month = '{other[0]}' THEN {retyped} ELSE "{name}" END""" if name == other[1] else f'"{name}"'
+        place = f"CASE WHEN source_month = '{gone[0]}' THEN {at - 1} ELSE {at} END" if at > lost else str(at)
+        parts.append(f"""SELECT '{kind}' AS kind, source_month, '{name}' AS column_name, min({place}) AS place, count(*) FILTER (t <> '') AS filled,
+  count(*) FILTER (regexp_full_match(t, '[+-]?(0|[1-9]\\d{{0,17}})')) AS whole, count(*) FILTER (regexp_full_match(t, '[+-]?((0|[1-9]\\d*)(\\.\\d+)?|\\.\\d+)')) AS number,
+  count(*) FILTER (regexp_full_match(t, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}')) AS day
+  FROM (SELECT source_month, {trim(text)} AS t FROM {table} WHERE {_WINDOW} AND NOT (source_month = '{gone[0] if name == gone[1] else ''}')) GROUP BY source_month""")
+    return " UNION ALL ".join(parts)
+
+
+def _inventory(counts: str) -> str:
+    return f"""SELECT kind, kind || source_month AS table_name, column_name, CASE WHEN filled < 10 THEN NULL WHEN 2 * whole > filled THEN 'bigint'
+  WHEN 2 * number > filled THEN 'decimal' WHEN 2 * day > filled THEN 'date' ELSE 'string' END AS data_type, place AS ordinal_position FROM ({counts})"""
+
+
+def _contract(inventory: str) -> str:
+    return f"""SELECT kind, count(*) AS shards, count(*) FILTER (have < 5) AS missing, any_value(drift) AS drift FROM
+  (SELECT kind, table_name, count(*) FILTER (column_name <> 'LineNumber') AS have FROM {inventory} GROUP BY 1, 2) JOIN
+  (SELECT kind, count(*) FILTER (types > 1) AS drift FROM (SELECT kind, column_name, count(DISTINCT data_type) AS types FROM {inventory}
+   WHERE column_name <> 'LineNumber' GROUP BY 1, 2) GROUP BY 1) USING (kind) GROUP BY kind"""
+
+
+def _contract_counts(orders: str, items: str = "") -> str:
+    return ", ".join(
+        f"(SELECT {c} FROM {source} WHERE kind = '{kind}') AS {c}_{kind}"
+        for kind, source in (("orders", orders), ("items", items or orders)) for c in ("shards", "missing", "drift")
+    )
+
+
+STEPS["k_inventory"] = _inventory(_shard_columns("orders", "k_raw_orders", _ORDER_NAMES) + " UNION ALL " + _shard_columns("items", "k_raw_items", _ITEM_NAMES))
+STEPS["k_faulty_inventory"] = _inventory(
+    _shard_columns("orders", "k_raw_orders", _ORDER_NAMES, ("199703", "OrderDiscountPct"), ("199605", "OrderDate"), """replace("OrderDate", '-', '')""")
+    + " UNION ALL " + _shard_columns("items", "k_raw_items", _ITEM_NAMES, ("199808", "UnitPrice"), ("199702", "Quantity"), """"Quantity" || ' pc'""")
+)
+STEPS["k_contract"] = _contract("k_inventory")
+STEPS["k_faulty_contract"] = _contract("k_faulty_inventory")
+
 STEPS["k_raw_counts"] = f"""
 SELECT
-  c.n AS n_c, c.nulls AS null_c, c.repeats AS rep_c, p.n AS n_p, p.nulls AS null_p, p.repeats AS rep_p, o.*, i.*,
-  (SELECT count(DISTINCT source_month) FROM k_orders_in) AS shards_o, (SELECT count(DISTINCT source_month) FROM k_items_in) AS shards_i
+  c.n AS n_c, c.nulls AS null_c, c.repeats AS rep_c, p.n AS n_p, p.nulls AS null_p, p.repeats AS rep_p, o.*, i.*, {_contract_counts('k_contract')}
 FROM ({_lookup('customer_id', 'k_customers')}) c, ({_lookup('product_id', 'k_products')}) p,
 (SELECT count(*) AS n_o, count(*) FILTER (coalesce(t_o, '') = '') AS o13, count(*) FILTER (coalesce(tc, '') = '') AS o14,
   count(*) FILTER (tc <> '' AND NOT EXISTS (SELECT 1 FROM k_customers k WHERE k.customer_id = x.tc)) AS o15,
@@ -330,7 +375,7 @@ FROM ({_lookup('customer_id', 'k_customers')}) c, ({_lookup('product_id', 'k_pro
   count(*) FILTER (ro <> t_o OR rp <> tp) AS i26, count(ro) - count(DISTINCT ro || '|' || rp || '|' || source_month) AS i27 FROM k_items_in x) i"""
 
 _RAW_COUNTS = {
-    1: ("0", "11"), 2: ("0", "11"), 3: ("0", "7"), 4: ("0", "7"), 5: ("0", "shards_o"), 6: ("0", "5"), 7: ("0", "shards_i"), 8: ("0", "5"),
+    1: ("0", "11"), 2: ("0", "11"), 3: ("0", "7"), 4: ("0", "7"), 5: ("missing_orders", "shards_orders"), 6: ("drift_orders", "5"), 7: ("missing_items", "shards_items"), 8: ("drift_items", "5"),
     9: ("null_c", "n_c"), 10: ("rep_c", "n_c"), 11: ("null_p", "n_p"), 12: ("rep_p", "n_p"),
     **{c: (f"o{c}", "n_o") for c in range(13, 20)}, **{c: (f"i{c}", "n_i") for c in range(20, 28)},
     28: ("n_c", "n_c"), 29: ("n_p", "n_p"),
@@ -339,11 +384,15 @@ _RAW_COUNTS = {
 
 def _audit(counts: dict[int, tuple[str, str]], source: str, checks) -> str:
     rows = " UNION ALL ".join(f"SELECT {c} AS check_order, {a} AS issue_count, {b} AS table_rows FROM {source}" for c, (a, b) in counts.items())
-    names = _values([c[:5] for c in checks], "check_order, check_name, source_column, severity, handling")
-    return f"SELECT check_order, check_name, source_column, severity, issue_count, table_rows, {rdiv('100 * issue_count', 'table_rows', 3)} AS pct_of_table, handling FROM ({rows}) JOIN (SELECT * FROM {names}) USING (check_order)"
+    names = _values([(*c[:5], c[5] if len(c) > 5 else "") for c in checks], "check_order, check_name, source_column, severity, done, skipped")
+    return f"SELECT check_order, check_name, source_column, severity, issue_count, table_rows, {rdiv('100 * issue_count', 'table_rows', 3)} AS pct_of_table, CASE WHEN issue_count IS NULL THEN skipped ELSE done END AS handling FROM ({rows}) JOIN (SELECT * FROM {names}) USING (check_order)"
 
 
 STEPS["k_raw_audit"] = _audit(_RAW_COUNTS, "k_raw_counts", RAW_CHECKS)
+_SKIPPED_ORDERS, _SKIPPED_ITEMS = {c: ("NULL", "0") for c in range(13, 20)}, {c: ("NULL", "0") for c in range(20, 28)}
+STEPS["k_faulty_counts"] = f"SELECT * EXCLUDE (shards_orders, missing_orders, drift_orders, shards_items, missing_items, drift_items), {_contract_counts('k_faulty_contract')} FROM k_raw_counts"
+STEPS["k_faulty_audit"] = _audit(_RAW_COUNTS | _SKIPPED_ORDERS | _SKIPPED_ITEMS, "k_faulty_counts", RAW_CHECKS)
+STEPS["k_half_counts"] = f"SELECT * EXCLUDE (shards_orders, missing_orders, drift_orders, shards_items, missing_items, drift_items), {_contract_counts('k_faulty_contract', 'k_contract')} FROM k_raw_counts"
 
 STEPS["k_clean_counts"] = """
 SELECT c.n AS n_c, c.nulls AS null_c, c.repeats AS rep_c, c.keys AS key_c, p.n AS n_p, p.nulls AS null_p, p.repeats AS rep_p, p.keys AS key_p, o.*, i.*,
@@ -371,7 +420,7 @@ STEPS["k_clean_audit"] = _audit({
 
 def _findings(audit: str) -> str:
     pct = "regexp_replace(regexp_replace(CAST(CAST(pct_of_table AS DECIMAL(28,3)) AS VARCHAR), '0+$', ''), '\\.$', '')"
-    return f"""SELECT check_order, severity, CASE WHEN severity = 'INFO' THEN check_name || ' – ' || issue_count || ' rows.'
+    return f"""SELECT check_order, severity, CASE WHEN issue_count IS NULL THEN check_name || ' – Skipped. ' || handling WHEN severity = 'INFO' THEN check_name || ' – ' || issue_count || ' rows.'
   WHEN issue_count = 0 THEN check_name || ' – No issues found.'
   ELSE 'Found ' || issue_count || ' for ' || check_name || ' (' || {pct} || '%) – ' || handling END AS finding FROM {audit}"""
 
@@ -390,20 +439,24 @@ add("s1_shard_load", f"""SELECT source_month, count(*) AS rows, count("OrderID")
 add("s1_shard_load_items", f"""SELECT source_month, count(*) AS rows, count("OrderID") AS order_ids, count(DISTINCT "ProductID") AS product_texts, count("LineNetAmount") AS amounts,
   count(*) FILTER ("ProductID" <> trim("ProductID", ' ')) AS padded_products FROM k_raw_items WHERE {_WINDOW} GROUP BY 1""",
     "source_month:s rows:i order_ids:i product_texts:i amounts:i padded_products:i")
-_INV = " UNION ALL ".join(
-    f"SELECT '{p}' || source_month AS table_name, c AS column_name, 'string' AS data_type, pos AS ordinal_position FROM (SELECT DISTINCT source_month FROM {t}), "
-    + _values([(c, i) for i, c in enumerate(cols, 1)], "c, pos")
-    for p, t, cols in (
-        ("orders", "k_raw_orders", ("OrderID", "CustomerID", "OrderDate", "OrderDiscountPct", "BasketItemCount")),
-        ("items", "k_raw_items", ("OrderID", "LineNumber", "ProductID", "Quantity", "UnitPrice", "LineNetAmount")),
-    )
-)
-add("s8_column_inventory", _INV, "table_name:s column_name:s data_type:s ordinal_position:i")
-add("d1_schema_contract", """SELECT 'orders' AS source, count(DISTINCT source_month) AS shards, 0 AS shards_missing_columns, 0 AS columns_with_type_drift, true AS contract_ok FROM k_orders_in
-  UNION ALL SELECT 'items', count(DISTINCT source_month), 0, 0, true FROM k_items_in""",
-    "source:s shards:i shards_missing_columns:i columns_with_type_drift:i contract_ok:b")
+_INV = "table_name:s column_name:s data_type:s ordinal_position:i"
+add("s8_column_inventory", "SELECT * FROM k_inventory", _INV)
+add("s8_faulty_inventory", "SELECT * FROM k_faulty_inventory", _INV)
+_CONTRACT = "SELECT kind AS source, shards, missing AS shards_missing_columns, drift AS columns_with_type_drift, missing = 0 AND drift = 0 AS contract_ok FROM "
+_CONTRACT_OUT = "source:s shards:i shards_missing_columns:i columns_with_type_drift:i contract_ok:b"
+add("d1_schema_contract", _CONTRACT + "k_contract", _CONTRACT_OUT)
+add("d1_faulty_contract", _CONTRACT + "k_faulty_contract", _CONTRACT_OUT)
+add("s3_mixed_shapes", f"""SELECT 'orders' AS kind, source_month, count(*) AS rows, count("OrderID") AS order_ids,
+  count("OrderDiscountPct") FILTER (source_month <> '199703') AS dropped_column_values, count("OrderDate") AS retyped_column_values,
+  min(CASE WHEN source_month = '199605' THEN replace("OrderDate", '-', '') ELSE "OrderDate" END) AS least_retyped FROM k_raw_orders WHERE {_WINDOW} GROUP BY 2
+  UNION ALL SELECT 'items', source_month, count(*), count("OrderID"), count("UnitPrice") FILTER (source_month <> '199808'), count("Quantity"),
+  min(CASE WHEN source_month = '199702' THEN "Quantity" || ' pc' ELSE "Quantity" END) FROM k_raw_items WHERE {_WINDOW} GROUP BY 2""",
+    "kind:s source_month:s rows:i order_ids:i dropped_column_values:i retyped_column_values:i least_retyped:s")
 _AUDIT = "check_order:i check_name:s source_column:s severity:s issue_count:i table_rows:i pct_of_table:d handling:s"
 add("d2_raw_audit", "SELECT * FROM k_raw_audit", _AUDIT)
+add("s13_half_guarded_audit", _audit(_RAW_COUNTS | _SKIPPED_ORDERS, "k_half_counts", RAW_CHECKS), _AUDIT)
+add("d2_faulty_audit", "SELECT * FROM k_faulty_audit", _AUDIT)
+add("d2_faulty_audit_findings", _findings("k_faulty_audit"), "check_order:i severity:s finding:s")
 add("d2_raw_audit_findings", _findings("k_raw_audit"), "check_order:i severity:s finding:s")
 add("d3_standardize_customers", "SELECT * FROM k_customers", "customer_id:s signup_date:s customer_archetype:s first_name:s last_name:s full_name:s email:s phone:s country:s state:s city:s address:s")
 add("d4_standardize_products", "SELECT * FROM k_products", "product_id:s product_name:s product_category:s brand:s retail_price:d unit_cost:d margin_pct:d")

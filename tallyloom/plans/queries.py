@@ -15,7 +15,7 @@ from tallyloom.operators import (
 )
 from tallyloom.operators import reports as q, rfm, winback
 from tallyloom.plans.build import Shop, shop_of
-from tallyloom.sources import shards
+from tallyloom.sources import feed, shapes, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,14 +43,34 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _schema_contract(s: Shop) -> DataFrame:
+def _schema_contract(s: Shop, inventory: DataFrame) -> DataFrame:
     parts = [
-        audit.schema_contract(s.inventory, kind, expected, s.cfg)
+        audit.schema_contract(inventory, kind, expected, s.cfg)
         for kind, expected in (("orders", audit.ORDER_HEADERS), ("items", audit.ITEM_HEADERS))
     ]
     return parts[0].unionByName(parts[1])
 
 
+def _mixed_shapes(s: Shop) -> DataFrame:
+    """Shards of three shapes as one table: what each month holds of the columns that some shards lack or retype."""
+    parts = []
+    for kind in ("orders", "items"):
+        columns = [feed.FAULTS[kind][fault][1] for fault in ("dropped", "retyped")]
+        rows = shapes.read_shapes(s.spark, s.faulty_shapes[kind], kind)
+        parts.append(rows.groupBy("source_month").agg(
+            F.count("*").alias("rows"), F.count("OrderID").alias("order_ids"),
+            F.count(columns[0]).alias("dropped_column_values"), F.count(columns[1]).alias("retyped_column_values"), F.min(columns[1]).alias("least_retyped"),
+        ).withColumn("kind", F.lit(kind)))
+    return parts[0].unionByName(parts[1])
+
+
+def _half_guarded(s: Shop) -> DataFrame:
+    """Faulty order shards beside sound item shards: the checks on orders are skipped, those on items are not."""
+    found = {"orders": s.faulty_shapes["orders"], "items": s.shard_shapes["items"]}
+    both = s.faulty_inventory.filter("table_name LIKE 'orders%'").unionByName(s.inventory.filter("table_name LIKE 'items%'"))
+    return s.audit_of(found, both)
+
+
 def _reloaded(s: Shop, kind: str) -> DataFrame:
     """Raw rows written as month partitions, read back in the window."""
     return shards.check_schema(shards.read_months(s.spark, s.shard_folders[kind], kind, s.cfg), kind)
@@ -121,8 +141,14 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "s1_shard_load": _shard_load,
     "s1_shard_load_items": _item_load,
     "s8_column_inventory": lambda s: s.inventory,
+    "s8_faulty_inventory": lambda s: s.faulty_inventory,
+    "s3_mixed_shapes": _mixed_shapes,
+    "s13_half_guarded_audit": _half_guarded,
+    "d1_faulty_contract": lambda s: _schema_contract(s, s.faulty_inventory),
+    "d2_faulty_audit": lambda s: s.audit_of(s.faulty_shapes, s.faulty_inventory),
+    "d2_faulty_audit_findings": lambda s: audit.audit_findings(s.audit_of(s.faulty_shapes, s.faulty_inventory)),
     # Audit, standardise, clean, validate
-    "d1_schema_contract": _schema_contract,
+    "d1_schema_contract": lambda s: _schema_contract(s, s.inventory),
     "d2_raw_audit": lambda s: s.raw_audit,
     "d2_raw_audit_findings": lambda s: audit.audit_findings(s.raw_audit),
     "d3_standardize_customers": lambda s: s.customers,

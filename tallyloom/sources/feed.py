@@ -19,6 +19,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The shards with defects of shape, (month, column) by kind.
+FAULTS = {
+    "orders": {"dropped": ("199703", "OrderDiscountPct"), "retyped": ("199605", "OrderDate")},
+    "items": {"dropped": ("199808", "UnitPrice"), "retyped": ("199702", "Quantity")},
+}
+
+
+def faulty(raw: DataFrame, kind: str) -> list[DataFrame]:
+    """raw in parts of one shape each: the sound months, one without a column, one with a column of another type.
+
+    Dates lose their dashes, which makes whole numbers of them; quantities get a unit, which makes text of them.
+    """
+    (gone, lost), (other, column) = FAULTS[kind]["dropped"], FAULTS[kind]["retyped"]
+    text = F.replace(F.col(column), F.lit("-"), F.lit("")) if column == "OrderDate" else F.concat(F.col(column), F.lit(" pc"))
+    return [
+        raw.filter(~F.col("source_month").isin(gone, other)),
+        raw.filter(F.col("source_month") == gone).drop(lost),
+        raw.filter(F.col("source_month") == other).withColumn(column, text),
+    ]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

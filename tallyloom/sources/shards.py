@@ -21,12 +21,15 @@ def _all_text(columns: tuple[str, ...]) -> StructType:
 # Facts are read as text, so malformed values stay visible to the audit.
 RAW_SCHEMAS = {"orders": _all_text(ORDER_COLUMNS), "items": _all_text(ITEM_COLUMNS)}
 
+# How written shards tell an empty text from a missing one.
+MARKS = {"emptyValue": "", "nullValue": "\\N"}
+
 
 def _any_case(word: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
 
 
-def _shard_glob(kind: str) -> str:
+def shard_glob(kind: str) -> str:
     return _any_case(kind) + "[0-9]" * 6 + _any_case(".csv")
 
 
@@ -34,7 +37,7 @@ def shard_files(spark: SparkSession, folder: str, kind: str) -> list[str]:
     """Paths of the month files of one kind, sorted. Reads no file content."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _shard_glob(kind)).load(folder).select("path")
+        .option("pathGlobFilter", shard_glob(kind)).load(folder).select("path")
     )
     return sorted(r["path"] for r in found.collect())
 
@@ -48,7 +51,7 @@ def read_month_files(spark: SparkSession, folder: str, kind: str, cfg: RetailCon
     month = F.regexp_extract("_metadata.file_name", r"(\d{6})\.[cC][sS][vV]$", 1)
     return (
         spark.read.schema(RAW_SCHEMAS[kind]).option("header", True).option("enforceSchema", False)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", _shard_glob(kind))
+        .option("recursiveFileLookup", True).option("pathGlobFilter", shard_glob(kind))
         .csv(folder)
         .filter(month.between(cfg.start_month, cfg.end_month))
         .withColumn("source_month", month)
@@ -75,7 +78,7 @@ def read_months(spark: SparkSession, folder: str, kind: str, cfg: RetailConfig)
     schema = StructType([*RAW_SCHEMAS[kind].fields, StructField("source_month", StringType())])
     return (
         spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-        .option("emptyValue", "").option("nullValue", "\\N").csv(folder)
+        .options(**MARKS).csv(folder)
         .filter(F.col("source_month").between(cfg.start_month, cfg.end_month))
     )
 
@@ -90,20 +93,8 @@ def check_schema(df: DataFrame, kind: str) -> DataFrame:
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """A dimension file; its column types are inferred."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
-
-
-def shard_columns(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """(table, column, type, position) per month file, from the header lines."""
-    rows = []
-    for path in shard_files(spark, folder, kind):
-        name = path.rsplit("/", 1)[-1].rsplit(".", 1)[0].lower()
-        header = spark.read.option("header", True).csv(path).schema
-        rows += [(name, f.name, f.dataType.simpleString(), at) for at, f in enumerate(header, 1)]
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, data_type string, ordinal_position int"
-    )
+    """A dimension file as text: an id such as 00123 stays as it is (``shapes.detected`` finds types)."""
+    return spark.read.option("header", True).csv(path)
 
 
 def no_rows(spark: SparkSession, kind: str) -> DataFrame:

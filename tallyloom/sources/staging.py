@@ -13,10 +13,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
-# Per application, the scratch tables by the hash of their plan.
-_KEPT: dict[str, dict[int, list[tuple[DataFrame, str]]]] = {}
+# Per application, the scratch tables by the hash of their plan, with the state of the files they were made from.
+_KEPT: dict[str, dict[int, list[tuple[DataFrame, tuple, str]]]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,32 +48,51 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return written_to(df, new_folder(df.sparkSession, label))
 
 
-def written_to(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written_to(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """df written and read back; ``by`` names a column of few values that gets a folder per value.
+
+    Rebalancing gathers a value's rows into few files and splits a very frequent value.
+    """
+    if by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
-    """As ``written``, but a table of the same plan that this application has written is read again.
+    """As ``written``, but a table of the same plan over the same files that this application has written is read again.
 
-    Plans name their input files; stage tables have paths of their own, so a table built
-    from other settings or inputs is another plan.
+    Plans name their input paths only, so the files under them are compared as well, by
+    name, size and time: a folder that was overwritten meanwhile is another input.
     """
     spark = df.sparkSession
+    state = inputs(df)
     same = _KEPT.setdefault(spark.sparkContext.applicationId, {}).setdefault(df.semanticHash(), [])
-    for known, path in same:
-        if known.sameSemantics(df) and known.columns == df.columns:
+    for known, seen, path in same:
+        if seen == state and known.sameSemantics(df) and known.columns == df.columns:
             return spark.read.schema(df.schema).parquet(path)
     path = new_folder(spark, label)
     out = written_to(df, path)
-    same.append((df, path))
+    same.append((df, state, path))
     return out
 
 
+def inputs(df: DataFrame) -> tuple:
+    """Path, size and time of every file that a plan reads; a listing per folder."""
+    spark, named = df.sparkSession, set(df.inputFiles())
+    found = []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in named}):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI.create(folder))
+        for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            found.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(named)), tuple(sorted(found))
+
+
 def forget_kept(spark: SparkSession) -> None:
     """Delete the scratch tables of this application."""
     for same in _KEPT.pop(spark.sparkContext.applicationId, {}).values():
-        for _, path in same:
+        for *_, path in same:
             delete(spark, path)
 
 

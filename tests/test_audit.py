@@ -9,6 +9,7 @@ import pytest
 from tallyloom.config import RetailConfig
 from tallyloom.operators import audit
 from tallyloom.operators.dimensions import CUSTOMER_COLUMNS, PRODUCT_COLUMNS
+from tallyloom.sources import shapes
 from tallyloom.sources.shards import RAW_SCHEMAS
 
 CFG = RetailConfig()
@@ -18,6 +19,13 @@ def text_frame(spark, columns, rows):
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
 
 
+def listed(spark, df, prefix):
+    """A table per month with the columns of df."""
+    fields = [f for f in df.schema.fields if f.name != "source_month"]
+    rows = [(f"{prefix}{m[0]}", f.name, "string", at) for m in df.select("source_month").distinct().collect() for at, f in enumerate(fields, 1)]
+    return spark.createDataFrame(rows, shapes.INVENTORY)
+
+
 def source(spark, order_columns=None, customer_columns=CUSTOMER_COLUMNS):
     orders = text_frame(spark, [*RAW_SCHEMAS["orders"].fieldNames(), "source_month"], [
         ("O1", "C1", "2024-03-05", "0.1", "1", "202403"), (" O2", "C7", "x", "0.1", "1", "202403"),
@@ -29,7 +37,7 @@ def source(spark, order_columns=None, customer_columns=CUSTOMER_COLUMNS):
         (None, "1", "P1", "1", "10", "", "202404")])
     customers = text_frame(spark, customer_columns, [tuple("C1" if c == "CustomerID" else "v" for c in customer_columns)] * 2)
     products = text_frame(spark, PRODUCT_COLUMNS, [("P1",) + ("v",) * 6, (" ",) + ("v",) * 6])
-    inventory = audit.shard_inventory(orders, "orders").unionByName(audit.shard_inventory(items, "items"))
+    inventory = listed(spark, orders, "orders").unionByName(listed(spark, items, "items"))
     if order_columns is not None:
         inventory = inventory.filter(f"NOT (table_name = 'orders202404' AND column_name = '{order_columns}')")
     return audit.RawSource(orders, items, customers, products, inventory)
