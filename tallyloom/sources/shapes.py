@@ -32,7 +32,6 @@ TYPE_PATTERNS = (
     ("decimal", r"^[+-]?((0|[1-9]\d*)(\.\d+)?|\.\d+)$"),
     ("date", r"^\d{4}-\d{1,2}-\d{1,2}$"),
 )
-_MONTH = r"(?:source_month=|(?<=\D))(\d{6})(?:/[^/]*|\.[cC][sS][vV])$"
 
 
 @dataclass(frozen=True)
@@ -45,7 +44,9 @@ class Shape:
 
 
 def _month_of(path: Column) -> Column:
-    return F.regexp_extract(path, _MONTH, 1)
+    """The month in a partition's name, or before the ending of a file's; positions only, since every row asks."""
+    at = F.instr(path, "source_month=")
+    return F.when(at > 0, F.substring(path, at + 13, F.lit(6))).otherwise(F.substring(path, F.length(path) - 9, F.lit(6)))
 
 
 def _glob(kind: str) -> str:
@@ -109,7 +110,10 @@ def read_shapes(spark: SparkSession, found: list[Shape], kind: str) -> DataFrame
 
 
 def value_class(text: Column) -> Column:
-    """Place of the first type in ``TYPE_PATTERNS`` that a trimmed text looks like; NULL for a blank, -1 for other text."""
+    """Place of the first type in ``TYPE_PATTERNS`` that a trimmed text looks like; NULL for a blank, -1 for other text.
+
+    Patterns, not casts: a cast that fails costs far more than a pattern that doesn't match.
+    """
     kind = F.lit(-1)
     for at, (_, pattern) in reversed(list(enumerate(TYPE_PATTERNS))):
         kind = F.when(text.rlike(pattern), at).otherwise(kind)
@@ -125,16 +129,16 @@ def _type(filled: Column, whole: Column, number: Column, day: Column, least: int
 
 
 def _counted(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Per month, the number of files and of each column's filled values by class; one scan, counters only."""
-    kinds = rows.select("source_month", *[value_class(trimmed(F.col(f"`{c}`"))).alias(f"k{i}") for i, c in enumerate(columns)])
-    counts = [
-        F.struct(
-            F.lit(c).alias("column_name"), F.lit(i + 1).alias("ordinal_position"), F.count(f"k{i}").alias("filled"),
-            *[F.count_if(F.col(f"k{i}") == at).alias(name) for at, (name, _) in enumerate(TYPE_PATTERNS)],
-        )
-        for i, c in enumerate(columns)
-    ]
-    return kinds.groupBy("source_month").agg(F.array(*counts).alias("all")).select("source_month", F.inline("all"))
+    """Per month and column, the number of filled values by class; values are counted before they are shuffled."""
+    texts = F.array(*[trimmed(F.col(f"`{c}`")) for c in columns])
+    each = rows.select("source_month", F.posexplode(texts).alias("at", "text")).select("source_month", "at", value_class(F.col("text")).alias("class"))
+    counts = each.groupBy("source_month", "at", "class").agg(F.count("class").alias("n"))
+    return counts.groupBy("source_month", "at").agg(
+        F.sum("n").alias("filled"), *[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)).alias(name) for k, (name, _) in enumerate(TYPE_PATTERNS)],
+    ).select(
+        "source_month", F.element_at(F.array(*map(F.lit, columns)), F.col("at") + 1).alias("column_name"),
+        (F.col("at") + 1).alias("ordinal_position"), "filled", *[name for name, _ in TYPE_PATTERNS],
+    )
 
 
 def inventory(spark: SparkSession, found: list[Shape], kind: str, least: int = LEAST_FILLED) -> DataFrame:
