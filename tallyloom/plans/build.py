@@ -12,6 +12,7 @@ from tallyloom.config import FEED_CONFIG, RetailConfig
 from tallyloom.operators import audit, cleaning, dimensions, facts, lifecycle, measures, rfm, winback
 from tallyloom.sources import feed, shapes, shards
 from tallyloom.sources.staging import delete, fingerprint, forget_kept, new_folder, written_to
+from tallyloom.sources.store import StageStore, content_marks, key_of
 
 
 @dataclass(frozen=True)
@@ -33,12 +34,37 @@ def feed_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     )
 
 
+# The stages that each stage reads, for stages that a store keeps; settings are part of every key.
+READS = {
+    "raw_orders": (), "raw_items": (), "raw_customers": (), "raw_products": (),
+    "orders_cleaned": ("raw_orders",), "items_cleaned": ("raw_items",),
+    "orders_validated": ("orders_cleaned",), "items_validated": ("items_cleaned",),
+    "customers": ("raw_customers",), "products": ("raw_products",), "catalogue": ("products",),
+    "priced_items": ("items_validated", "catalogue"), "order_totals": ("priced_items",),
+    "order_baskets": ("orders_validated", "order_totals"),
+    "sales_curated": ("orders_validated", "order_totals", "customers"), "items_for_bi": ("priced_items", "sales_curated"),
+    "customer_rfm": ("sales_curated",), "rfm_customer_segments": ("customer_rfm",),
+    "dim_customers_for_bi": ("customers", "rfm_customer_segments"), "customer_months": ("sales_curated",),
+    "cohort_retention": ("customer_months",), "revenue_new_returning": ("customer_months",),
+    "segment_economics": ("sales_curated", "rfm_customer_segments"),
+}
+# Where a stage's property has another name than the stage.
+PROPERTIES = {
+    "orders_validated": "orders", "items_validated": "items", "priced_items": "priced", "order_baskets": "baskets",
+    "sales_curated": "curated", "items_for_bi": "lines", "rfm_customer_segments": "segments",
+    "dim_customers_for_bi": "dim_customers", "cohort_retention": "retention", "revenue_new_returning": "new_returning",
+    "segment_economics": "economics",
+}
+
+
 @dataclass
 class Shop:
     """All tables of one source, each built on first use.
 
     Tables that many queries read are written once as stages, in a folder of this
     shop's own; the rest are plain DataFrames over them. ``close`` deletes the folder.
+    With a ``store``, the stages in ``READS`` are kept there for later sessions, and a
+    change of the source rewrites its months and the stages that read them.
     """
 
     spark: SparkSession
@@ -47,6 +73,9 @@ class Shop:
     cfg: RetailConfig = field(default=FEED_CONFIG)
     names: list[str] = field(default_factory=list)  # of the bucketed stages
     audits: dict[date, DataFrame] = field(default_factory=dict)  # clean audits by day
+    store: StageStore | None = None
+    versions: dict[str, object] = field(default_factory=dict)  # of the stages taken from the store
+    rebuilt: list = field(default_factory=list)  # two states of a kept stage, for the query that compares them
 
     @cached_property
     def folder(self) -> str:
@@ -55,12 +84,37 @@ class Shop:
     def _stage(self, label, build, cluster=(), by=None) -> DataFrame:
         """The stage table: ``cluster`` sorts each file, without a shuffle, so that row-group statistics can skip rows;
         ``by`` names a column whose values get a folder each, so that filters on it prune files."""
-        df = build()
-        return written_to(df.sortWithinPartitions(*cluster) if cluster else df, f"{self.folder}/{label}", by)
+        def made() -> DataFrame:
+            return build().sortWithinPartitions(*cluster) if cluster else build()
+
+        if self.store is None or label not in READS:
+            return written_to(made(), f"{self.folder}/{label}", by)
+        if by is None:
+            df, self.versions[label] = self.store.whole(label, self._key(label), made)
+        elif not READS[label]:
+            df, self.versions[label] = self.store.raw_months(label, made(), by)
+        else:
+            (source,) = READS[label]
+            self._key(label)
+            keys = {m: key_of(self.cfg, version) for m, version in self.versions[source].items()}
+            df, self.versions[label] = self.store.months(label, keys, made, by)
+        return df
+
+    def _key(self, label: str) -> str:
+        """Settings and the versions of what a stage reads, which are brought up to date first."""
+        for source in READS[label]:
+            getattr(self, PROPERTIES.get(source, source))
+        if not READS[label]:
+            return key_of(content_marks(getattr(self.raw, label.removeprefix("raw_"))))
+        return key_of(self.cfg, *[self.versions[source] for source in READS[label]])
 
     def _bucketed(self, label, build, key="order_id") -> DataFrame:
         """A stage laid out by its join key: stages with one key join and sum without an exchange."""
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if self.store is not None:
+            df, self.versions[label], name = self.store.bucketed(label, self._key(label), build, key, buckets)
+            self.names.append(name)
+            return df
         name = f"tallyloom_{self.folder.rsplit('-', 1)[-1]}_{label}"
         (
             build().repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
@@ -264,6 +318,11 @@ class Shop:
         return measures.Star.of(self)
 
 
+def open_shop(spark: SparkSession, source: str, raw: RawTables, cfg: RetailConfig, root: str) -> Shop:
+    """A shop whose stages are kept under ``root``: unchanged ones are read again by every later session."""
+    return Shop(spark, source, raw, cfg, store=StageStore(spark, root))
+
+
 _SHOPS: dict[tuple[str, str, RetailConfig], tuple[tuple, Shop]] = {}
 
 

@@ -454,6 +454,10 @@ add("s3_mixed_shapes", f"""SELECT 'orders' AS kind, source_month, count(*) AS ro
     "kind:s source_month:s rows:i order_ids:i dropped_column_values:i retyped_column_values:i least_retyped:s")
 _AUDIT = "check_order:i check_name:s source_column:s severity:s issue_count:i table_rows:i pct_of_table:d handling:s"
 add("d2_raw_audit", "SELECT * FROM k_raw_audit", _AUDIT)
+add("s9_incremental_rebuild", """SELECT source_month, source_month = '199605' AND bool_or("OrderDate" LIKE '%7') AS rewritten,
+  count(*) FILTER (NOT late) AS rows, count(*) FILTER (t_o <> '' AND NOT late) AS order_ids
+  FROM (SELECT *, source_month = '199605' AND coalesce(rd LIKE '%7', false) AS late, rd AS "OrderDate" FROM k_orders_in) GROUP BY source_month""",
+    "source_month:s rewritten:b rows:i order_ids:i")
 add("s13_half_guarded_audit", _audit(_RAW_COUNTS | _SKIPPED_ORDERS, "k_half_counts", RAW_CHECKS), _AUDIT)
 add("d2_faulty_audit", "SELECT * FROM k_faulty_audit", _AUDIT)
 add("d2_faulty_audit_findings", _findings("k_faulty_audit"), "check_order:i severity:s finding:s")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from datetime import date
 
@@ -14,7 +15,7 @@ from tallyloom.operators import (
     audit, cleaning, display, explore, facts, kpi, lifecycle, marts, measures as m, pilot,
 )
 from tallyloom.operators import reports as q, rfm, winback
-from tallyloom.plans.build import Shop, shop_of
+from tallyloom.plans.build import Shop, open_shop, shop_of
 from tallyloom.sources import feed, shapes, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +72,23 @@ def _half_guarded(s: Shop) -> DataFrame:
     return s.audit_of(found, both)
 
 
+def _incremental_rebuild(s: Shop) -> DataFrame:
+    """One month of orders arrives anew: which months of the kept stages are written again, and what they hold then."""
+    month, column = feed.FAULTS["orders"]["retyped"]
+    if not s.rebuilt:
+        root = f"{s.folder}/kept"
+        before = open_shop(s.spark, s.source, s.raw, s.cfg, root)
+        late = s.raw.orders.filter((F.col("source_month") != month) | ~F.coalesce(F.col(column).endswith("7"), F.lit(False)))
+        after = open_shop(s.spark, s.source, dataclasses.replace(s.raw, orders=late), s.cfg, root)
+        s.rebuilt.extend((before.orders_cleaned, after.orders_cleaned, before.versions, after.versions))
+    _, cleaned, old, new = s.rebuilt
+    versions = s.spark.createDataFrame(
+        [(m, v != old["orders_cleaned"][m]) for m, v in new["orders_cleaned"].items()], "month string, rewritten boolean"
+    )
+    held = cleaned.groupBy("source_month").agg(F.count("*").alias("rows"), F.count("order_id").alias("order_ids"))
+    return held.join(F.broadcast(versions), held.source_month == versions.month).select("source_month", "rewritten", "rows", "order_ids")
+
+
 def _reloaded(s: Shop, kind: str) -> DataFrame:
     """Raw rows written as month partitions, read back in the window."""
     return shards.check_schema(shards.read_months(s.spark, s.shard_folders[kind], kind, s.cfg), kind)
@@ -143,6 +161,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "s8_column_inventory": lambda s: s.inventory,
     "s8_faulty_inventory": lambda s: s.faulty_inventory,
     "s3_mixed_shapes": _mixed_shapes,
+    "s9_incremental_rebuild": _incremental_rebuild,
     "s13_half_guarded_audit": _half_guarded,
     "d1_faulty_contract": lambda s: _schema_contract(s, s.faulty_inventory),
     "d2_faulty_audit": lambda s: s.audit_of(s.faulty_shapes, s.faulty_inventory),
