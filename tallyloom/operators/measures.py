@@ -528,12 +528,14 @@ def customer_readout(star: Star, customer: DataFrame) -> DataFrame:
 
 # --- time intelligence --------------------------------------------------------
 
-def daily_totals(star: Star, where: dict[str, Sequence] | None = None) -> DataFrame:
-    return evaluate(star, ["total_revenue", "total_profit"], ["date.date"], where)
+def daily_totals(star: Star, where: dict[str, Sequence] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    return evaluate(star, ["total_revenue", "total_profit"], [*by, "date.date"], where)
 
 
-def prior_year(star: Star, period: str = "start_of_month", where: dict[str, Sequence] | None = None) -> DataFrame:
-    """Revenue, profit and margin per period beside those of the same dates a year before.
+def prior_year(
+    star: Star, period: str = "start_of_month", where: dict[str, Sequence] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Revenue, profit and margin per period, and per value of the axes ``by``, beside those of the same dates a year before.
 
     The dates in context are shifted, not the periods: a period that the calendar cuts
     short meets the same days of the year before. A sale counts as last year's for the
@@ -542,34 +544,42 @@ def prior_year(star: Star, period: str = "start_of_month", where: dict[str, Sequ
     """
     if period not in ("start_of_month", "start_of_quarter", "start_of_year"):
         raise ValueError("period must be a month, quarter or year start")
-    daily = daily_totals(star, where)
+    daily, axes = daily_totals(star, where, by), [_short(a) for a in by]
     days = F.broadcast(star.days.select(F.col("date").alias("_d"), period))  # one row per calendar day
 
     def side(date: Column, revenue: str, profit: str, key: str) -> DataFrame:
-        dated = daily.select(date.alias("_on"), "total_revenue", "total_profit").join(days, F.col("_on") == F.col("_d"))
-        return dated.groupBy(F.col(period).alias(key)).agg(
+        dated = daily.select(*axes, date.alias("_on"), "total_revenue", "total_profit").join(days, F.col("_on") == F.col("_d"))
+        return dated.groupBy(F.col(period).alias(key), *[F.col(a).alias(f"{key}_{a}") for a in axes]).agg(
             F.sum("total_revenue").cast("decimal(28,2)").alias(revenue), F.sum("total_profit").cast("decimal(28,2)").alias(profit),
         )
 
     now = side(F.col("date"), "total_revenue", "total_profit", "_now")
     past = side(F.add_months("date", 12), "revenue_py", "profit_py", "_past")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("decimal(28,2)"))
-    return now.join(past, F.col("_now") == F.col("_past"), "full").withColumns({
+    same = reduce(lambda a, b: a & b, [F.col(f"_now_{a}").eqNullSafe(F.col(f"_past_{a}")) for a in axes], F.col("_now") == F.col("_past"))
+    return now.join(past, same, "full").withColumns({
+        **{a: F.coalesce(f"_now_{a}", f"_past_{a}") for a in axes},
         period: F.coalesce("_now", "_past"),
         "profit_margin_pct": _or_zero(F.col("total_profit"), F.col("total_revenue")),
         "profit_margin_py": _or_zero(F.col("profit_py"), F.col("revenue_py")),
         "revenue_yoy_pct": ratio(zero("total_revenue") - zero("revenue_py"), F.col("revenue_py")),
         "profit_yoy_pct": ratio(zero("total_profit") - zero("profit_py"), F.col("profit_py")),
-    }).drop("_now", "_past").withColumn("profit_margin_yoy_pp", F.col("profit_margin_pct") - F.col("profit_margin_py"))
+    }).drop("_now", "_past", *[f"{side}_{a}" for side in ("_now", "_past") for a in axes]).withColumn("profit_margin_yoy_pp", F.col("profit_margin_pct") - F.col("profit_margin_py"))
 
 
-def rolling_12m(star: Star, period: str = "start_of_week", where: dict[str, Sequence] | None = None) -> DataFrame:
+def rolling_12m(
+    star: Star, period: str = "start_of_week", where: dict[str, Sequence] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
     """Revenue per period, and over the 12 months up to the period's last day.
 
+    With axes ``by``, see ``_rolling_by``.
+
     NULL for periods that begin after the last sale and before a full window
     exists. Works on the calendar (one row per day): the window sum is the
     difference of two running sums, so no row meets a year of rows.
     """
+    if by:
+        return _rolling_by(star, period, where, by)
     daily = daily_totals(star, where)
     running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = star.days.select("date").join(
@@ -594,3 +604,27 @@ def rolling_12m(star: Star, period: str = "start_of_week", where: dict[str, Sequ
         period, "total_revenue",
         F.when(shown, F.col("to_date") - F.coalesce("before", F.lit(0))).cast("decimal(28,2)").alias("revenue_rolling_12m"),
     ).orderBy(period)
+
+
+def _rolling_by(star: Star, period: str, where: dict[str, Sequence] | None, by: Sequence[str]) -> DataFrame:
+    """``rolling_12m`` per value of the axes, for values and periods with sales in the period or its window.
+
+    A day's total counts for the periods whose window it lies in; those pairs follow from the
+    calendar alone. Totals are summed per axis value and period, partly before the shuffle, so
+    no axis value needs a window or a task of its own, and empty days take no rows.
+    """
+    axes = [_short(a) for a in by]
+    span = star.orders.agg(F.min("order_date").alias("first_sale"), F.max("order_date").alias("last_sale"))
+    since = F.date_add(F.add_months("point", -12), 1)
+    points = star.days.groupBy(period).agg(F.min("date").alias("first_day"), F.max("date").alias("point")).crossJoin(F.broadcast(span)).select(
+        period, "first_day", F.explode(F.sequence(since, F.col("point"))).alias("_d"),
+        ((F.col("first_day") <= F.col("last_sale")) & (since >= F.col("first_sale"))).alias("shown"),
+    )
+    daily = evaluate(star, ["total_revenue"], [*by, "date.date"], where)
+    met = daily.join(F.broadcast(points), F.col("date") == F.col("_d"))  # a row per period and day of its window
+    own = F.when(F.col("date") >= F.col("first_day"), F.col("total_revenue"))
+    return met.groupBy(*axes, period, "shown").agg(
+        F.sum(own).cast("decimal(28,2)").alias("total_revenue"), F.sum("total_revenue").cast("decimal(28,2)").alias("rolled"),
+    ).withColumn("revenue_rolling_12m", F.when(F.col("shown"), F.col("rolled"))).filter(
+        "total_revenue IS NOT NULL OR revenue_rolling_12m IS NOT NULL"
+    ).select(*axes, period, "total_revenue", "revenue_rolling_12m")

@@ -274,6 +274,12 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "t4_rolling_12m_month": lambda s: m.rolling_12m(s.star, "start_of_month"),
     "t5_prior_year_filtered": lambda s: m.prior_year(s.star, "start_of_month", ONE_COUNTRY).select(
         "start_of_month", "total_revenue", "revenue_py"),
+    "t1_prior_year_country_month": lambda s: m.prior_year(s.star, "start_of_month", by=["customer.country"]).select(
+        "country", "start_of_month", "total_revenue", "revenue_py", "total_profit", "profit_py", "profit_margin_pct", "profit_margin_py"),
+    "t2_yoy_segment_quarter": lambda s: m.prior_year(s.star, "start_of_quarter", ONE_COUNTRY, ["customer.segment"]).select(
+        "segment", "start_of_quarter", "revenue_yoy_pct", "profit_yoy_pct"),
+    "t4_rolling_12m_segment_week": lambda s: m.rolling_12m(s.star, "start_of_week", by=["customer.segment"]),
+    "t4_rolling_12m_country_state_month": lambda s: m.rolling_12m(s.star, "start_of_month", by=["customer.country", "customer.state"]),
     "p15_calendar": lambda s: m.closed_months(s.star.days, s.star.orders),
     # Report queries
     "q1_weekly_revenue": lambda s: q.weekly_revenue(s.star),
