@@ -36,7 +36,7 @@ CHECKED = StructType([
 ])
 TYPES = {
     "string": lambda v: isinstance(v, str), "boolean": lambda v: isinstance(v, bool), "null": lambda v: v is None,
-    "integer": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool) and float(v).is_integer(),
+    "integer": lambda v: isinstance(v, int) and not isinstance(v, bool) or isinstance(v, float) and v.is_integer(),
     "number": lambda v: isinstance(v, (int, float)) and not isinstance(v, bool),
     "array": lambda v: isinstance(v, list), "object": lambda v: isinstance(v, dict),
 }
@@ -51,7 +51,7 @@ def violation(value, schema: dict, at: str = "$") -> str | None:
     kinds = schema.get("type")
     if kinds and not any(TYPES[k](value) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return f"{at}: type"
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):  # true is not 1
         return f"{at}: enum"
     if TYPES["number"](value) and not schema.get("minimum", -math.inf) <= value <= schema.get("maximum", math.inf):
         return f"{at}: range"
@@ -94,10 +94,23 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
+class RepeatedKey(ValueError):
+    """An object that names a key twice: readers don't agree on what it means."""
+
+
+def _object(pairs: list[tuple]) -> dict:
+    made = dict(pairs)
+    if len(made) < len(pairs):
+        raise RepeatedKey
+    return made
+
+
 def check_arguments(name: str | None, raw: str | None, schemas: dict) -> tuple[str | None, str | None, list[str]]:
     """(canonical arguments or the raw text, error, identifiers that the arguments name)."""
     try:
-        value = json.loads(raw or "", parse_constant=_no_constant)
+        value = json.loads(raw or "", parse_constant=_no_constant, object_pairs_hook=_object)
+    except RepeatedKey:
+        return raw, "$: repeated key", []
     except (ValueError, RecursionError):
         return raw, "$: no JSON", []
     if not isinstance(value, dict):
@@ -111,6 +124,44 @@ def check_arguments(name: str | None, raw: str | None, schemas: dict) -> tuple[s
     return text, error, sorted(set(_references(value)))
 
 
+def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
+    """conv_id, call_id, level: the longest way down to a call without needs; none for calls that need a cycle.
+
+    Calls with one need form chains. Pointers along them double, so a chain of any length takes
+    a number of rounds that grows with its logarithm; the calls with several needs, joined by
+    whole chains, are then taken in topological order, a round per layer of them.
+    """
+    keys = ["conv_id", "call_id"]
+    several = written(needs.groupBy(*keys).agg(F.count("*").alias("of")), "needs-of")
+    chain = needs.join(several.filter("of = 1").select(*keys), keys, "left_semi")
+    chain = written(chain.select(*keys, F.col("need").alias("at"), F.lit(1).cast("bigint").alias("steps")), "chain")
+    for _ in range(chain.count().bit_length() + 1):
+        on = chain.select("conv_id", F.col("call_id").alias("at"), F.col("at").alias("further"), F.col("steps").alias("more"))
+        if chain.join(on, ["conv_id", "at"], "left_semi").isEmpty():
+            break
+        chain = written(chain.join(on, ["conv_id", "at"], "left").select(
+            *keys, F.coalesce("further", "at").alias("at"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+        ), "chain")
+    inner = chain.select("conv_id", F.col("call_id").alias("at"))
+    ends = written(chain.join(inner, ["conv_id", "at"], "left_anti"), "chain-ends")  # what is left out goes round in a circle
+    over = ends.select("conv_id", F.col("call_id").alias("need"), "at", "steps")
+    waiting = written(needs.join(several.filter("of > 1"), keys).join(over, ["conv_id", "need"], "left").select(
+        *keys, "of", F.coalesce("at", "need").alias("at"), F.coalesce("steps", F.lit(0)).alias("steps"),
+    ), "waiting")
+    known = written(calls.join(needs.select(*keys), keys, "left_anti").withColumn("level", F.lit(0).cast("bigint")), "levels")
+    while True:
+        there = known.select("conv_id", F.col("call_id").alias("at"), "level")
+        ready = waiting.join(there, ["conv_id", "at"]).groupBy(*keys, "of").agg(F.count("*").alias("n"), F.max(F.col("level") + F.col("steps") + 1).alias("level"))
+        fresh = written(ready.filter("n = of").select(*keys, "level"), "level")
+        if fresh.isEmpty():
+            break
+        known = written(known.unionAll(fresh), "levels")
+        waiting = written(waiting.join(fresh.select(*keys), keys, "left_anti"), "waiting")
+    below = known.select("conv_id", F.col("call_id").alias("at"), "level")
+    chained = ends.join(below, ["conv_id", "at"]).select(*keys, (F.col("level") + F.col("steps")).alias("level"))
+    return written(known.unionAll(chained).select(*keys, F.col("level").cast("int").alias("level")), "levels")
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     """conv_id, turn, call_id, kind (call or result), level, status, error, payload.
 
@@ -137,20 +188,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     needs = written(named.join(there, ["conv_id", "need"], "left_semi"), "needs")
     dangling = named.join(there, ["conv_id", "need"], "left_anti").select("conv_id", "call_id").distinct().withColumn("dangling", F.lit(True))
 
-    # calls without needs are level 0; each round takes the calls whose needs all have a level
     keys = ["conv_id", "call_id"]
-    levels = written(real.select(*keys).join(needs.select(*keys), keys, "left_anti").withColumn("level", F.lit(0)), "levels")
-    level = 0
-    while needs.limit(1).count():
-        level += 1
-        last = levels.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("need"))
-        left = written(needs.join(last, ["conv_id", "need"], "left_anti"), "needs")
-        met = needs.select(*keys).distinct().join(left.select(*keys), keys, "left_anti").withColumn("level", F.lit(level))
-        fresh = written(met, "level")
-        needs = left
-        if not fresh.limit(1).count():
-            break  # what is left needs a cycle
-        levels = levels.unionAll(fresh)
+    levels = _levels(real.select(*keys), needs)
     placed = own.join(levels, keys, "left").join(dangling, keys, "left")
     answered = results.select("conv_id", "call_id").distinct().withColumn("answered", F.lit(True))
     status = (
