@@ -77,14 +77,6 @@ def sainte_lague(weights: list[float], caps: list[int], seats: int) -> list[int]
     return [int(x) for x in got]
 
 
-def _stride(n: int, seed: int) -> int:
-    """A step that visits all n blocks once, far from its neighbours."""
-    step = max(1, int(n * 0.6180339887498949) + seed % 7)
-    while math.gcd(step, n) != 1:
-        step += 1
-    return step
-
-
 def _shard_quotas(block: int, seed: int):
     def quotas(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("shard")
@@ -93,7 +85,7 @@ def _shard_quotas(block: int, seed: int):
         mine = [(seed * 1_000_003 + int(s) * 7919) % 1_000_000_007 for s in part.shard]
         return pd.DataFrame({
             "key": part.key, "shard": part.shard, "words": part.words, "blocks": blocks, "quota": got,
-            "step": [_stride(int(n), m) for n, m in zip(blocks, mine)], "first": [m % int(n) for n, m in zip(blocks, mine)],
+            "first": [m % int(n) for n, m in zip(blocks, mine)],
         })
 
     return quotas
@@ -133,13 +125,13 @@ def mix(
         dealt.groupBy("key", "shard").agg(F.sum("size").alias("words"), F.first("seats").alias("seats"), F.first("most").alias("most"))
         .groupBy("key").applyInPandas(
             _shard_quotas(block, seed),
-            "key string, shard bigint, words bigint, blocks bigint, quota bigint, step bigint, first bigint",
+            "key string, shard bigint, words bigint, blocks bigint, quota bigint, first bigint",
         )
     )
     stream = W.partitionBy("key", "shard").orderBy("at", "tie").rowsBetween(W.unboundedPreceding, -1)
     placed = (
         dealt.withColumn("start", F.coalesce(F.sum("size").over(stream), F.lit(0)))
-        .join(quotas.select("key", "shard", "words", "blocks", "quota", "step", "first"), ["key", "shard"])
+        .join(quotas.select("key", "shard", "words", "blocks", "quota", "first"), ["key", "shard"])
         .withColumn("end", F.expr("start + size"))
         .withColumn("full", F.expr("quota div blocks")).withColumn("rest", F.expr("quota % blocks"))
         .withColumn("spans", F.when((F.col("size") > 0) & (F.col("rest") > 0), _spans()).otherwise(F.expr("array()").cast("array<struct<lo:bigint,hi:bigint>>")))
@@ -151,12 +143,16 @@ def mix(
 
 
 def _spans() -> Column:
-    """Word ranges of the row that lie in chosen blocks; block j of a shard is [j * words div blocks, (j + 1) * words div blocks)."""
+    """Word ranges of the row that lie in chosen blocks; block j of a shard is [j * words div blocks, (j + 1) * words div blocks).
+
+    The chosen blocks follow one another from a seeded place in the shard's stream, round its end:
+    documents are taken whole but for the two at the ends of the run.
+    """
     return F.expr("""
         transform(
             filter(
                 sequence(((start + 1) * blocks - 1) div words, (end * blocks - 1) div words),
-                j -> (j * step + first) % blocks < rest
+                j -> (j + first) % blocks < rest
             ),
             j -> named_struct(
                 'lo', greatest(start, j * words div blocks) - start,
@@ -175,9 +171,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     from tallyloom.llm.common import word_count
 
     names = docs.columns
-    order = [c for c in ("doc_id",) if c in names]
-    rows = docs.withColumn("__size", word_count(F.col("text"))).withColumn("__hash", F.xxhash64("text"))
-    out = mix(rows, "source", "__size", [*order, "__hash"], **settings)
+    order = ["doc_id"] if "doc_id" in names else []
+    # the document stays in one column, so that none of its names meets one of these
+    rows = docs.select(F.struct("*").alias("doc"), "source", *order, word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("hash"))
+    out = mix(rows, "source", "size", [*order, "hash"], **settings).withColumn("row", F.col("row.doc"))
     copies = F.when(F.col("size") > 0, F.concat(
         F.array_repeat(F.lit(None).cast("array<struct<lo:bigint,hi:bigint>>"), F.col("full").cast("int")),
         F.when(F.size("spans") > 0, F.array("spans")).otherwise(F.array().cast("array<array<struct<lo:bigint,hi:bigint>>>")),
