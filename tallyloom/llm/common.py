@@ -99,6 +99,21 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_text_ids(docs: DataFrame, for_nulls: bool) -> DataFrame:
+    """(doc, key): each row as one struct, and a number that rows of one id and text share, and no others.
+
+    It is the id itself, but for further texts of an id, which get a hash from 2^62 on; with
+    ``for_nulls`` rows without an id get one by their text, otherwise their key is null.
+    """
+    content = F.xxhash64("text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), content.alias("content")).groupBy("id").agg(F.min("content").alias("first"), F.max("content").alias("last"))
+    several = small(written(texts.filter("first < last AND id IS NOT NULL").select("id", "first"), "ids-of-several-texts"))
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("own"), content.alias("content"))
+    other = F.xxhash64("own", "content").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    key = F.when(F.col("own").isNull(), other if for_nulls else F.lit(None).cast("bigint")).when(F.col("first") != F.col("content"), other).otherwise(F.col("own"))
+    return rows.join(several, F.col("own") == F.col("id"), "left").select("doc", key.alias("key"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node that an edge (a, b) names; component is the smallest node reachable.
 

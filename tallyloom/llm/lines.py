@@ -308,14 +308,14 @@ def without_repeated_lines(docs: DataFrame, least_docs: int = 3, copy_percent: i
     shared = shared.filter(f"groups >= IF(long, 2, {max(2, least_docs)})")
     later = common.join(shared.select("class", F.col("at.group").alias("keeper")), "class").filter("group <> keeper").select("id", "content", "numbers")
     inner = held.filter("size(numbers) > 1").select("id", "content", F.slice("numbers", 2, F.size("numbers")).alias("numbers"))
-    gone = later.unionAll(inner).groupBy("id", "content").agg(F.flatten(F.collect_list("numbers")).alias("__gone"))
-    gone = gone.select(F.struct("id", "content").alias("__key"), "__gone")
-    kept_lines = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNotNull(), F.array_join(kept_lines, "\n")).otherwise(F.col("text"))
-    same = (F.col("doc_id") == F.col("__key.id")) & (F.xxhash64("text") == F.col("__key.content"))
-    out = docs.join(gone, same, "left").withColumn("__text", text)
+    gone = later.unionAll(inner).groupBy("id", "content").agg(F.flatten(F.collect_list("numbers")).alias("gone"))
+    # the document stays in one column, so that none of its names meets one of these
+    whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("bigint").alias("own_id"), F.xxhash64("text").alias("own_content"))
+    kept_lines = F.filter(F.split("doc.text", "\n", -1), lambda line, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNotNull(), F.array_join(kept_lines, "\n")).otherwise(F.col("doc.text"))
+    out = whole.join(gone, (F.col("own_id") == F.col("id")) & (F.col("own_content") == F.col("content")), "left").withColumn("new_text", text)
     return out.select(*[
-        F.col("__text").alias(c) if c == "text"
-        else F.length("__text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        F.col("new_text").alias(c) if c == "text"
+        else F.length("new_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"doc.`{c}`").alias(c)
         for c in docs.columns
     ])

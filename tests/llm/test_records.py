@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import corpus_pipeline
 import pytest
@@ -10,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.llm import lines, minhash, mixing, quality, tools
-from tallyloom.llm.common import word_count, written
+from tallyloom.llm.common import with_text_ids, word_count, written
 
 SF = "/root/testdata/sf0.001"
 SCHEMAS = {"add": {
@@ -61,6 +62,38 @@ def test_calls_meet_results_in_order(spark):
     assert tools.link(empty, empty, SCHEMAS).count() == 0
 
 
+@pytest.mark.parametrize("name, raw, want", [
+    ("search", '{"query":"a","limit":1' + "0" * 400 + "}", "$.limit: range"),
+    ("search", '{"query":"a","limit":' + "9" * 5000 + "}", "$: no JSON"),
+    ("search", '{"query":"a","query":"b"}', "$: repeated key"),
+    ("search", '{"query":"a","limit":2.0}', None),
+    ("one", '{"n":true}', "$.n: enum"), ("one", '{"n":1.0}', None), ("one", '{"n":[1,{"a":2}]}', None),
+])
+def test_odd_arguments(name, raw, want):
+    schemas = {
+        "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "maximum": 60}}},
+        "one": {"type": "object", "properties": {"n": {"enum": [1, [1, {"a": 2}]]}}},
+    }
+    assert tools.check_arguments(name, raw, schemas)[1] == want
+
+
+def test_levels_are_longest_ways(spark):
+    """Long chains, chains that meet, circles, and calls that need a circle."""
+    rng = random.Random(8)
+    needs = {f"c{i}": [f"c{i - 1}"] for i in range(1, 120)}
+    needs |= {f"m{i}": sorted({f"c{rng.randrange(120)}", *(f"m{rng.randrange(i)}" for _ in range(i and 2))}) for i in range(25)}
+    needs |= {f"t{i}": [f"m{24 - i}"] for i in range(5)} | {"x0": ["x2"], "x1": ["x0"], "x2": ["x1"], "y0": ["x1"], "z0": ["y0", "c3"], "z1": ["z1"]}
+    calls = sorted({"c0", *needs})
+    level = {"c0": 0}
+    for _ in calls:
+        level |= {k: 1 + max(level[n] for n in v) for k, v in needs.items() if all(n in level for n in v)}
+    got = tools._levels(
+        spark.createDataFrame([(1, c) for c in calls], "conv_id bigint, call_id string"),
+        spark.createDataFrame([(1, c, n) for c, v in needs.items() for n in v], "conv_id bigint, call_id string, need string"),
+    ).collect()
+    assert {r.call_id: r.level for r in got} == level and len(got) == len(level) and max(level.values()) >= 119
+
+
 def test_quality_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = written(quality.classify(docs, labels), "verdicts")
@@ -99,8 +132,9 @@ def test_pipeline_stages(spark):
     raw, good, cut, unique, mix, coded = seen
     assert all(d.columns == docs.columns for d in seen[:-1])
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    rejected = quality.classify(raw, labels).filter("NOT kept").select("doc_id").distinct().count()
-    assert good.count() == raw.count() - rejected > 0
+    keyed = with_text_ids(raw, for_nulls=True)
+    verdicts = quality.classify(keyed.select(F.col("key").alias("doc_id"), "doc.text", "doc.lang", "doc.source", "doc.n_chars"), labels)
+    assert good.count() == raw.count() - verdicts.filter("NOT kept").select("doc_id").distinct().count() > 0
     assert good.join(labels, "doc_id").filter("quality = 0").count() <= 0.3 * labels.filter("quality = 0").count()  # a dozen labels
     assert sorted(map(str, cut.collect())) == sorted(map(str, lines.without_repeated_lines(good).collect()))
     verdict = {r.doc_id: r for r in minhash.near_duplicates(cut, percent=80).collect()}
@@ -111,3 +145,43 @@ def test_pipeline_stages(spark):
     assert sorted((str(r.doc_id), r.text) for r in coded.collect()) == sorted((str(r.doc_id), r.text) for r in mix.collect())
     assert coded.filter("n_tokens <> size(tokens)").count() == 0
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+CLASHING = "doc_id bigint, text string, lang string, source string, n_chars bigint, doc string, key bigint, id int, content int, gone int, size int, hash int, turn int, row int, first int, __id int, __size int"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), "d", 1, 2, 3, 4, 5, 6, 7, 8, 9, 0, 1) for i, t, s in rows], CLASHING)
+
+
+def test_stages_on_clashing_names_and_texts_of_one_id(spark, tmp_path):
+    """Own columns meet none of the stages' names; two texts of an id, repeated rows and rows without an id each get their due."""
+    say = lambda n: " ".join(f"w{n * 1009 + k * 7919}" for k in range(60))
+    rows = [(1, say(1), "a"), (2, say(1), "b"), (2, say(2), "b"), (3, say(3), "a"), (3, say(3), "a"), (None, say(4), None), (None, say(5), "a"), (4, None, "a"), (5, "", "a")]
+    docs = clashing(spark, rows)
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    run = dict(corpus_pipeline.STAGES)
+    told = lambda df: sorted(((r.doc_id, r.text, r.source) for r in df.collect()), key=str)
+    for name in ("quality", "lines", "near_duplicates", "mix"):
+        out = run[name](spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.select("doc", "key", "turn", "__size").distinct().collect() == [("d", 1, 7, 1)]
+    assert told(run["quality"](spark, docs, str(tmp_path))) == sorted(rows, key=str)
+    assert told(run["near_duplicates"](spark, docs, str(tmp_path))) == sorted([rows[0], rows[2], rows[3], *rows[5:]], key=str)
+    mixed = run["mix"](spark, docs, str(tmp_path)).collect()
+    assert {r.text for r in mixed} & {say(1), say(2)} and not {r.doc_id for r in mixed} & {4, 5}
+    assert run["tokens"](spark, docs, str(tmp_path)).count() == len(rows)
+
+
+def test_a_bad_text_takes_no_good_one_along(spark, monkeypatch):
+    bad = lambda docs, labels: docs.select("doc_id", (~F.coalesce(F.col("text"), F.lit("")).contains("bad")).alias("kept"))
+    monkeypatch.setattr(quality, "classify", bad)
+    rows = [(1, "good one", "a"), (1, "bad one", "a"), (1, "bad one", "a"), (None, "bad two", "a"), (None, "good two", "a"), (2, "bad", None), (3, None, None)]
+    out = corpus_pipeline.classify_quality(spark, clashing(spark, rows), SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([(1, "good one"), (None, "good two"), (3, None)], key=str)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_of_empty_tables(spark, stage):
+    name, run = corpus_pipeline.STAGES[stage]
+    out = run(spark, clashing(spark, []), SF)
+    assert out.count() == 0 and (name == "tokens" or out.columns == clashing(spark, []).columns)
