@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import tidy, written
+from tallyloom.llm.common import give_back, tidy, written
 
 SHAPES, WORDS, LANGS, SOURCES = 128, 256, 16, 64
 _CLASS = bytes(
@@ -110,16 +110,21 @@ class Logistic:
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> Logistic:
     """Ridge logistic regression by Newton steps on standardised features."""
-    x = x.astype(np.float64)
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+    mean = x.mean(axis=0, dtype=np.float64)
+    chunks = [slice(at, at + 1024) for at in range(0, len(x), 1024)]  # the driver holds the rows once more, no further copies
+    scale = np.sqrt(sum(((x[c] - mean) ** 2).sum(axis=0) for c in chunks) / len(x))
     keep = scale > 1e-6
-    z = np.column_stack([(x[:, keep] - mean[keep]) / scale[keep], np.ones(len(x))])
+    z = np.ones((len(x), int(keep.sum()) + 1))
+    for c in chunks:
+        z[c, :-1] = (x[c][:, keep] - mean[keep]) / scale[keep]
     w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         slope = z.T @ (p - y) + penalty * w
-        curve = (z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(penalty)
+        curve = np.diag(penalty)
+        for c in chunks:
+            curve += (z[c] * (p[c] * (1 - p[c]) + 1e-6)[:, None]).T @ z[c]
         move = np.linalg.solve(curve, slope)
         w -= move
         if np.abs(move).max() < 1e-6:
@@ -200,6 +205,8 @@ def classify(
     marks = {v: models[v].logit(_matrix(judge[v])) for v in views}
     single = {v: fit(marks[v][:, None], judge.y.to_numpy()) for v in views}
     both = fit(np.column_stack([marks[v] for v in views]), judge.y.to_numpy())
+    del x, y, seen, learn, check, judge, marks
+    give_back()
     sigmoid = lambda c: 1 / (1 + F.exp(-c))
     line = lambda w, *cs: sum((F.col(c) * float(a) for c, a in zip(cs, w)), F.lit(float(w[-1])))
     out = scored(table, models).join(truth.filter("out").select("doc_id", F.lit(True).alias("told")), "doc_id", "left")
