@@ -64,6 +64,48 @@ def test_links_of_odd_tables(spark):
     assert got == sorted([(big, 1, big), (big, 1, big), (big + 1, 1, big), (None, 0, None), (5, 0, 5)], key=str)
 
 
+def test_links_of_one_large_label(spark):
+    """Planted pairs next to hot groups, one tight and one wide, that take many blocks."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    alone = unit(rng.standard_normal((4000, 32)))
+    side = rng.standard_normal((400, 32))
+    side = unit(side - (side * alone[:400]).sum(1, keepdims=True) * alone[:400])
+    pairs = 0.981 * alone[:400] + math.sqrt(1 - 0.981**2) * side
+    tight = unit(rng.standard_normal(32)) + 0.006 * rng.standard_normal((1500, 32))
+    wide = unit(rng.standard_normal(32)) + 0.026 * rng.standard_normal((1500, 32))
+    x = np.concatenate([alone, pairs, tight, wide, tight[:200]]).astype(np.float32)
+    x = x[rng.permutation(len(x))]
+    d = x.astype(float)
+    d /= np.linalg.norm(d, axis=1, keepdims=True)
+    near = d @ d.T >= 0.98
+    n_links = near.sum(1) - 1
+    top = np.arange(len(x))
+    while True:
+        new = np.where(near, top[None, :], len(x)).min(1)
+        if (new == top).all():
+            break
+        top = new
+    df = spark.createDataFrame([(i, 0, v.tolist(), 1) for i, v in enumerate(x)], VECTORS)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(df).collect()}
+    lost = [i for i in got if got[i] != (n_links[i], top[i])]
+    assert len(got) == len(x) and len(lost) <= 0.01 * (n_links > 0).sum() and all(got[i][0] <= n_links[i] for i in lost)
+
+
+def test_tables_grow_with_the_code():
+    counts = [neighbours.tables_for(bits, 0.98, 0.002) for bits in (1, 8, 16, 30)]
+    assert counts == sorted(counts) and counts[0] < counts[-1]
+    for bits, n in zip((1, 8, 16, 30), counts):
+        assert (1 - (1 - math.acos(0.98) / math.pi) ** bits) ** n <= 0.002
+
+
+def test_a_search_that_loses_links_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neighbours.Graph, "recall", lambda self, counts: 0.5)
+    df = spark.createDataFrame([(1, 0, [1.0, 0.0], 0), (2, 0, [1.0, 0.01], 0)], VECTORS)
+    with pytest.raises(RuntimeError):
+        neighbours.near_duplicates(df, attempts=1)
+
+
 def brute_top(rows, asks, k=10):
     ints = {i: [math.floor(1024 * float(np.float32(x))) for x in v] for i, _, v, *_ in rows
             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
