@@ -63,20 +63,40 @@ def kpi_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
 
     A KPI missing on either side has drifted; unknown names compare to the cent.
     """
-    kind = F.lit("currency")
-    for name, value in KINDS.items():
-        kind = F.when(F.col("name") == name, value).otherwise(kind)
     b = baseline.select(F.col("name").alias("_b"), F.col("value").alias("baseline"))
     c = current.select(F.col("name").alias("_c"), F.col("value").alias("current"))
     both = b.join(c, F.col("_b") == F.col("_c"), "full").select(
         F.coalesce("_b", "_c").alias("name"), "baseline", "current"
-    ).withColumn("kind", kind)
+    ).withColumn("kind", _kind())
+    return both.withColumn("drift", _differ("baseline", "current")).orderBy("name")
+
+
+def _kind() -> Column:
+    kind = F.lit("currency")
+    for name, value in KINDS.items():
+        kind = F.when(F.col("name") == name, value).otherwise(kind)
+    return kind
+
+
+def _differ(a: str, b: str) -> Column:
+    """Whether two values of a KPI differ by its kind; a missing one does."""
     exact = F.col("kind").isin("count", "grain")
-    same = F.when(
-        exact, F.col("baseline").cast("bigint") == F.col("current").cast("bigint")
-    ).otherwise(F.round("baseline", 2) == F.round("current", 2))
-    missing = F.col("baseline").isNull() | F.col("current").isNull()
-    return both.withColumn("drift", missing | ~same).orderBy("name")
+    same = F.when(exact, F.col(a).cast("bigint") == F.col(b).cast("bigint")).otherwise(F.round(a, 2) == F.round(b, 2))
+    return F.col(a).isNull() | F.col(b).isNull() | ~same
+
+
+def drift_history(history: DataFrame) -> DataFrame:
+    """(version, name, value) of stored versions, each beside the version before it.
+
+    The first version has nothing to drift from; a KPI that a version lacks has drifted there.
+    """
+    versions = history.select("version").distinct()
+    every = history.select("name").distinct().crossJoin(F.broadcast(versions))  # versions x KPIs
+    now = every.join(history.select("version", "name", "value"), ["version", "name"], "left")
+    was = now.select((F.col("version") + 1).alias("_version"), F.col("name").alias("_name"), F.col("value").alias("previous"))
+    both = now.join(was, (F.col("version") == F.col("_version")) & (F.col("name") == F.col("_name")), "left").withColumn("kind", _kind())
+    drift = (F.col("version") > 1) & ~(F.col("value").isNull() & F.col("previous").isNull()) & _differ("value", "previous")
+    return both.select("version", "name", "kind", "previous", "value", drift.alias("drift"))
 
 
 def before(curated: DataFrame, lines: DataFrame, cutoff: DataFrame) -> tuple[DataFrame, DataFrame]:

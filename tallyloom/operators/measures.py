@@ -25,7 +25,7 @@ from tallyloom.config import (
     REACTIVATION_RATES, RECENCY_BIN_DAYS, SEGMENT_STRATEGY, WIN_BACK_SEGMENTS,
 )
 from tallyloom.functions.numeric import ratio
-from tallyloom.operators.ordering import percentiles, rank_bands
+from tallyloom.operators.ordering import group_percentiles, percentiles, rank_bands
 
 PATHS = {
     "orders": ("customer", "date"),
@@ -245,9 +245,10 @@ def _dimensions(names: Sequence[str]) -> list[str]:
 
 
 def _aggregated(
-    star: Star, fact: str, measures: Sequence[str], axes: Sequence[str], where: dict[str, Sequence]
+    star: Star, fact: str, measures: Sequence[str], axes: Sequence[str], where: dict[str, Sequence],
+    levels: Sequence[Sequence[str]] | None = None,
 ) -> DataFrame:
-    """One fact's measures per axis combination.
+    """One fact's measures per axis combination, or per grouping of ``levels`` with its number in ``grouping``.
 
     The measures of the order and line facts are sums and counts, so these facts
     are first summed per dimension key: a customer or product holding very many
@@ -267,6 +268,11 @@ def _aggregated(
             base = base.join(wanted, F.col(_flat(name)) == F.col("_wanted"), "left_semi")
         else:
             base = base.filter(F.col(_flat(name)).isin(*values))
+    if levels is not None:
+        flat = [_flat(a) for a in axes]
+        grouped = base.groupingSets([[F.col(_flat(a)) for a in one] for one in levels], *flat)
+        rows = grouped.agg(F.grouping_id().alias("grouping"), *[c.alias(n) for n, c in build.items()])
+        return rows.select(*[F.col(_flat(a)).alias(_short(a)) for a in axes], "grouping", *build)
     return base.groupBy(*[F.col(_flat(a)).alias(_short(a)) for a in axes]).agg(
         *[c.alias(n) for n, c in build.items()]
     )
@@ -323,6 +329,36 @@ def evaluate(
     return out.withColumns(formulas).select(*axes, *names) if formulas else out.select(*axes, *names)
 
 
+def evaluate_levels(
+    star: Star, names: Sequence[str], by: Sequence[str], levels: Sequence[Sequence[str]], where: dict[str, Sequence] | None = None
+) -> DataFrame:
+    """``evaluate`` for several groupings of ``by`` at once: details, subtotals and totals, one scan per fact.
+
+    ``grouping`` has a bit per axis, the first one highest, set where a row sums over the axis.
+    Ratios are formed at each grouping from its own sums. Every fact must reach every axis.
+    """
+    where = where or {}
+    needed = list(dict.fromkeys(base for n in names for base in (MEASURES[n].of or (n,))))
+    groups: dict[str, list[str]] = {}
+    for n in needed:
+        if set(MEASURES[n].replaces) & {*by, *where} or len(_reached(MEASURES[n].fact, by)) < len(by):
+            raise ValueError(f"{n} has no subtotals by {', '.join(by)}")
+        groups.setdefault(MEASURES[n].fact, []).append(n)
+    axes = [*map(_short, by), "grouping"]
+    out = None
+    for fact, members in groups.items():
+        filters = {f: where[f] for f in _reached(fact, list(where))}
+        frame = _aggregated(star, fact, members, by, filters, levels)
+        if out is None:
+            out = frame
+            continue
+        other = frame.withColumnsRenamed({k: f"_r_{k}" for k in axes})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in axes])
+        out = out.join(other, same, "full").withColumns({k: F.coalesce(k, f"_r_{k}") for k in axes})
+    formulas = {n: MEASURES[n].build(*[F.col(c) for c in MEASURES[n].of]) for n in names if MEASURES[n].fact is None}
+    return out.withColumns(formulas).select(*axes, *names)
+
+
 # --- measures that need more than one aggregation ----------------------------
 
 def kpi_selector(star: Star, choice: str | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -392,6 +428,18 @@ def medians(star: Star, where: dict[str, Sequence] | None = None) -> DataFrame:
     )
 
 
+def medians_by(star: Star, by: Sequence[str], levels: Sequence[Sequence[str]], where: dict[str, Sequence] | None = None) -> DataFrame:
+    """Median recency and spend of every group of several groupings of the customers, in one job."""
+    customers = _joined(star, "customers", list(dict.fromkeys([*by, *(where or {})])))
+    for name, values in (where or {}).items():
+        customers = customers.filter(F.col(_flat(name)).isin(*values))
+    found = group_percentiles(
+        customers, [_flat(a) for a in by], [[_flat(a) for a in one] for one in levels],
+        {f"median_{c}": (c, "0.5") for c in ("recency_days", "total_spend")},
+    )
+    return found.withColumnsRenamed({_flat(a): _short(a) for a in by})
+
+
 def brand_margins(star: Star) -> DataFrame:
     """Line revenue, profit and margin per brand with sales."""
     return evaluate(star, ["line_revenue", "line_profit", "line_margin_pct"], ["product.brand"])

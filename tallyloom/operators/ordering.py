@@ -158,6 +158,58 @@ def percentiles(df: DataFrame, value: Column, at: Sequence[str]) -> dict[str, De
     return result
 
 
+def group_percentiles(
+    df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], wanted: dict[str, tuple[str, str]]
+) -> DataFrame:
+    """Exact interpolated percentiles of every group of several groupings, all in one job.
+
+    ``sets`` are the groupings of ``keys``, ``wanted`` maps an output column to (numeric column,
+    percentile). Rows are (keys..., grouping, percentiles...): ``grouping`` has a bit per key, the
+    first one highest, set where the grouping leaves the key out. NULL values don't count; a group
+    with none has NULL, and there is no row for a grouping without rows. Nine digits, half up.
+
+    Values are counted once per key combination and shared by all groupings; a value's place in
+    its group is what stands in earlier range blocks, and before it in its own. Nothing passes
+    through the driver, and a group of any size is spread over its blocks.
+    """
+    columns = list(dict.fromkeys(column for column, _ in wanted.values()))
+    stacked = df.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_name"), F.col(c).cast("decimal(18,2)").alias("_v")) for c in columns
+    ])).alias("_s")).select(*keys, "_s.*")
+    counted = stacked.groupBy(*keys, "_name", "_v").agg(F.count("_v").alias("_n"))
+    level = F.shiftright(F.grouping_id(), 2).alias("grouping")  # the two last columns are in every grouping
+    grouped = counted.groupingSets([[*map(F.col, one), F.col("_name"), F.col("_v")] for one in sets], *keys, "_name", "_v")
+    group = ["grouping", *keys, "_name"]
+    blocks = _blocks(grouped.agg(level, F.sum("_n").alias("_n")).select(*group, "_v", "_n"), [*map(F.col, group), F.col("_v")])
+
+    # one row per group and block
+    parts = blocks.groupBy(*group, "_block").agg(F.sum("_n").alias("_part"))
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(
+        *[F.col(c).alias(f"_s{c}") for c in [*group, "_block"]],
+        F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_start"), F.sum("_part").over(whole).alias("_all"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s{c}")) for c in [*group, "_block"]])
+    inside = Window.partitionBy(*group, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = blocks.withColumn("_upto", F.sum("_n").over(inside)).join(starts, same)
+    last = F.col("_start") + F.col("_upto")
+
+    cuts, out = [], []
+    for name, (column, p) in wanted.items():
+        share = Fraction(p)
+        steps = (F.col("_all") - 1) * share.numerator
+        position = F.expr(f"((_all - 1) * {share.numerator}) div {share.denominator}")
+        mine = F.col("_name") == column
+        for end, at in (("low", position + 1), ("high", F.least(position + 2, F.col("_all")))):
+            cuts.append(F.max(F.when(mine & (last >= at) & (last - F.col("_n") < at), F.col("_v"))).alias(f"_{name}_{end}"))
+        cuts.append(F.max(F.when(mine, steps % share.denominator)).alias(f"_{name}_rest"))
+        low, high, rest = (F.col(f"_{name}_{x}") for x in ("low", "high", "rest"))
+        step = (high - low) * rest.cast("decimal(9,0)") / F.lit(share.denominator).cast("decimal(9,0)")
+        out.append((low + F.coalesce(step, F.lit(0))).cast("decimal(28,9)").alias(name))
+    return placed.groupBy("grouping", *keys).agg(*cuts).select(*keys, "grouping", *out)
+
+
 def rank_bands(df: DataFrame, value: Column, bands: int) -> Column:
     """Band of a row's rank by value, largest first, ties sharing a rank.
 

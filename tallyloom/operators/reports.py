@@ -26,11 +26,16 @@ def revenue_and_customers_by_segment(star: Star) -> DataFrame:
 def segment_profile(star: Star) -> DataFrame:
     """Per segment and in total; the total row has no segment and is marked."""
     names = ["total_customers", "avg_r_score", "avg_f_score", "avg_m_score", "total_revenue"]
-    rows = evaluate(star, names, ["customer.segment"]).withColumn("is_total", F.lit(0))
-    total = evaluate(star, names).select(
-        F.lit(None).cast("string").alias("segment"), *names, F.lit(1).alias("is_total")
+    rows = m.evaluate_levels(star, names, ["customer.segment"], [["customer.segment"], []])
+    return rows.select("segment", *names, F.col("grouping").cast("int").alias("is_total"))
+
+
+def matrix_with_totals(star: Star) -> DataFrame:
+    """The profitability matrix with its subtotals: products within brands within categories, and all."""
+    axes = ["product.product_category", "product.brand", "product.product_id"]
+    return m.evaluate_levels(
+        star, ["line_revenue", "line_profit", "line_margin_pct", "line_quantity"], axes, [axes[:n] for n in range(len(axes), -1, -1)]
     )
-    return rows.unionByName(total)
 
 
 def top_products(star: Star, rows: int = 15) -> DataFrame:

@@ -626,6 +626,15 @@ add("b5_score_averages", f"SELECT city, {_AVG('r_score')} AS avg_r_score, {_AVG(
 _MED = "SELECT CAST(CAST(median(CAST(recency_days AS DOUBLE)) AS DECIMAL(38,6)) AS DOUBLE) AS median_recency_days, CAST(CAST(median(CAST(total_spend AS DOUBLE)) AS DECIMAL(38,6)) AS DOUBLE) AS median_total_spend FROM k_dim"
 add("b6_medians", f"{_MED} WHERE {_RISK}", "median_recency_days:d median_total_spend:d")
 add("b6_medians_all", _MED, "median_recency_days:d median_total_spend:d")
+_LEVELS = "GROUPING SETS ((segment, country), (segment), (country), ())"
+add("b6_medians_by_axes", f"SELECT segment, country, grouping(segment, country) AS grouping, {_MED.removeprefix('SELECT ')} GROUP BY {_LEVELS}",
+    "segment:s country:s grouping:i median_recency_days:d median_total_spend:d")
+add("b3_ratios_with_subtotals", f"""SELECT coalesce(a.segment, b.segment) AS segment, coalesce(a.country, b.country) AS country, coalesce(a.g, b.g) AS grouping, rev AS total_revenue,
+  {_Z('rev', 'n')} AS avg_order_value, {_Z('rev', 'cust')} AS avg_customer_ltv, {_Z('prof', 'rev')} AS profit_margin_pct
+  FROM (SELECT segment, country, grouping(segment, country) AS g, sum(order_value) AS rev, sum(order_profit) AS prof, count(*) AS n FROM (SELECT segment, d_country AS country, order_value, order_profit FROM k_full) GROUP BY {_LEVELS}) a
+  FULL JOIN (SELECT segment, country, grouping(segment, country) AS g, {_SCORED} AS cust FROM k_dim GROUP BY {_LEVELS}) b
+  ON a.segment IS NOT DISTINCT FROM b.segment AND a.country IS NOT DISTINCT FROM b.country AND a.g = b.g""",
+    "segment:s country:s grouping:i total_revenue:d avg_order_value:d avg_customer_ltv:d profit_margin_pct:d")
 _LINE = f"sum(line_net_amount) AS line_revenue, sum(line_profit) AS line_profit, sum(quantity) AS line_quantity, {_Z('sum(line_profit)', 'sum(line_net_amount)')} AS line_margin_pct"
 add("b7_line_measures", f"SELECT product_category, {_LINE} FROM k_lines GROUP BY 1", "product_category:s line_revenue:d line_profit:d line_quantity:i line_margin_pct:d")
 add("b8_grain_reconciliation", "SELECT (SELECT sum(order_value) FROM k_curated) - (SELECT sum(line_net_amount) FROM k_lines) AS grain_reconciliation", "grain_reconciliation:d")
@@ -780,6 +789,8 @@ add("q11_cohort_matrix", """SELECT c.cohort_month, m.i AS months_since_acquisiti
     "cohort_month:s months_since_acquisition:i retention_rate:d")
 add("q12_category_trend", "SELECT product_category, date_trunc('month', order_date)::DATE AS start_of_month, sum(line_net_amount) AS line_revenue FROM k_lines WHERE last_day(order_date) <= (SELECT max(order_date) FROM k_curated) GROUP BY 1, 2", "product_category:s start_of_month:s line_revenue:d")
 add("q13_profitability_matrix", f"SELECT product_category, brand, product_id, {_LINE} FROM k_lines GROUP BY 1, 2, 3", "product_category:s brand:s product_id:s line_revenue:d line_profit:d line_margin_pct:d line_quantity:i")
+add("q13_matrix_with_totals", f"SELECT product_category, brand, product_id, grouping(product_category, brand, product_id) AS grouping, {_LINE} FROM k_lines GROUP BY ROLLUP (product_category, brand, product_id)",
+    "product_category:s brand:s product_id:s grouping:i line_revenue:d line_profit:d line_margin_pct:d line_quantity:i")
 add("q14_frequency_monetary", f"SELECT segment, {_AVG('order_count')} AS avg_frequency, {_AVG('total_spend')} AS avg_monetary, {_SCORED} AS total_customers FROM k_dim WHERE segment IS NOT NULL GROUP BY 1", "segment:s avg_frequency:d avg_monetary:d total_customers:i")
 add("q14_win_back_customers", f"SELECT customer_id, segment, recency_days, total_spend, order_count, m.* FROM k_dim, ({_MED} WHERE {_RISK}) m WHERE {_RISK}", "customer_id:s segment:s recency_days:i total_spend:d order_count:i median_recency_days:d median_total_spend:d")
 add("q15_risk_table", f"""SELECT d.segment, count(*) AS customers_at_risk, sum(total_spend) AS revenue_at_risk, {_AVG('total_spend')} AS avg_monetary, any_value(discount_approach) AS discount_approach, CAST(sum(total_spend) AS DOUBLE) * 10 / 100 AS gross_recoverable
@@ -864,6 +875,12 @@ _KPIS = (("total_revenue", "currency", "r"), ("total_profit", "currency", "p"),
 add("h3_kpi_drift", "SELECT *, baseline <> current AS drift FROM (" + " UNION ALL ".join(
     f"SELECT '{n}' AS name, '{k}' AS kind, CAST((SELECT {e} FROM ({_SNAP('order_date <= last_day(cutoff_month)')})) AS DOUBLE) AS baseline, CAST((SELECT {e} FROM ({_SNAP('true')})) AS DOUBLE) AS current" for n, k, e in _KPIS) + ")", _DRIFT)
 
+add("h3_baseline_history", "WITH v AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS version, '{n}' AS name, '{k}' AS kind, CAST((SELECT {e} FROM ({_SNAP(f)})) AS DOUBLE) AS value"
+    for n, k, e in _KPIS for i, f in ((1, "order_date <= last_day(cutoff_month)"), (2, "true"))) +
+    ") SELECT v.*, p.value AS previous, coalesce(v.value <> p.value, false) AS drift FROM v LEFT JOIN v p ON p.name = v.name AND p.version = v.version - 1",
+    "version:i name:s kind:s previous:d value:d drift:b")
+
 add("x1_order_reconciliation", f"SELECT count(*) AS orders, count(*) FILTER ({_GAP} <= 0.001) AS within_tolerance, count(*) FILTER ({_GAP} > 0.001) AS outside_tolerance FROM (SELECT o.order_id, o.order_discount_pct, sum(line_net_amount) AS v, sum(quantity * unit_price) AS l FROM k_orders o JOIN k_items i USING (order_id) GROUP BY 1, 2)",
     "orders:i within_tolerance:i outside_tolerance:i")
 add("x2_shared_order_counts", "SELECT count(*) AS scored_customers, count(*) FILTER (EXISTS (SELECT 1 FROM k_segments b WHERE b.frequency_orders = a.frequency_orders AND b.f_score <> a.f_score)) AS customers_split_across_quintiles FROM k_segments a",

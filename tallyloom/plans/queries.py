@@ -17,6 +17,7 @@ from tallyloom.operators import (
 from tallyloom.operators import reports as q, rfm, winback
 from tallyloom.plans.build import Shop, open_shop, shop_of
 from tallyloom.sources import feed, shapes, shards
+from tallyloom.sources.baselines import Baselines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CORE_COUNTRIES = ("EUROPE", "ASIA")
 ONE_COUNTRY = {"customer.country": ["EUROPE"]}
 ONE_STATE = {"customer.country": ["EUROPE"], "customer.state": ["NATION_3", "NATION_8", "NATION_13"]}
+SEGMENT_COUNTRY = ["customer.segment", "customer.country"]
 PILOT_WINDOW = (date(2000, 8, 1), date(2001, 7, 31))
 AUDIT_DAY = date(2001, 6, 30)
 
@@ -110,27 +112,33 @@ def _shard_load(s: Shop) -> DataFrame:
     )
 
 
+def _baselines(s: Shop) -> Baselines:
+    """Baselines of the shop: line totals, and KPIs up to the last closed month and of all data."""
+    stored = Baselines(s.spark, f"{s.folder}/baselines")
+    if stored.store.entry("kpis") is None:
+        lines = s.lines.agg(F.sum("line_net_amount").alias("revenue"), F.countDistinct("order_id").alias("orders"))
+        totals = lines.crossJoin(F.broadcast(s.segments.agg(F.count("*").alias("customers")))).selectExpr(
+            "stack(3, 'total_revenue', cast(revenue as decimal(28,4)), 'distinct_orders', cast(orders as decimal(28,4)), "
+            "'distinct_customers', cast(customers as decimal(28,4))) as (name, value)"
+        )
+        stored.accept("line_totals", totals, "totals of the line grain")
+        earlier = kpi.before(s.curated, s.lines, marts.last_complete_month(s.curated))
+        stored.accept("kpis", kpi.as_long(kpi.kpi_primitives(*earlier)), "up to the last closed month")
+        stored.accept("kpis", kpi.as_long(kpi.kpi_primitives(s.curated, s.lines)), "all data")
+    return stored
+
+
 def _baseline_reconciliation(s: Shop) -> DataFrame:
-    """KPIs of the order grain against the same totals taken from the lines."""
-    lines = s.lines.agg(
-        F.sum("line_net_amount").alias("revenue"), F.countDistinct("order_id").alias("orders"),
-    ).crossJoin(s.segments.agg(F.count("*").alias("customers")))
-    baseline = lines.selectExpr(
-        "stack(3, 'total_revenue', cast(revenue as decimal(28,4)), 'distinct_orders', cast(orders as decimal(28,4)), "
-        "'distinct_customers', cast(customers as decimal(28,4))) as (name, value)"
-    )
+    """KPIs of the order grain against the stored totals of the lines."""
     current = kpi.as_long(kpi.kpi_primitives(s.curated, s.lines)).filter(
         F.col("name").isin("total_revenue", "distinct_orders", "distinct_customers")
     )
-    return kpi.kpi_drift(baseline, current)
+    return kpi.kpi_drift(_baselines(s).read("line_totals"), current)
 
 
 def _kpi_drift(s: Shop) -> DataFrame:
-    """KPIs up to the last closed month as the baseline, all data as the current run."""
-    earlier = kpi.before(s.curated, s.lines, marts.last_complete_month(s.curated))
-    return kpi.kpi_drift(
-        kpi.as_long(kpi.kpi_primitives(*earlier)), kpi.as_long(kpi.kpi_primitives(s.curated, s.lines))
-    )
+    """The stored KPIs up to the last closed month against those of all data."""
+    return kpi.kpi_drift(_baselines(s).read("kpis", 1), kpi.as_long(kpi.kpi_primitives(s.curated, s.lines)))
 
 
 def _pilot(s: Shop) -> DataFrame:
@@ -236,6 +244,11 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
         s, ["avg_r_score", "avg_f_score", "avg_m_score", "avg_health_score"], ["customer.city"]),
     "b6_medians": lambda s: m.medians(s.star, {"customer.segment": list(WIN_BACK_SEGMENTS)}),
     "b6_medians_all": lambda s: m.medians(s.star),
+    "b6_medians_by_axes": lambda s: m.medians_by(
+        s.star, SEGMENT_COUNTRY, [SEGMENT_COUNTRY, SEGMENT_COUNTRY[:1], SEGMENT_COUNTRY[1:], []]),
+    "b3_ratios_with_subtotals": lambda s: m.evaluate_levels(
+        s.star, ["total_revenue", "avg_order_value", "avg_customer_ltv", "profit_margin_pct"], SEGMENT_COUNTRY,
+        [SEGMENT_COUNTRY, SEGMENT_COUNTRY[:1], SEGMENT_COUNTRY[1:], []]),
     "b7_line_measures": lambda s: _base_measures(
         s, ["line_revenue", "line_profit", "line_quantity", "line_margin_pct"], ["product.product_category"]),
     "b8_grain_reconciliation": lambda s: _base_measures(s, ["grain_reconciliation"], []),
@@ -298,6 +311,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "q11_cohort_matrix": lambda s: lifecycle.retention_matrix(s.retention),
     "q12_category_trend": lambda s: q.category_trend(s.star),
     "q13_profitability_matrix": lambda s: q.profitability_matrix(s.star),
+    "q13_matrix_with_totals": lambda s: q.matrix_with_totals(s.star),
     "q14_frequency_monetary": lambda s: q.frequency_monetary_by_segment(s.star),
     "q14_win_back_customers": lambda s: q.win_back_customers(s.star),
     "q15_risk_table": lambda s: q.risk_table(s.star, s.spark),
@@ -322,6 +336,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "h1_kpi_primitives": lambda s: kpi.kpi_primitives(s.curated, s.lines),
     "h2_kpi_derived": lambda s: kpi.kpi_derived(kpi.kpi_primitives(s.curated, s.lines)),
     "h3_kpi_drift": _kpi_drift,
+    "h3_baseline_history": lambda s: kpi.drift_history(_baselines(s).history("kpis")),
     # Documented computations
     "x1_order_reconciliation": lambda s: winback.reconciliation(s.baskets, s.items),
     "x2_shared_order_counts": lambda s: winback.shared_order_counts(s.segments),

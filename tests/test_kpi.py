@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import kpi, winback
+from tallyloom.sources import baselines
 
 
 def primitives(spark, revenue="100.10", profit="30.00", orders=4):
@@ -63,3 +64,39 @@ def test_contribution_per_euro(spark):
 def test_playbook_labels(spark):
     rows = {r.segment: r for r in winback.playbook(spark).collect()}
     assert {s: (r.discount_rate, r.budget_share_pct) for s, r in rows.items()} == {"At Risk": (0.15, 7), "Hibernating": (0.2, 3)}
+
+
+def test_stored_baselines_are_versions(spark, tmp_path):
+    stored = baselines.Baselines(spark, str(tmp_path))
+    assert stored.accept("kpis", table(spark, {"total_revenue": 100.00, "distinct_orders": 4}), "first") == 1
+    assert stored.accept("kpis", table(spark, {"total_revenue": 100.00, "distinct_orders": 5, "aov": 2}), "second") == 2
+    again = baselines.Baselines(spark, str(tmp_path))  # another session knows the folder only
+    current = table(spark, {"total_revenue": 100.00, "distinct_orders": 5, "aov": 2})
+    assert kpi.kpi_drift(again.read("kpis"), current).filter("drift").count() == 0
+    assert {r.name for r in kpi.kpi_drift(again.read("kpis", 1), current).collect() if r.drift} == {"distinct_orders", "aov"}
+    rows = {(r.version, r.name): r.drift for r in kpi.drift_history(again.history("kpis")).collect()}
+    assert {k for k, drift in rows.items() if drift} == {(2, "distinct_orders"), (2, "aov")} and len(rows) == 6
+    assert again.history("none").count() == 0
+    for wrong in (0, 3):
+        with pytest.raises(LookupError):
+            again.read("kpis", wrong)
+
+
+def test_a_refused_baseline_leaves_the_last_one(spark, tmp_path):
+    stored = baselines.Baselines(spark, str(tmp_path))
+    stored.accept("kpis", table(spark, {"aov": 1}), "first")
+    with pytest.raises(ValueError):
+        stored.accept("kpis", table(spark, {"aov": 2}), " ")
+    with pytest.raises(ValueError):
+        stored.accept("kpis", table(spark, {"aov": 2}).union(table(spark, {"aov": 3})), "twice")
+    assert [(r.name, float(r.value)) for r in stored.read("kpis").collect()] == [("aov", 1.0)]
+
+
+def test_baseline_files(spark, tmp_path):
+    path = tmp_path / "b.json"
+    path.write_text('{"schema_version": 1, "other": 1,\n "primitives": {"distinct_orders": 7, "total_revenue": 12.34}, "derived": {"aov": 1.76}}')
+    got = {r.name: float(r.value) for r in baselines.read_file(spark, str(path)).collect()}
+    assert got == {"distinct_orders": 7, "total_revenue": 12.34, "aov": 1.76}
+    (tmp_path / "old.json").write_text('{"schema_version": 9, "primitives": {"aov": 1}}')
+    with pytest.raises(Exception, match="unknown baseline version 9"):
+        baselines.read_file(spark, str(tmp_path / "old.json")).collect()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ordering import ntiles, percentiles, rank_bands, ranks
+from tallyloom.operators.ordering import group_percentiles, ntiles, percentiles, rank_bands, ranks
 
 
 def frame(spark, values):
@@ -81,3 +81,33 @@ def test_ranks_equal_the_plain_window(spark, kind):
     rows = got.withColumn("r2", F.rank().over(Window.orderBy(F.desc("v")))).withColumn(
         "rg2", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v")))).collect()
     assert len(rows) == 202 and all(r.r == r.r2 and r.rg == r.rg2 for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["hot", "equal", "spread"])
+def test_group_percentiles_equal_interpolation(spark, kind):
+    import numpy as np
+
+    values = numbers(700, kind)
+    rows = [(f"g{i % 3}" if i % 11 else None, "h" if i % 2 else "k", v, None if i % 3 == 1 else v * 2) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(g, h, *dec([v, w])) for g, h, v, w in rows], "g string, h string, v decimal(18,2), w decimal(18,2)")
+    sets = [["g", "h"], ["g"], ["h"], []]
+    got = group_percentiles(df, ["g", "h"], sets, {"v_mid": ("v", "0.5"), "v_high": ("v", "0.9"), "w_low": ("w", "0.125")}).collect()
+    want = {}
+    for g, h, v, w in rows:
+        for key in ((g, h, 0), (g, None, 1), (None, h, 2), (None, None, 3)):
+            want.setdefault(key, ([], []))[0].append(v)
+            if w is not None:
+                want[key][1].append(w)
+    assert len(got) == len(want)
+    for r in got:
+        v, w = want[r.g, r.h, r.grouping]
+        assert float(r.v_mid) == pytest.approx(np.percentile(v, 50)) and float(r.v_high) == pytest.approx(np.percentile(v, 90))
+        assert (r.w_low is None) if not w else float(r.w_low) == pytest.approx(np.percentile(w, 12.5))
+
+
+def test_group_percentiles_of_few_rows(spark):
+    wanted = {"low": ("v", "0"), "mid": ("v", "0.5"), "high": ("v", "1")}
+    df = spark.createDataFrame([(g, *dec([v])) for g, v in [("a", None), ("b", 3), ("c", 1), ("c", 2)]], "g string, v decimal(18,2)")
+    got = {r.g: tuple(r[2:]) for r in group_percentiles(df, ["g"], [["g"]], wanted).collect()}
+    assert {g: tuple(None if x is None else float(x) for x in r) for g, r in got.items()} == {"a": (None, None, None), "b": (3, 3, 3), "c": (1, 1.5, 2)}
+    assert group_percentiles(df.limit(0), ["g"], [["g"], []], wanted).count() == 0
