@@ -163,42 +163,59 @@ def acceleration(customers: DataFrame) -> DataFrame:
     )
 
 
-def interval(estimate: float, draws: list[float], a: float, level: float = 0.95) -> tuple[float, float]:
-    """BCa interval from replicate values."""
-    normal, ordered, size = NormalDist(), sorted(draws), len(draws)
-    below = sum(d < estimate for d in ordered) + sum(d == estimate for d in ordered) / 2
-    z0 = normal.inv_cdf(min(max(below / size, 0.5 / size), 1 - 0.5 / size))
+def normal_cdf(x: Column) -> Column:
+    """Chance of a standard normal value up to x, by its power series; beyond 8 deviations as at 8."""
+    x = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), x))
+    start = F.struct(x.alias("term"), x.alias("total"))
 
-    def end(p: float) -> float:
-        z = z0 + normal.inv_cdf(p)
-        at = normal.cdf(z0 + z / (1 - a * z)) * (size - 1)
-        low = min(int(at), size - 1)
-        return ordered[low] + (ordered[min(low + 1, size - 1)] - ordered[low]) * (at - low)
+    def add(s: Column, k: Column) -> Column:
+        term = s["term"] * x * x / (2 * k + 1).cast("double")
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
 
-    return end((1 - level) / 2), end((1 + level) / 2)
+    density = F.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+    return F.lit(0.5) + density * F.aggregate(F.sequence(F.lit(1), F.lit(120)), start, add, lambda s: s["total"])
 
 
-def pilot_intervals(customers: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
-    """The readout with a 95 % BCa interval of contribution per euro.
+def normal_quantile(p: Column) -> Column:
+    """The value that a standard normal one stays below with chance p, by Newton's steps from 0."""
+    def step(z: Column, _: Column) -> Column:
+        return z - (normal_cdf(z) - p) * math.sqrt(2 * math.pi) * F.exp(z * z / 2)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.lit(0.0), step)
+
 
-    The driver sees one value per replicate and offer group.
+def intervals(points: DataFrame, draws: DataFrame, skews: DataFrame, keys: list[str], level: float = 0.95) -> DataFrame:
+    """(keys..., lower, upper): BCa intervals of the ``estimate`` in points.
+
+    ``draws`` holds a ``value`` per replicate, ``skews`` the acceleration ``a``; a missing one is 0.
+    A group's replicates, whose number is a parameter, are sorted as one array; a group without an
+    estimate or a replicate has no row. Places between two replicates are interpolated.
     """
-    spark = customers.sparkSession
-    skew = {(r["segment"], r["group"]): r["a"] or 0.0 for r in acceleration(customers).collect()}
-    values: dict[tuple[str, str], list[float]] = {}
-    for r in replicates(customers, draws, seed).select("segment", "group", "per_euro").collect():
-        if r["per_euro"] is not None:
-            values.setdefault((r["segment"], r["group"]), []).append(r["per_euro"])
+    known = points.filter("estimate IS NOT NULL").select(*keys, "estimate")
+    ordered = draws.filter("value IS NOT NULL").groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("ordered"))
+    rows = known.join(ordered, keys).join(skews.select(*keys, "a"), keys, "left")
+    below = F.size(F.filter("ordered", lambda v: v < F.col("estimate"))) + F.size(F.filter("ordered", lambda v: v == F.col("estimate"))) / 2
+    rows = rows.withColumns({"size": F.size("ordered"), "below": below, "a": F.coalesce(F.nanvl("a", F.lit(0.0)), F.lit(0.0))})
+    least = F.lit(0.5) / F.col("size")
+    rows = rows.withColumn("z0", normal_quantile(F.least(F.greatest(F.col("below") / F.col("size"), least), 1 - least)))
+    out = []
+    for name, p in (("lower", (1 - level) / 2), ("upper", (1 + level) / 2)):
+        z = F.col("z0") + NormalDist().inv_cdf(p)
+        rows = rows.withColumn(f"_{name}", normal_cdf(F.col("z0") + z / (1 - F.col("a") * z)) * (F.col("size") - 1))
+        at = F.col(f"_{name}")
+        low = F.floor(at).cast("int")
+        here, after = F.get("ordered", low), F.get("ordered", F.least(low + 1, F.col("size") - 1))
+        out.append((here + (after - here) * (at - low)).alias(name))
+    return rows.select(*keys, *out)
+
+
+def pilot_intervals(customers: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
+    """The readout with a 95 % BCa interval of contribution per euro."""
+    keys = ["segment", "group"]
     point = readout(customers)
-    ends = []
-    for r in point.select("segment", "group", "per_euro").collect():
-        key = (r["segment"], r["group"])
-        if r["per_euro"] is not None and values.get(key):
-            ends.append((*key, *interval(r["per_euro"], values[key], skew.get(key, 0.0))))
-    bounds = spark.createDataFrame(ends, "_s string, _g string, lower double, upper double")
-    return point.join(
-        F.broadcast(bounds), (F.col("segment") == F.col("_s")) & (F.col("group") == F.col("_g")), "left"
-    ).drop("_s", "_g").withColumn(
+    drawn = replicates(customers, draws, seed).select(*keys, F.col("per_euro").alias("value"))
+    bounds = intervals(point.withColumn("estimate", F.col("per_euro")), drawn, acceleration(customers), keys)
+    return point.join(F.broadcast(bounds), keys, "left").withColumn(  # one row per offer group
         "verdict",
         F.when(F.col("upper") < 0, "stop").when(F.col("lower") > 0, "above break-even").otherwise("unresolved"),
     )
@@ -284,16 +301,11 @@ def pilot_decisions(customers: DataFrame, draws: int = 1000, seed: int = 42) ->
     """(contrast, value, lower, upper, decided): decided when the 95 % interval lies above zero.
 
     The rate moves to 15 % on ``rate_*``, At Risk goes first on ``priority_*`` at the selected
-    rate; anything unresolved keeps the playbook. The driver sees one value per replicate.
+    rate; anything unresolved keeps the playbook.
     """
-    skews = contrast_accelerations(customers).first().asDict()
-    drawn = replicate_contrasts(customers, draws, seed).collect()
-    rows = []
-    for r in contrasts(customers).collect():
-        values = [d[r["contrast"]] for d in drawn if d[r["contrast"]] is not None]
-        if r["value"] is None or not values:
-            rows.append((r["contrast"], r["value"], None, None, False))
-            continue
-        lower, upper = interval(r["value"], values, skews[r["contrast"]] or 0.0)
-        rows.append((r["contrast"], r["value"], lower, upper, lower > 0))
-    return customers.sparkSession.createDataFrame(rows, "contrast string, value double, lower double, upper double, decided boolean")
+    parts = ", ".join(f"'{c}', {c}" for c in CONTRASTS)
+    point = contrasts(customers)
+    drawn = replicate_contrasts(customers, draws, seed).selectExpr(f"stack({len(CONTRASTS)}, {parts}) as (contrast, value)")
+    skews = contrast_accelerations(customers).selectExpr(f"stack({len(CONTRASTS)}, {parts}) as (contrast, a)")
+    bounds = intervals(point.withColumnRenamed("value", "estimate"), drawn, skews, ["contrast"])
+    return point.join(F.broadcast(bounds), ["contrast"], "left").withColumn("decided", F.coalesce(F.col("lower") > 0, F.lit(False)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from statistics import NormalDist
 
 from tallyloom.config import (
     FEED_CONFIG as CFG, KPI_CHOICES, RECENCY_BUCKETS, SEGMENT_BANDS, SEGMENT_STRATEGY,
@@ -901,11 +902,12 @@ add("x4_pilot_readout", f"""SELECT o.segment, o.grp AS "group", o.n, round({div(
     "segment:s group:s n:i offer_mean:d holdout_mean:d per_customer:d discount_spend:d per_euro:d")
 _STEPS_AT = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(18)]
 _DRAWN = "CAST('0x' || left(md5('42|' || draw || '|' || customer_id), 13) AS BIGINT) / 4503599627370496.0::DOUBLE"
-STEPS["k_drawn"] = f"""
+_DRAWS = lambda n: f"""
 SELECT draw, segment, grp, sum(w) AS n, sum(w * x) AS x, sum(w * d) AS d FROM (
   SELECT draw, segment, grp, x, d, {' + '.join(f'(u >= {t!r}::DOUBLE)::INTEGER' for t in _STEPS_AT)} AS w
-  FROM (SELECT draw, segment, grp, x, d, {_DRAWN} AS u FROM k_pilot_customers, range(1, 51) r(draw))
-) GROUP BY 1, 2, 3"""
+  FROM (SELECT draw, segment, grp, x, d, {_DRAWN} AS u FROM k_pilot_customers, range(1, {n + 1}) r(draw))
+) GROUP BY 1, 2, 3"""
+STEPS["k_drawn"] = _DRAWS(50)
 add("x4_pilot_replicates", f"""SELECT o.draw, o.segment, o.grp AS "group", round({div('o.x', 'o.n')} - {div('h.x', 'h.n')}, 6) AS per_customer,
   round(({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0), 6) AS per_euro
   FROM k_drawn o JOIN k_drawn h ON h.draw = o.draw AND h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'""",
@@ -913,11 +915,55 @@ add("x4_pilot_replicates", f"""SELECT o.draw, o.segment, o.grp AS "group", round
 _EFFECT = f"""(SELECT o.segment, o.grp, {div('o.x', 'o.n')} - {div('h.x', 'h.n')} AS c, ({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0) AS e
   FROM k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout')"""
 _SIDE = lambda v, s, g: f"max({v}) FILTER (segment = '{s}' AND grp = '{g}')"
+_CONTRASTS = (
+    ("rate_per_euro", "e", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")), ("rate_per_customer", "c", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")),
+    ("priority_at_15", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_15")), ("priority_at_20", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_20")),
+)
 add("x4_pilot_contrasts", " UNION ALL ".join(
-    f"SELECT '{n}' AS contrast, round({_SIDE(v, *a)} - {_SIDE(v, *b)}, 6) AS value FROM {_EFFECT}" for n, v, a, b in (
-        ("rate_per_euro", "e", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")), ("rate_per_customer", "c", ("Hibernating", "offer_15"), ("Hibernating", "offer_20")),
-        ("priority_at_15", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_15")), ("priority_at_20", "e", ("At Risk", "offer_15"), ("Hibernating", "offer_20")),
-    )), "contrast:s value:d")
+    f"SELECT '{n}' AS contrast, round({_SIDE(v, *a)} - {_SIDE(v, *b)}, 6) AS value FROM {_EFFECT}" for n, v, a, b in _CONTRASTS), "contrast:s value:d")
+
+# Bootstrap intervals: a key is "segment/group" or the name of a contrast.
+_MEMBER = lambda a, b: f"bool_or(member) FILTER ((segment, grp) IN (('{a[0]}', '{a[1]}'), ('{b[0]}', '{b[1]}')))"
+STEPS["k_thousand"] = _DRAWS(1000)
+STEPS["k_effects"] = f"""SELECT o.draw, o.segment, o.grp, {div('o.x', 'o.n')} - {div('h.x', 'h.n')} AS c, ({div('o.x', 'o.n')} - {div('h.x', 'h.n')}) * o.n / NULLIF(CAST(o.d AS DOUBLE), 0) AS e
+  FROM k_thousand o JOIN k_thousand h ON h.draw = o.draw AND h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'"""
+STEPS["k_boot"] = "SELECT segment || '/' || grp AS key, e AS v FROM k_effects" + "".join(
+    f" UNION ALL SELECT '{n}', {_SIDE(v, *a)} - {_SIDE(v, *b)} FROM k_effects GROUP BY draw" for n, v, a, b in _CONTRASTS)
+STEPS["k_points"] = f"SELECT segment || '/' || grp AS key, round(e, 8) AS p FROM {_EFFECT}" + "".join(
+    f" UNION ALL SELECT '{n}', round({_SIDE(v, *a)} - {_SIDE(v, *b)}, 6) FROM {_EFFECT}" for n, v, a, b in _CONTRASTS)
+# every customer left out once: the effects of the rest
+STEPS["k_left"] = f"""SELECT *, c * n / NULLIF(d, 0) AS e FROM (SELECT *, x / NULLIF(n, 0) - xh / NULLIF(nh, 0) AS c FROM (
+  SELECT customer_id, o.segment, o.grp, u.segment = o.segment AND u.grp IN (o.grp, 'holdout') AS member,
+    CAST(o.n - (u.segment = o.segment AND u.grp = o.grp)::INTEGER AS DOUBLE) AS n, CAST(o.x - CASE WHEN u.segment = o.segment AND u.grp = o.grp THEN u.x ELSE 0 END AS DOUBLE) AS x,
+    CAST(o.d - CASE WHEN u.segment = o.segment AND u.grp = o.grp THEN u.d ELSE 0 END AS DOUBLE) AS d,
+    CAST(h.n - (u.segment = o.segment AND u.grp = 'holdout')::INTEGER AS DOUBLE) AS nh, CAST(h.x - CASE WHEN u.segment = o.segment AND u.grp = 'holdout' THEN u.x ELSE 0 END AS DOUBLE) AS xh
+  FROM k_pilot_customers u, k_pilot_sums o JOIN k_pilot_sums h ON h.segment = o.segment AND h.grp = 'holdout' WHERE o.grp <> 'holdout'))"""
+STEPS["k_jack"] = "SELECT segment || '/' || grp AS key, e AS t FROM k_left WHERE member" + "".join(
+    f" UNION ALL SELECT '{n}', {_SIDE(v, *a)} - {_SIDE(v, *b)} FROM k_left GROUP BY customer_id HAVING {_MEMBER(a, b)}" for n, v, a, b in _CONTRASTS)
+STEPS["k_skews"] = """SELECT key, sum((m - t) ** 3) / NULLIF(6 * sum((m - t) ** 2) ** 1.5, 0) AS a FROM (SELECT key, t, avg(t) OVER (PARTITION BY key) AS m FROM k_jack WHERE t IS NOT NULL) GROUP BY 1"""
+
+
+def _cdf(x: str) -> str:
+    """The series of the normal distribution, double factorials by the gamma function."""
+    term = f"exp((2 * k + 1) * ln(greatest(abs({x}), 1e-300)) - (k + 1) * ln(2) - lgamma(k + 1.5) + 0.5 * ln(pi()))"
+    return f"(0.5 + sign({x}) * exp(-({x}) * ({x}) / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 120), lambda k: {term})))"
+
+
+STEPS["k_bias"] = f"""SELECT key, n, a, list_reduce(list_transform(range(0, 40), lambda i: 0.0::DOUBLE), lambda z, i: z - ({_cdf('z')} - share) * sqrt(2 * pi()) * exp(z * z / 2)) AS z0
+  FROM (SELECT key, n, a, least(greatest(below / n, 0.5 / n), 1 - 0.5 / n) AS share FROM (
+    SELECT b.key, count(*) AS n, any_value(coalesce(s.a, 0)) AS a, count(*) FILTER (v < p) + count(*) FILTER (v = p) / 2 AS below
+    FROM k_boot b JOIN k_points q ON q.key = b.key LEFT JOIN k_skews s ON s.key = b.key WHERE v IS NOT NULL AND p IS NOT NULL GROUP BY 1))"""
+_Z975 = NormalDist().inv_cdf(0.975)
+STEPS["k_ends"] = "SELECT key, n, " + ", ".join(
+    f"{_cdf(f'(z0 + (z0 + {z!r}::DOUBLE) / (1 - a * (z0 + {z!r}::DOUBLE)))')} * (n - 1) AS {name}" for name, z in (("low_at", -_Z975), ("high_at", _Z975))) + " FROM k_bias"
+_BETWEEN = lambda at: f"max(v) FILTER (place = floor({at}) + 1) + (max(v) FILTER (place = least(floor({at}) + 2, n)) - max(v) FILTER (place = floor({at}) + 1)) * (any_value({at}) - floor(any_value({at})))"
+STEPS["k_intervals"] = f"""SELECT key, {_BETWEEN('low_at')} AS lower, {_BETWEEN('high_at')} AS upper
+  FROM (SELECT key, v, row_number() OVER (PARTITION BY key ORDER BY v) AS place FROM k_boot WHERE v IS NOT NULL) JOIN k_ends USING (key) GROUP BY 1"""
+add("x4_pilot_intervals", f"""SELECT r.*, round(lower, 6) AS lower, round(upper, 6) AS upper, CASE WHEN upper < 0 THEN 'stop' WHEN lower > 0 THEN 'above break-even' ELSE 'unresolved' END AS verdict
+  FROM ({ORACLES['x4_pilot_readout'][0]}) r LEFT JOIN k_intervals i ON i.key = r.segment || '/' || r."group\"""",
+    "segment:s group:s n:i offer_mean:d holdout_mean:d per_customer:d discount_spend:d per_euro:d lower:d upper:d verdict:s")
+add("x4_pilot_decisions", f"""SELECT r.contrast, r.value, round(lower, 6) AS lower, round(upper, 6) AS upper, coalesce(lower > 0, false) AS decided
+  FROM ({ORACLES['x4_pilot_contrasts'][0]}) r LEFT JOIN k_intervals i ON i.key = r.contrast""", "contrast:s value:d lower:d upper:d decided:b")
 add("p10_items_display", """SELECT order_id AS "Order ID", product_id AS "Product ID", customer_id AS "Customer ID", order_date AS "Order Date", quantity AS "Quantity", line_net_amount AS "Line Net Amount",
   line_profit AS "Line Profit", line_margin_pct AS "Line Margin %" FROM k_lines""",
     "Order_ID:s Product_ID:s Customer_ID:s Order_Date:s Quantity:i Line_Net_Amount:d Line_Profit:d Line_Margin_%:d")

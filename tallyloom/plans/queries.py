@@ -147,6 +147,11 @@ def _pilot(s: Shop) -> DataFrame:
     return pilot.outcomes(groups, s.curated, PILOT_WINDOW[0], PILOT_WINDOW[1])
 
 
+def _six_digits(df: DataFrame) -> DataFrame:
+    """The ends of intervals as far as sums of doubles agree."""
+    return df.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
 def _marts(s: Shop) -> dict[str, DataFrame]:
     return {
         "v_monthly_revenue": marts.monthly_revenue(s.curated),
@@ -341,11 +346,11 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "x1_order_reconciliation": lambda s: winback.reconciliation(s.baskets, s.items),
     "x2_shared_order_counts": lambda s: winback.shared_order_counts(s.segments),
     "x4_pilot_readout": lambda s: pilot.readout(_pilot(s)),
-    "x4_pilot_intervals": lambda s: pilot.pilot_intervals(_pilot(s)),
+    "x4_pilot_intervals": lambda s: _six_digits(pilot.pilot_intervals(_pilot(s))),
     "x4_pilot_replicates": lambda s: pilot.replicates(_pilot(s), 50).select(
         "draw", "segment", "group", F.round("per_customer", 6).alias("per_customer"), F.round("per_euro", 6).alias("per_euro")),
     "x4_pilot_contrasts": lambda s: pilot.contrasts(_pilot(s)),
-    "x4_pilot_decisions": lambda s: pilot.pilot_decisions(_pilot(s)),
+    "x4_pilot_decisions": lambda s: _six_digits(pilot.pilot_decisions(_pilot(s))),
     "x3_cohort_rebound": lambda s: lifecycle.cohort_rebound(s.retention),
     "x3_dilution_correlation": lambda s: lifecycle.dilution_correlation(s.customer_months, s.retention),
 }

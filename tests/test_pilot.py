@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+from statistics import NormalDist
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,12 +68,42 @@ def test_acceleration_equals_the_jackknife(customers):
         assert got[key] == pytest.approx(cube / (6 * square ** 1.5), rel=1e-6)
 
 
-def test_interval_without_bias_or_skew_is_the_percentile_interval():
-    draws = [i / 1000 for i in range(1001)]
-    low, high = pilot.interval(0.5, draws, 0.0)
-    assert low == pytest.approx(0.025, abs=1e-6) and high == pytest.approx(0.975, abs=1e-6)
-    shifted = pilot.interval(0.6, draws, 0.0)
-    assert shifted[0] > low and shifted[1] > high
+def interval(estimate, draws, a):
+    """BCa interval from replicate values, in plain Python."""
+    normal, ordered, size = NormalDist(), sorted(draws), len(draws)
+    below = sum(d < estimate for d in ordered) + sum(d == estimate for d in ordered) / 2
+    z0 = normal.inv_cdf(min(max(below / size, 0.5 / size), 1 - 0.5 / size))
+
+    def end(p):
+        z = z0 + normal.inv_cdf(p)
+        at = normal.cdf(z0 + z / (1 - a * z)) * (size - 1)
+        low = min(int(at), size - 1)
+        return ordered[low] + (ordered[min(low + 1, size - 1)] - ordered[low]) * (at - low)
+
+    return end(0.025), end(0.975)
+
+
+def test_intervals_equal_plain_python(spark):
+    rng = random.Random(9)
+    spread = [rng.gauss(0.3, 1) for _ in range(400)]
+    groups = {"even": (0.5, [i / 1000 for i in range(1001)], 0.0), "biased": (0.9, spread, 0.04), "skewed": (-2.0, spread, -0.08),
+              "beyond": (99.0, spread, None), "ties": (1.0, [1.0, 1.0, 2.0], float("nan")), "one": (3.0, [4.0], 0.1)}
+    points = spark.createDataFrame([(k, e) for k, (e, _, _) in groups.items()] + [("none", None), ("undrawn", 1.0)], "k string, estimate double")
+    draws = spark.createDataFrame([(k, v) for k, (_, vs, _) in groups.items() for v in [*vs, None]], "k string, value double")
+    skews = spark.createDataFrame([(k, a) for k, (_, _, a) in groups.items()], "k string, a double")
+    got = {r.k: (r.lower, r.upper) for r in pilot.intervals(points, draws, skews, ["k"]).collect()}
+    assert set(got) == set(groups)
+    for k, (e, vs, a) in groups.items():
+        assert got[k] == pytest.approx(interval(e, vs, a if a and a == a else 0.0), abs=1e-9)
+    assert got["even"] == pytest.approx((0.025, 0.975), abs=1e-6)
+
+
+def test_normal_functions(spark):
+    normal = NormalDist()
+    rows = spark.range(-70, 71).select((F.col("id") / 10).alias("x")).select("x", pilot.normal_cdf(F.col("x")).alias("p")).collect()
+    assert all(r.p == pytest.approx(normal.cdf(r.x), abs=1e-14) for r in rows)
+    rows = spark.range(1, 2000).select((F.col("id") / 2000).alias("p")).select("p", pilot.normal_quantile(F.col("p")).alias("z")).collect()
+    assert all(r.z == pytest.approx(normal.inv_cdf(r.p), abs=1e-9) for r in rows)
 
 
 def test_intervals_hold_the_estimate(customers):
