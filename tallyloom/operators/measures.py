@@ -258,8 +258,7 @@ def _aggregated(
     build = {n: MEASURES[n].build() for n in measures}
     base = None
     if fact in ("orders", "lines") and columns:
-        keys = [star.dimension(d)[2] for d in _dimensions(columns)]
-        base = star.fact(fact).groupBy(*keys).agg(*[c.alias(n) for n, c in build.items()])
+        base = _folded(star, fact, measures, columns)
         build = {n: F.sum(n) for n in measures}
     base = _joined(star, fact, columns, base)
     for name, values in where.items():
@@ -278,6 +277,12 @@ def _aggregated(
     )
 
 
+def _folded(star: Star, fact: str, measures: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Additive measures per key of the dimensions that the columns belong to."""
+    keys = [star.dimension(d)[2] for d in _dimensions(columns)]
+    return star.fact(fact).groupBy(*keys).agg(*[MEASURES[n].build().alias(n) for n in measures])
+
+
 def _flat(name: str) -> str:
     dimension, column = name.split(".", 1)
     return f"_{dimension}_{column}"
@@ -359,6 +364,38 @@ def evaluate_levels(
     return out.withColumns(formulas).select(*axes, *names)
 
 
+def evaluate_contexts(
+    star: Star, names: Sequence[str], contexts: dict[str, dict[str, Sequence]], by: Sequence[str] = ()
+) -> DataFrame:
+    """Measures of one order or line fact under several filters at once: one scan, whatever their number.
+
+    ``contexts`` names the filters, each as ``where`` in ``evaluate``. A row per combination of axis
+    values has a column ``context_measure`` for each pair, and ``context_seen``, whether the context
+    holds any row. An axis value that no context holds has its row too, with NULL.
+    """
+    fact = MEASURES[names[0]].fact
+    if fact not in ("orders", "lines") or any(MEASURES[n].fact != fact for n in names):
+        raise ValueError(f"{', '.join(names)} are no sums over one order or line fact")
+    filters = {c: {f: where[f] for f in _reached(fact, list(where))} for c, where in contexts.items()}
+    axes = _reached(fact, by)
+    columns = list(dict.fromkeys([*axes, *(f for where in filters.values() for f in where)]))
+    base = _joined(star, fact, columns, _folded(star, fact, names, columns))
+    out = []
+    for number, (context, where) in enumerate(filters.items()):
+        inside = F.lit(True)
+        for place, (name, values) in enumerate(where.items()):
+            if isinstance(values, DataFrame):  # a few rows
+                flag, wanted = f"_in_{number}_{place}", f"_wanted_{number}_{place}"
+                marked = values.select(F.col(values.columns[0]).alias(wanted)).distinct().withColumn(flag, F.lit(True))
+                base = base.join(F.broadcast(marked), F.col(_flat(name)) == F.col(wanted), "left").drop(wanted)
+                inside = inside & F.coalesce(F.col(flag), F.lit(False))
+            else:
+                inside = inside & F.coalesce(F.col(_flat(name)).isin(*values), F.lit(False))
+        out += [F.sum(F.when(inside, F.col(n))).alias(f"{context}_{n}") for n in names]
+        out.append((F.count_if(inside) > 0).alias(f"{context}_seen"))
+    return base.groupBy(*[F.col(_flat(a)).alias(_short(a)) for a in axes]).agg(*out)
+
+
 # --- measures that need more than one aggregation ----------------------------
 
 def kpi_selector(star: Star, choice: str | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -511,21 +548,14 @@ def map_shares(star: Star, core: Sequence[str], where: dict[str, Sequence] | Non
     The country total is that of the countries the selection shows, without a filter on states.
     """
     where = where or {}
-    total = lambda w: evaluate(star, ["total_revenue"], (), w)
     rest = {k: v for k, v in where.items() if k not in ("customer.state", "customer.country")}
-    by_country = evaluate(star, ["total_revenue"], ["customer.country"], rest)
-    visible = evaluate(star, ["total_revenue"], ["customer.country"], where).select(F.col("country").alias("_v"))
-    parents = by_country.join(visible, F.col("country") == F.col("_v"), "left_semi")
-    named = {
-        "selected_revenue": total(where),
-        "all_revenue": total({}),
-        "country_total_revenue": parents.agg(F.sum("total_revenue").alias("total_revenue")),
-        "core_revenue": total({**where, "customer.country": list(core)}),
-    }
-    row = None
-    for name, part in named.items():
-        part = part.withColumnRenamed("total_revenue", name)
-        row = part if row is None else row.crossJoin(F.broadcast(part))
+    contexts = {"selected": where, "all": {}, "rest": rest, "core": {**where, "customer.country": list(core)}}
+    countries = evaluate_contexts(star, ["total_revenue"], contexts, ["customer.country"])
+    row = countries.agg(
+        F.sum("selected_total_revenue").alias("selected_revenue"), F.sum("all_total_revenue").alias("all_revenue"),
+        F.sum(F.when(F.col("selected_seen") & F.col("country").isNotNull(), F.col("rest_total_revenue"))).alias("country_total_revenue"),
+        F.sum("core_total_revenue").alias("core_revenue"),
+    )
     return row.select(
         "selected_revenue", "country_total_revenue",
         ratio(F.col("core_revenue"), F.col("selected_revenue")).alias("core_share"),

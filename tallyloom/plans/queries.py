@@ -282,6 +282,9 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "b22_map_shares_state": lambda s: m.map_shares(
         s.star, CORE_COUNTRIES, {"customer.state": ONE_STATE["customer.state"]}),
     "b23_brand_headline": lambda s: m.brand_headline(s.star),
+    "b22_contexts_by_year": lambda s: m.evaluate_contexts(
+        s.star, ["total_revenue", "distinct_orders"],
+        {"all": {}, "core": {"customer.country": CORE_COUNTRIES}, "states": ONE_STATE, "at_risk": {"customer.segment": ["At Risk"]}}, ["date.year"]),
     "b24_context_counts": lambda s: m.context_counts(s.star),
     "t1_prior_year_month": lambda s: m.prior_year(s.star, "start_of_month").select(
         "start_of_month", "total_revenue", "revenue_py", "total_profit", "profit_py", "profit_margin_pct", "profit_margin_py"),

@@ -69,3 +69,40 @@ def test_rolling_window_guards(spark):
 def test_no_filter_flags_without_filters(spark):
     row = m.filter_flags(shop_of(spark, SF).star).first()
     assert (row.region_filter_active, row.country_filter_active) == (0, 0)
+
+
+def scans_of(df, column):
+    """Table scans in the plan that read the column."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return sum(1 for line in plan.splitlines() if "Scan" in line and column in line)
+
+
+def test_contexts_share_one_scan(spark):
+    star = shop_of(spark, SF).star
+    where = {"customer.country": ["EUROPE"], "customer.state": ["NATION_3"]}
+    assert scans_of(m.map_shares(star, ("EUROPE", "ASIA"), where), "order_value") == 1
+    levels = [["customer.segment", "customer.country"], ["customer.segment"], []]
+    assert scans_of(m.evaluate_levels(star, ["total_revenue", "avg_order_value"], levels[0], levels), "order_value") == 1
+
+
+def test_contexts_equal_one_evaluation_each(spark):
+    star = shop_of(spark, SF).star
+    some = spark.createDataFrame([("EUROPE",), ("EUROPE",), (None,)], "country string")
+    contexts = {"every": {}, "framed": {"customer.country": some}, "none": {"customer.country": ["no such"]}, "brand": {"product.brand": ["Brand#1"]}}
+    row = m.evaluate_contexts(star, ["total_revenue", "distinct_orders"], contexts).first()
+    for name, where in contexts.items():
+        one = m.evaluate(star, ["total_revenue", "distinct_orders"], (), where).first()
+        assert row[f"{name}_total_revenue"] == one.total_revenue and (row[f"{name}_distinct_orders"] or 0) == (one.distinct_orders or 0)
+    assert not row.none_seen and row.every_seen
+    with pytest.raises(ValueError):
+        m.evaluate_contexts(star, ["total_revenue", "line_revenue"], contexts)
+    with pytest.raises(ValueError):
+        m.evaluate_levels(star, ["total_revenue"], ["product.brand"], [[]])
+
+
+def test_subtotals_add_up(spark):
+    star = shop_of(spark, SF).star
+    by = ["customer.segment", "customer.country"]
+    rows = m.evaluate_levels(star, ["total_revenue"], by, [by, by[:1], []]).collect()
+    sums = [sum(r.total_revenue or 0 for r in rows if r.grouping == g) for g in (0, 1, 3)]
+    assert len(set(sums)) == 1 and sum(r.grouping == 3 for r in rows) == 1
