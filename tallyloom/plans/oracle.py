@@ -702,6 +702,9 @@ _CONTEXTS = (("all", "true"), ("core", "d_country IN ('EUROPE', 'ASIA')"), ("sta
 add("b22_contexts_by_year", "SELECT year(order_date) AS year, " + ", ".join(
     f"sum(order_value) FILTER ({f}) AS {c}_total_revenue, CASE WHEN count(*) FILTER ({f}) > 0 THEN count(*) FILTER ({f}) END AS {c}_distinct_orders, count(*) FILTER ({f}) > 0 AS {c}_seen" for c, f in _CONTEXTS) +
     " FROM k_full GROUP BY 1", "year:i " + " ".join(f"{c}_total_revenue:d {c}_distinct_orders:i {c}_seen:b" for c, _ in _CONTEXTS))
+add("a2_category_customers", """SELECT product_category, y AS year, grouping(product_category, y) AS grouping, count(DISTINCT customer_id) AS customers
+  FROM (SELECT product_category, year(order_date) AS y, customer_id FROM k_lines) GROUP BY GROUPING SETS ((product_category, y), (product_category), (y), ())""",
+    "product_category:s year:i grouping:i customers:i")
 add("b24_context_counts", """SELECT (SELECT count(DISTINCT source_month) FROM k_curated) AS source_months, count(DISTINCT country) AS countries, count(DISTINCT state) AS states, count(DISTINCT city) AS cities, count(DISTINCT segment) AS segments,
   (SELECT count(DISTINCT cohort_month) FROM k_retention) AS cohorts, (SELECT min(cohort_month) FROM k_retention) AS first_cohort, (SELECT max(cohort_month) FROM k_retention) AS last_cohort, (SELECT max(months_since_acquisition) FROM k_retention) AS tenure_months FROM k_dim""",
     "source_months:i countries:i states:i cities:i segments:i cohorts:i first_cohort:s last_cohort:s tenure_months:i")

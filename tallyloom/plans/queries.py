@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, ShortType
 
 from tallyloom.config import WIN_BACK_SEGMENTS
 from tallyloom.operators import (
-    audit, cleaning, display, explore, facts, kpi, lifecycle, marts, measures as m, pilot,
+    audit, cleaning, display, distinct, explore, facts, kpi, lifecycle, marts, measures as m, pilot,
 )
 from tallyloom.operators import reports as q, rfm, winback
 from tallyloom.plans.build import Shop, open_shop, shop_of
@@ -147,6 +147,16 @@ def _pilot(s: Shop) -> DataFrame:
     return pilot.outcomes(groups, s.curated, PILOT_WINDOW[0], PILOT_WINDOW[1])
 
 
+def _category_customers(s: Shop) -> DataFrame:
+    """Customers of every category and year, with subtotals, from bitmaps by category and month."""
+    months = s.lines.groupBy("product_id", F.trunc("order_date", "month").alias("month"), "customer_id").agg(F.lit(1).alias("_one"))
+    months = months.join(s.products.select("product_id", "product_category"), "product_id")
+    maps = distinct.bitmaps(months, ["product_category", "month"], "customer_id")
+    by = {"product_category": F.col("product_category"), "year": F.year("month")}
+    names = list(by)
+    return distinct.distinct_counts(maps, by, [names, names[:1], names[1:], []], "customers")
+
+
 def _six_digits(df: DataFrame) -> DataFrame:
     """The ends of intervals as far as sums of doubles agree."""
     return df.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
@@ -254,6 +264,7 @@ _BUILDERS: dict[str, Callable[[Shop], DataFrame]] = {
     "b3_ratios_with_subtotals": lambda s: m.evaluate_levels(
         s.star, ["total_revenue", "avg_order_value", "avg_customer_ltv", "profit_margin_pct"], SEGMENT_COUNTRY,
         [SEGMENT_COUNTRY, SEGMENT_COUNTRY[:1], SEGMENT_COUNTRY[1:], []]),
+    "a2_category_customers": _category_customers,
     "b7_line_measures": lambda s: _base_measures(
         s, ["line_revenue", "line_profit", "line_quantity", "line_margin_pct"], ["product.product_category"]),
     "b8_grain_reconciliation": lambda s: _base_measures(s, ["grain_reconciliation"], []),
