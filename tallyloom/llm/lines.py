@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import components, small, tidy, written
+from tallyloom.llm.common import components, discard, small, tidy, written
 from tallyloom.llm.minhash import near_duplicates
 
 _SPACE = b" \t\n\v\f\r"
@@ -217,7 +217,7 @@ def _classed(narrow: DataFrame, edits: int = 1, least_per_edit: int = 16, long_w
     kind = narrow.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, line_no int, h1 bigint, h2 bigint, size int" + ", long boolean" * bool(long_words)
     lines = written(narrow.mapInArrow(tidy(lambda parts: _lines(parts, long_words)), fields), "lines")
-    links = written(_links(narrow, lines, edits, least), "line-links")
+    links = _links(narrow, lines, edits, least)
 
     place = F.struct("doc_id", "line_no", "h1", "h2")
     distinct = lines.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("at"))
@@ -226,6 +226,7 @@ def _classed(narrow: DataFrame, edits: int = 1, least_per_edit: int = 16, long_w
     linked = written(distinct.join(n_links, ["h1", "h2"]), "linked-lines")
     name = lambda s: linked.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("at").alias(s))
     found = components(links.join(name("a"), ["a1", "a2"]).join(name("b"), ["b1", "b2"]).select("a", "b"))
+    discard(links)
     classes = linked.join(found, linked["at"] == found.node).select("h1", "h2", "n_links", F.col("component").alias("class"))
     all_classes = distinct.join(classes, ["h1", "h2"], "left").select(
         "h1", "h2", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class", "at").alias("class"),
@@ -248,7 +249,7 @@ def _links(narrow: DataFrame, lines: DataFrame, edits: int, least: int) -> DataF
     met = keys.groupBy("key").agg(
         F.min(F.struct("h1", "h2")).alias("low"), F.max(F.struct("h1", "h2")).alias("high"), F.bool_or("own").alias("own"), F.bool_and("own").alias("only"),
     ).filter("low <> high AND own AND NOT only").select("key")
-    near = written(keys.join(met, "key").distinct(), "segments")
+    near = segments_met = written(keys.join(met, "key").distinct(), "segments")
     wanted = near.select("h1", "h2").distinct()
     first = lines.filter("h1 IS NOT NULL").join(wanted, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
     numbers = first.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_set("at.line_no").alias("numbers"))
@@ -265,7 +266,10 @@ def _links(narrow: DataFrame, lines: DataFrame, edits: int, least: int) -> DataF
     )
     text = lambda s: texts.select(F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("line").alias(f"x{s}"))
     both = pairs.join(text("a"), ["a1", "a2"]).join(text("b"), ["b1", "b2"])
-    return both.mapInArrow(tidy(_close(edits)), "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+    links = written(both.mapInArrow(tidy(_close(edits)), "a1 bigint, a2 bigint, b1 bigint, b2 bigint"), "line-links")
+    discard(segments_met)
+    discard(texts)
+    return links
 
 
 def _copy_groups(held: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -277,7 +281,10 @@ def _copy_groups(held: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     likely = small(written(shares.filter("2 * shared >= all").select(F.col("id").alias("__id"), F.col("content").alias("__content")), "likely-copies"))
     same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__content"))
     found = near_duplicates(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(likely, same, "left_semi"), percent=percent)
-    return found.filter("NOT kept").select(F.col("doc_id").alias("id"), F.col("component_id").alias("group")).distinct()
+    copies = written(found.filter("NOT kept").select(F.col("doc_id").alias("id"), F.col("component_id").alias("group")).distinct(), "copy-groups")
+    discard(found)  # what the search wrote
+    discard(likely)
+    return copies
 
 
 def without_repeated_lines(docs: DataFrame, least_docs: int = 3, copy_percent: int = 80, long_words: int = 50, **settings) -> DataFrame:
@@ -301,7 +308,8 @@ def without_repeated_lines(docs: DataFrame, least_docs: int = 3, copy_percent: i
     held = written(held.select(
         "doc_id.*", F.struct("class_doc", "class_line").alias("class"), "class_docs", F.col("places")[0]["size"].alias("size"), F.col("places.line_no").alias("numbers"), "long",
     ), "held-lines")
-    copies = written(_copy_groups(held, docs, copy_percent), "copy-groups")
+    discard(lines)  # what the search for classes wrote
+    copies = _copy_groups(held, docs, copy_percent)
     common = held.filter("class_docs > 1").join(small(copies), "id", "left").withColumn("group", F.coalesce("group", "id"))
     by_group = common.groupBy("class", "group").agg(F.min(F.struct(F.col("id") != F.col("group"), "id", "content", "group")).alias("at"), F.bool_or("long").alias("long"))
     shared = by_group.groupBy("class").agg(F.count("*").alias("groups"), F.min("at").alias("at"), F.bool_or("long").alias("long"))

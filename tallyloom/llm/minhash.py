@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallyloom.llm.common import components, shingles_of, small, tidy, written
+from tallyloom.llm.common import components, discard, shingles_of, small, tidy, written
 
 SIGNATURE = "doc_id bigint, content bigint, n_shingles bigint, digest binary, signature binary"
 
@@ -182,6 +182,7 @@ class NearDuplicates:
         banded = banded.select(F.xxhash64("k", "part").alias("bucket"), F.col("doc_id").alias("id"), "content", "n_shingles")
         shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         self.banded = written(banded.join(shared, "bucket"), "buckets")
+        self.scratch = [self.reps, self.banded]  # read by the search alone
 
     def pairs_with_centre(self) -> DataFrame:
         """Each document with the centre of one of its buckets: the one it shares most buckets with.
@@ -222,6 +223,8 @@ class NearDuplicates:
         own = F.col("n") - F.col("common")  # shingles that only this document has
         ranked = ranked.withColumn("at", F.col("place") + own).filter(F.col("at") <= F.col("n") - least + 1)
         first = written(ranked.select("id", "content", "component", "n", "at", "shingle"), "first-shingles")
+        discard(sets)
+        self.scratch += [open_, first]
         x, y = first.alias("x"), first.alias("y")
         # from the first shingle that both hold on, no more than the rest of either can be common
         pairs = x.join(y, F.expr(
@@ -241,7 +244,8 @@ class NearDuplicates:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold: pruned batch by batch, survivors verified on full sets."""
         pairs = written(pairs, "pairs")
-        reps = self.reps.join(self._ends(pairs), ["doc_id", "content"], "left_semi")
+        ends = self._ends(pairs)
+        reps = self.reps.join(ends, ["doc_id", "content"], "left_semi")
         sign = lambda side: reps.select(
             F.col("doc_id").alias(side), F.col("content").alias(f"c{side}"), F.col("signature").alias(f"s{side}"),
         )
@@ -249,10 +253,19 @@ class NearDuplicates:
         alive = written(
             signed.mapInArrow(tidy(_prune(self.hashes, self.batch, self.similarity, self.miss)), "a bigint, ca bigint, b bigint, cb bigint"), "candidates",
         )
-        texts = self.texts.join(self._ends(alive), ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
+        alive_ends = self._ends(alive)
+        texts = self.texts.join(alive_ends, ["doc_id", "content"], "left_semi").dropDuplicates(["doc_id", "content"])
         text = lambda side: texts.select(F.col("doc_id").alias(side), F.col("content").alias(f"c{side}"), F.col("raw").alias(f"x{side}"))
         both = alive.join(text("b"), ["b", "cb"]).join(text("a"), ["a", "ca"]).select("a", "b", "xa", "xb")
-        return written(both.mapInArrow(tidy(_verify(self.width, self.percent)), "a bigint, b bigint"), "links")
+        found = written(both.mapInArrow(tidy(_verify(self.width, self.percent)), "a bigint, b bigint"), "links")
+        for table in (pairs, ends, alive, alive_ends):
+            discard(table)
+        return found
+
+    def close(self) -> None:
+        """Delete what only the search reads; signatures and members stay for the result."""
+        for table in self.scratch:
+            discard(table)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, miss: float = 1e-6, batch: int = 24) -> DataFrame:
@@ -260,10 +273,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, miss: fl
     search = NearDuplicates(docs, width, percent, miss, batch)
     several = search.member.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y")
     same = search.member.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    sure = search.links(search.pairs_with_centre()).unionAll(same)
-    early = written(components(sure), "early")
+    direct = search.links(search.pairs_with_centre())
+    sure = direct.unionAll(same)
+    first = components(sure)
+    early = written(first, "early")
+    discard(first)
     more = search.links(search.pairs_across(early))
+    search.scratch += [direct, early, more]
     found = components(sure.unionAll(more))
+    search.close()
     rows = search.signed.select("doc_id", "content", "n_shingles").join(search.member, ["doc_id", "content"], "left")
     rows = rows.withColumn("rep", F.coalesce("rep", "doc_id")).join(found, F.col("rep") == found.node, "left")
     rows = rows.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

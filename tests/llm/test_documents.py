@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tallyloom.llm import lines, minhash
+from tallyloom.llm import common, lines, minhash
 from tallyloom.llm.common import components
+from tallyloom.sources.staging import shared_folder
 
 DOCS = "doc_id bigint, text string, signature string, content int, id int"
 
@@ -76,6 +78,37 @@ def test_near_duplicates_equal_brute_force(spark, texts, percent):
     assert all(got[i].n_shingles == len(s) and got[i].kept == (want[i] == i) for i, s in enumerate(sets))
 
 
+def test_few_edges_are_not_shuffled_for_joins(spark, monkeypatch):
+    edges = [(k, k + 1) for k in range(0, 60, 1) if k % 7] + [(100, k) for k in range(101, 130)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    plans = []
+
+    def noted(table, label):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return written(table, label)
+
+    written = common.written
+    monkeypatch.setattr(common, "written", noted)
+    few = sorted(map(tuple, components(df).collect()))
+    assert all("SortMergeJoin" not in p and "BroadcastHashJoin" in p for p in plans[1:])
+    monkeypatch.setattr(common, "FEW_EDGES", -1)
+    assert sorted(map(tuple, components(df).collect())) == few
+
+
+def test_search_leaves_only_what_its_result_reads(spark):
+    folder = shared_folder(spark)
+    labels = lambda: Counter(f.rsplit("-", 1)[0] for f in (os.listdir(folder) if os.path.exists(folder) else []))
+    text = "\n".join(f"line number {k} of a text that several pages hold, word by word" for k in range(4))
+    docs = spark.createDataFrame([(k, text + f"\nown line of page {k}") for k in range(6)] + [(9, "another text")], "doc_id bigint, text string")
+    before = labels()
+    found = minhash.near_duplicates(docs, percent=50)
+    assert found.filter("NOT kept").count() == 5
+    assert set(labels() - before) == {"signatures", "members", "edges"}
+    before = labels()
+    assert lines.without_repeated_lines(docs).count() == 7
+    assert set(labels() - before) == {"held-lines", "copy-groups"}
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (3, "u v w x y z"), (7, "u v w x y z"), (9, None), (None, None)]
     out = minhash.near_duplicates(spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)).collect()
